@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tessera.functions.strings import col
+from tessera.functions.strings import col, strip
 
 
 def split_trim(c, sep: str = ",") -> Column:
-    parts = F.transform(F.split(col(c), sep), F.trim)
+    parts = F.transform(F.split(col(c), sep), strip)
     return F.filter(parts, lambda p: p != "")
 
 

@@ -23,23 +23,32 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# The characters that count as white space when stripping.
+WHITESPACE = " \t\n\r\f\x0b\x1c\x1d\x1e\x1f\x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def strip(c: Column | str) -> Column:
+    """Remove white space of any kind from both ends."""
+    return F.trim(col(c), F.lit(WHITESPACE))
+
+
 def upper_or(c, default: str) -> Column:
     """Trim and upper-case; blank or NULL becomes ``default``."""
-    v = F.upper(F.trim(col(c)))
+    v = F.upper(strip(c))
     return F.when(v.isNull() | (v == ""), F.lit(default)).otherwise(v)
 
 
 def title_or(c, default: str) -> Column:
-    return F.coalesce(F.initcap(F.trim(col(c))), F.lit(default))
+    return F.coalesce(F.initcap(strip(c)), F.lit(default))
 
 
 def truthy(c, values: Sequence[str] = TRUE_FLAGS) -> Column:
     """Flag parsing from text; NULL is false."""
-    return F.coalesce(F.upper(F.trim(col(c).cast("string"))).isin(*values), F.lit(False))
+    return F.coalesce(F.upper(strip(col(c).cast("string"))).isin(*values), F.lit(False))
 
 
 def is_one(c) -> Column:
-    return F.coalesce(F.trim(col(c).cast("string")) == "1", F.lit(False))
+    return F.coalesce(strip(col(c).cast("string")) == "1", F.lit(False))
 
 
 def contains_ci(c, needle: str) -> Column:
@@ -47,7 +56,7 @@ def contains_ci(c, needle: str) -> Column:
 
 
 def null_tokens(c, tokens: Sequence[str] = NULL_TOKENS) -> Column:
-    v = F.trim(col(c))
+    v = strip(c)
     return F.when(F.upper(v).isin(*tokens), F.lit(None)).otherwise(v)
 
 
@@ -79,7 +88,7 @@ def money(c) -> Column:
 
 
 def zip5(c) -> Column:
-    return F.lpad(F.substring(F.trim(col(c).cast("string")), 1, 5), 5, "0")
+    return F.lpad(F.substring(strip(col(c).cast("string")), 1, 5), 5, "0")
 
 
 def lookup(c, mapping: Mapping, default=None) -> Column:
@@ -90,7 +99,7 @@ def lookup(c, mapping: Mapping, default=None) -> Column:
 
 
 def last_token(c) -> Column:
-    return F.upper(F.element_at(F.split(F.trim(col(c)), r"\s+"), -1))
+    return F.upper(F.element_at(F.split(strip(c), r"\s+"), -1))
 
 
 def street_type(c) -> Column:
@@ -99,7 +108,7 @@ def street_type(c) -> Column:
 
 def clean_kind(c, expected: str) -> Column:
     """Free text → the expected word, "(missing)" or "(dirty)"."""
-    v = F.regexp_replace(F.lower(F.trim(F.coalesce(col(c), F.lit("")))), "`+$", "")
+    v = F.regexp_replace(F.lower(strip(F.coalesce(col(c), F.lit("")))), "`+$", "")
     v = F.regexp_replace(v, "s+$", "")
     return (
         F.when(v == expected.lower(), F.lit(expected.upper()))
@@ -119,9 +128,9 @@ def three_way(c, first: tuple[str, str], second: tuple[str, str], other: str) ->
 
 def other_text(main, other, prefix: str = "other: ") -> Column:
     """Where the main value is missing or "other", fall back to prefixed free text."""
-    m = F.lower(F.trim(col(main)))
+    m = F.lower(strip(main))
     m = F.when(m.isin("none", "nan"), F.lit(None)).otherwise(m)
-    free = F.lower(F.trim(col(other)))
+    free = F.lower(strip(other))
     return F.when((m.isNull() | (m == "other")) & free.isNotNull(), F.concat(F.lit(prefix), free)).otherwise(m)
 
 
