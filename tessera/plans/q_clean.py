@@ -487,19 +487,19 @@ SELECT h3_index, (split_part(h3_index,':',1)::int + dq) || ':' || (split_part(h3
 
 
 def _lines(t):
-    """A WKT line per order through the points of its items."""
-    lat, lon = point("l_suppkey")
-    vertex = F.format_string("%.3f %.3f", lon, lat)
-    lines = t.lineitem.groupBy("l_orderkey").agg(F.concat(F.lit("MULTILINESTRING (("), F.array_join(F.collect_list(vertex), ", "), F.lit("))")).alias("wkt"))
-    a, b = geo.wkt_centroid("wkt")
-    return rounded(lines.select("l_orderkey", a.alias("lat"), b.alias("lon")))
+    """A two-vertex WKT line per item, from its supplier's point to its part's point."""
+    (lat, lon), (lat2, lon2) = point("l_suppkey"), point("l_partkey")
+    wkt = F.format_string("LINESTRING (%.3f %.3f, %.3f %.3f)", lon, lat, lon2, lat2)
+    a, b = geo.wkt_centroid(wkt)
+    return rounded(t.lineitem.select("l_orderkey", a.alias("lat"), b.alias("lon")))
 
 
-SLAT, SLON = point_sql("l_suppkey")
+(SLAT, SLON), (PLAT, PLON) = point_sql("l_suppkey"), point_sql("l_partkey")
 reg(
     "geo4_wkt_centroid",
     _lines,
-    f"SELECT l_orderkey, round(avg(printf('%.3f',{SLAT})::double),6) AS lat, round(avg(printf('%.3f',{SLON})::double),6) AS lon FROM lineitem GROUP BY 1",
+    f"""SELECT l_orderkey, round((printf('%.3f',{SLAT})::double + printf('%.3f',{PLAT})::double)/2,6) AS lat,
+ round((printf('%.3f',{SLON})::double + printf('%.3f',{PLON})::double)/2,6) AS lon FROM lineitem""",
 )
 BOXES = " ".join(f"WHEN long BETWEEN {x0}e0 AND {x1}e0 AND lat BETWEEN {y0}e0 AND {y1}e0 THEN '{n}'" for n, (x0, x1, y0, y1) in geo.DISTRICT_BOXES.items())
 reg(
@@ -548,16 +548,9 @@ reg(
 )
 
 
-def _sampled(t):
-    """Each user's event values in time order as one path, at most 50 of them."""
-    path = t.events.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("ts", "event_id", "value"))).alias("path"))
-    return path.select("user_id", F.posexplode(arrays.even_sample("path", 50)).alias("position", "p")).select("user_id", "position", F.col("p.event_id").alias("event_id"))
-
-
 reg(
     "arr3_even_sample",
-    _sampled,
-    """WITH p AS (SELECT user_id, list(event_id ORDER BY ts, event_id) AS path FROM events GROUP BY 1),
-s AS (SELECT user_id, CASE WHEN len(path) > 50 THEN list_transform(range(50), lambda i: path[least(floor(i*((len(path)-1)/49e0))::int, len(path)-1)+1]) ELSE path END AS path FROM p)
-SELECT user_id, (generate_subscripts(path,1)-1)::int AS position, unnest(path) AS event_id FROM s""",
+    lambda t: t.embeddings.select("vec_id", F.posexplode(arrays.even_sample("embedding", 50)).alias("position", "x")),
+    """WITH s AS (SELECT vec_id, CASE WHEN len(embedding) > 50 THEN list_transform(range(50), lambda i: embedding[least(floor(i*((len(embedding)-1)/49e0))::int, len(embedding)-1)+1])
+ ELSE embedding END AS path FROM embeddings) SELECT vec_id, (generate_subscripts(path,1)-1)::int AS position, unnest(path) AS x FROM s""",
 )
