@@ -90,15 +90,11 @@ def ring_offsets(max_ring: int = 2) -> list[tuple[int, int, int]]:
 
 def ring_array(weights=RING_WEIGHTS) -> Column:
     """Offsets with their ring and weight as a constant array, to explode in place."""
-    return F.array(
-        *[
-            F.struct(
-                F.lit(dq).alias("dq"), F.lit(dr).alias("dr"), F.lit(k).alias("ring"),
-                F.lit(float(weights[k])).alias("weight"),
-            )
-            for dq, dr, k in ring_offsets(max(weights))
-        ]
-    )
+    items = [
+        f"named_struct('dq', {dq}, 'dr', {dr}, 'ring', {k}, 'weight', {float(weights[k])}D)"
+        for dq, dr, k in ring_offsets(max(weights))
+    ]
+    return F.expr(f"array({', '.join(items)})")
 
 
 def total_ring_weight(weights=RING_WEIGHTS) -> float:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tessera.functions import numbers
 from tessera.functions.dates import days_before
 from tessera.operators import ordering
-from tessera.operators.joining import scalar
+from tessera.operators.joining import constant, scalar
 
 
 def since(ts: str, ref: Column, days: int) -> Column:
@@ -20,7 +20,8 @@ def since(ts: str, ref: Column, days: int) -> Column:
 
 
 def latest(df: DataFrame, ts: str) -> Column:
-    return scalar(df, F.max(ts))
+    """The newest event time as a literal."""
+    return constant(df, F.max(ts))
 
 
 def trailing_counts(ts: str, ref: Column, windows: Mapping[str, int]) -> list[Column]:

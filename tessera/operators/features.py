@@ -155,16 +155,25 @@ NEIGHBOUR_SOURCES = {
 }
 
 
-def bucket_sums(events: DataFrame, ref: Column, cfg: CellConfig, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Every windowed sum of one key from a single conditional aggregation."""
+def bucket_sums(
+    events: DataFrame, ref: Column, cfg: CellConfig, keys: Sequence[str] = KEYS, lags: Mapping[str, int] | None = None
+) -> DataFrame:
+    """Every windowed sum of one key from a single conditional aggregation. ``lags`` adds the
+    baseline score as it stood some days before, from the same pass."""
     ts, w = "occurred_on_date", F.col("severity_weight")
-    base = agg.since(ts, ref, cfg.baseline)
+    base, long = agg.since(ts, ref, cfg.baseline), agg.since(ts, ref, cfg.long)
+    lags = lags or {}
 
     def total(days, cond=None):
         value = w if cond is None else F.when(cond, w)
         return agg.windowed_sum(value, ts, ref, days)
 
-    return events.where(agg.since(ts, ref, cfg.long)).groupBy(*keys).agg(
+    past = {
+        n: agg.windowed_sum(F.when(F.col(ts) <= dates.days_before(ref, d), w), ts, ref, cfg.baseline + d)
+        for n, d in lags.items()
+    }
+    reach = max([cfg.long, *[cfg.baseline + d for d in lags.values()]])
+    out = events.where(agg.since(ts, ref, reach)).groupBy(*keys).agg(
         total(cfg.short).alias("weighted_score_3d"),
         total(cfg.medium).alias("weighted_score_10d"),
         total(cfg.baseline).alias("weighted_score_30d"),
@@ -173,7 +182,10 @@ def bucket_sums(events: DataFrame, ref: Column, cfg: CellConfig, keys: Sequence[
         total(cfg.baseline, w >= cfg.high_severity).alias("violent_score_30d"),
         F.count_if(base & F.col("shooting")).alias("gun_incident_count_30d"),
         total(cfg.baseline, F.col("weekend")).alias("_weekend_30d"),
+        *[c.alias(n) for n, c in past.items()],
+        F.count_if(long).alias("_rows"),
     )
+    return out.where("_rows > 0").drop("_rows")
 
 
 def trends(sums: DataFrame, cfg: CellConfig) -> DataFrame:
@@ -190,19 +202,23 @@ def trends(sums: DataFrame, cfg: CellConfig) -> DataFrame:
     return sums.withColumns(out)
 
 
-def cell_sums(bucket: DataFrame, cfg: CellConfig) -> DataFrame:
-    """Cell-level sums from the bucket table (six rows per cell, not the raw events)."""
+def cell_sums_exprs(cfg: CellConfig) -> list[Column]:
     night = F.col("hour_bucket").isin(*cfg.night_buckets)
     evening = F.col("hour_bucket") == cfg.evening_bucket
     ws = F.col("weighted_score_30d")
     names = ["weighted_score_3d", "weighted_score_10d", "weighted_score_30d", "weighted_score_90d"]
-    out = bucket.groupBy("h3_index").agg(
+    return [
         *[F.sum(c).alias(c) for c in names],
         F.sum(F.when(night, ws).otherwise(0.0)).alias("_night"),
         F.sum(F.when(evening, ws).otherwise(0.0)).alias("_evening"),
         F.sum("_weekend_30d").alias("_weekend"),
-    )
-    return out.withColumns(
+    ]
+
+
+def cell_sums(bucket: DataFrame, cfg: CellConfig) -> DataFrame:
+    """Cell-level sums and time-of-day shares from the bucket table (six rows per cell, not the raw
+    events)."""
+    return bucket.groupBy("h3_index").agg(*cell_sums_exprs(cfg)).withColumns(
         {
             f"{n}_score_ratio": numbers.capped(numbers.ratio(f"_{n}", "weighted_score_30d", 0.0), 1.0)
             for n in ("night", "evening", "weekend")
@@ -229,49 +245,105 @@ def neighbour_means(df: DataFrame, sources: Mapping[str, str], cfg: CellConfig)
     return df.join(got, KEYS, "left").withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in sources})
 
 
+def _cells(bucket: DataFrame, cfg: CellConfig) -> DataFrame:
+    """One row per cell: trends and shares, and its bucket rows packed in an array, which holds at
+    most one entry per hour bucket."""
+    sums = cell_sums_exprs(cfg)
+    rows = F.collect_list(F.struct(*[c for c in bucket.columns if c not in ("h3_index", "_weekend_30d")]))
+    out = trends(bucket.groupBy("h3_index").agg(*sums, rows.alias("_rows")), cfg)
+    shares = {
+        f"{n}_score_ratio": numbers.capped(numbers.ratio(f"_{n}", "weighted_score_30d", 0.0), 1.0)
+        for n in ("night", "evening", "weekend")
+    }
+    cell_level = [*shares, *(cfg.trend_caps if cfg.trend_level == "cell" else [])]
+    return out.withColumns(shares).select("h3_index", "_rows", *cell_level)
+
+
+def _unpack(cells: DataFrame, cfg: CellConfig) -> DataFrame:
+    """Each bucket's row as a struct column ``_r<bucket>`` (NULL where the cell has none)."""
+    return cells.withColumns(
+        {f"_r{b}": F.expr(f"get(filter(_rows, r -> r.hour_bucket = {b}), 0)") for b in cfg.buckets}
+    ).drop("_rows")
+
+
+def _spread_cells(cells: DataFrame, sources: Mapping[str, str], cfg: CellConfig) -> DataFrame:
+    """Ring-weighted means for all buckets of a cell at once, as columns ``_n_<source>_<bucket>``.
+
+    A cell sends one message to each cell around it, holding its values of all buckets, and its own
+    packed rows ride on the message to itself: one shuffle, no self-join.
+    """
+    total = geo.total_ring_weight(cfg.ring_weights)
+    own = [c for c in cells.columns if c != "h3_index"]
+    values = {}
+    for out, src in sources.items():
+        for b in cfg.buckets:
+            v = f"_r{b}.{src}"
+            if src in cells.columns:
+                v = src if cfg.densify_first else f"CASE WHEN _r{b} IS NOT NULL THEN {src} END"
+            values[f"_n_{out}_{b}"] = f"coalesce(CAST({v} AS DOUBLE), 0D)"
+    q, r = geo.cell_axes("h3_index")
+    sent = _unpack(cells.withColumns({"_q": q, "_r": r, "_packed": F.col("_rows")}), cfg)
+    own = ["_packed" if c == "_rows" else c for c in own]
+    sent = sent.selectExpr("_q", "_r", *own, *[f"{v} AS {n}" for n, v in values.items()]).select(
+        "*", F.explode(geo.ring_array(cfg.ring_weights)).alias("_o")
+    )
+    target = geo.hex_id(F.col("_q") - F.col("_o.dq"), F.col("_r") - F.col("_o.dr"))
+    got = sent.groupBy(target.alias("h3_index")).agg(
+        F.first(F.when(F.col("_o.ring") == 0, F.struct(*own)), ignorenulls=True).alias("_own"),
+        *[F.expr(f"sum({n} * _o.weight) / {total}D AS {n}") for n in values],
+    )
+    return got.where("_own IS NOT NULL").select("h3_index", "_own.*", *values).withColumnRenamed("_packed", "_rows")
+
+
 def cell_features(
     events: DataFrame,
     as_of: Column,
     cfg: CellConfig = CellConfig(),
     yesterday: DataFrame | None = None,
     week_ago: DataFrame | None = None,
+    lags_from_events: bool = False,
 ) -> DataFrame:
     """The full cell × bucket table. Input columns: h3_index, hour_bucket, occurred_on_date,
-    severity_weight, shooting (boolean) and weekend (boolean)."""
+    severity_weight, shooting (boolean) and weekend (boolean).
+
+    Earlier scores come from stored snapshots, or from the events themselves in the same pass. The
+    plan shuffles three times (events by key, buckets by cell, neighbour messages by cell), each
+    time over less data than before.
+    """
     located = events.where(F.col("h3_index").isNotNull() & F.col("hour_bucket").isNotNull())
-    bucket = bucket_sums(located, as_of, cfg)
-    cell = cell_sums(bucket, cfg)
-    cell_trends = trends(cell, cfg).select(
-        "h3_index", *cfg.trend_caps, "night_score_ratio", "evening_score_ratio", "weekend_score_ratio"
-    )
-    if cfg.trend_level == "cell":
-        out = bucket.join(cell_trends, "h3_index")
-    else:
-        out = trends(bucket, cfg).join(cell_trends.drop(*cfg.trend_caps), "h3_index")
-    out = out.withColumn(
+    past = {"cell_score_yesterday": 1, "cell_score_7d_ago": 7}
+    bucket = bucket_sums(located, as_of, cfg, KEYS, past if lags_from_events else None)
+    if not lags_from_events:
+        for name, snapshot in zip(past, (yesterday, week_ago)):
+            if snapshot is None:
+                bucket = bucket.withColumn(name, F.lit(0.0))
+            else:
+                bucket = joining.lagged(bucket, snapshot, KEYS, "weighted_score_30d", name)
+    bucket = bucket.withColumn(
         "high_severity_ratio_30d",
         numbers.capped(numbers.ratio("violent_score_30d", "weighted_score_30d", 0.0), 1.0),
-    ).drop("_weekend_30d")
-
-    zero = {c: 0.0 for c in out.columns if c not in KEYS}
-    zero |= {"incident_count_30d": 0, "gun_incident_count_30d": 0}
-    zero |= {t: cfg.trend_default for t in cfg.trend_caps}
-    if cfg.densify_first:
-        out = joining.densify(out, "h3_index", "hour_bucket", cfg.buckets, zero)
-    out = neighbour_means(out, NEIGHBOUR_SOURCES, cfg)
-    lags = {"cell_score_yesterday": yesterday, "cell_score_7d_ago": week_ago}
-    for name, past in lags.items():
-        if past is None:
-            out = out.withColumn(name, F.lit(0.0))
-        else:
-            out = joining.lagged(out, past, KEYS, "weighted_score_30d", name)
-    out = neighbour_means(out, {"neighbor_score_yesterday": "cell_score_yesterday"}, cfg)
-    extra = [*NEIGHBOUR_SOURCES, *lags, "neighbor_score_yesterday"]
-    if not cfg.densify_first:
-        out = joining.densify(out, "h3_index", "hour_bucket", cfg.buckets, zero | {c: 0.0 for c in extra})
-    if cfg.trend_level == "cell":
-        out = out.drop(*cfg.trend_caps).join(cell_trends.select("h3_index", *cfg.trend_caps), "h3_index")
-    return out
+    )
+    if cfg.trend_level != "cell":
+        bucket = trends(bucket, cfg)
+    sources = {**NEIGHBOUR_SOURCES, "neighbor_score_yesterday": "cell_score_yesterday"}
+    cells = _spread_cells(_cells(bucket, cfg), sources, cfg)
+
+    row_cols = [c for c in bucket.columns if c not in (*KEYS, "_weekend_30d")]
+    counts = ("incident_count_30d", "gun_incident_count_30d")
+    shares = ["night_score_ratio", "evening_score_ratio", "weekend_score_ratio"]
+
+    def default(c):
+        return "0L" if c in counts else f"{cfg.trend_default}D" if c in cfg.trend_caps else "0D"
+
+    structs = []
+    for b in cfg.buckets:
+        fields = [f"{b} AS hour_bucket", *[f"coalesce(_r{b}.{c}, {default(c)}) AS {c}" for c in row_cols]]
+        fields += [f"if(_r{b} IS NOT NULL, {c}, 0D) AS {c}" for c in shares]
+        near = "_n_{n}_{b}" if cfg.densify_first else "if(_r{b} IS NOT NULL, _n_{n}_{b}, 0D)"
+        fields += [near.format(n=n, b=b) + f" AS {n}" for n in sources]
+        structs.append(f"struct({', '.join(fields)})")
+    keep = list(cfg.trend_caps) if cfg.trend_level == "cell" else []
+    return _unpack(cells, cfg).selectExpr("h3_index", *keep, f"inline(array({', '.join(structs)}))")
 
 
 def danger_rate(incidents: DataFrame, target: str = "danger_rate") -> DataFrame:

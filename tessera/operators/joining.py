@@ -117,3 +117,11 @@ def other_label(df: DataFrame, key: str, n: int, out: str, label: str = "Other")
 def scalar(df: DataFrame, expr: Column) -> Column:
     """A one-value subquery over a table, usable inside any expression on any table."""
     return df.select(expr.alias("_scalar")).scalar()
+
+
+def constant(df: DataFrame, expr: Column) -> Column:
+    """A one-row aggregate evaluated now and used as a literal, so that filters against it reach
+    the file scan. For reference times and the like; results inside projections use ``scalar``."""
+    out = df.agg(expr.alias("v"))
+    kind = out.schema["v"].dataType
+    return F.lit(out.select(F.col("v").cast("string")).first().v).cast(kind)

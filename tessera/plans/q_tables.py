@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from tessera.functions import dates, geo, numbers, strings
 from tessera.operators import aggregates as agg
 from tessera.operators import clean, features, joining, ordering, profile, rolling, routes, sampling
-from tessera.operators.joining import scalar
 from tessera.plans.q_clean import BIN_LAT, BIN_LON, DAYS, DAYSUM, EVERY, GRID, GRID_LAT, GRID_LON, WEEKS, _bins, _flags
 from tessera.plans.registry import INC, REQ, incidents, point, point_sql, reg, requests, rounded, staged
 
@@ -16,7 +15,7 @@ CFG = features.CellConfig()
 
 def as_of(t):
     """Midnight of the newest event day."""
-    return F.date_trunc("DAY", scalar(t.events, F.max("ts"))).cast("timestamp_ntz")
+    return joining.constant(t.events, F.date_trunc("DAY", F.max("ts")).cast("timestamp_ntz"))
 
 
 REF = "ref AS (SELECT date_trunc('day', max(ts))::timestamp AS ref FROM events)"
@@ -51,17 +50,11 @@ def _bucket_sums(t):
     return features.bucket_sums(incidents(t), as_of(t), CFG)
 
 
-def _past_sums(t, days):
-    """The bucket table as it stood some days earlier."""
-    ref = as_of(t) - F.expr(f"INTERVAL {days} DAYS")
-    return features.bucket_sums(incidents(t).where(F.col("occurred_on_date") <= ref), ref, CFG)
-
-
 # -- the flagship: whole cell table ---------------------------------------------------------------
 
 
 def _cells(t):
-    return features.cell_features(incidents(t), as_of(t), CFG, _past_sums(t, 1), _past_sums(t, 7))
+    return features.cell_features(incidents(t), as_of(t), CFG, lags_from_events=True)
 
 
 RING_VALUES = ", ".join(f"({a},{b},{w}e0)" for a, b, w in [(dq, dr, {0: 1.0, 1: 0.5, 2: 0.2}[k]) for dq, dr, k in geo.ring_offsets(2)])
@@ -215,7 +208,7 @@ reg(
 
 def _grid_crime(t):
     inc = incidents(t).withColumn("offense_category", F.when(F.col("offense_description") == "error", "ROBBERY").when(F.col("offense_description") == "view", "larceny").otherwise("other"))
-    ref = scalar(t.events, F.max("ts"))
+    ref = agg.latest(t.events, "ts")
     return features.grid_features(inc, "occurred_on_date", {"crime_count_7d": 7, "crime_count_30d": 30, "crime_count_90d": 90}, features.crime_measures("occurred_on_date", ref), ref, ("district", "district"))
 
 
@@ -251,7 +244,7 @@ reg(
 
 def _grid_requests(t):
     r = requests(t)
-    ref = scalar(t.orders, F.max("o_orderdate"))
+    ref = agg.latest(t.orders, "o_orderdate")
     overdue = agg.mean_if(F.col("on_time") == "OVERDUE", agg.since("open_date", ref, 30)).alias("overdue_ratio_30d")
     return features.grid_features(r, "open_date", {"request_count_7d": 7, "request_count_30d": 30, "request_count_90d": 90}, [overdue], ref, ("neighborhood", "neighborhood"))
 
@@ -272,7 +265,7 @@ def _inspections(t):
     lat, lon = point("l_suppkey")
     result = F.when(F.col("l_returnflag") == "R", "HE_Fail").when(F.col("l_returnflag") == "A", "HE_Pass").otherwise("Filed")
     df = t.lineitem.select(F.col("l_shipdate").alias("resultdttm"), result.alias("result"), lat.alias("lat"), lon.alias("long"))
-    ref = scalar(t.lineitem, F.max("l_shipdate"))
+    ref = agg.latest(t.lineitem, "l_shipdate")
     fail, recent = strings.contains_ci("result", "fail"), agg.since("resultdttm", ref, 180)
     measures = [F.count_if(fail & recent).alias("failure_count_180d"), agg.mean_if(fail, recent).alias("failure_ratio_180d")]
     windows = {f"inspection_count_{d}d": d for d in (90, 180, 365)}
@@ -347,9 +340,9 @@ def _stats_sql(cols, table, body):
 
 reg(
     "agg18_column_stats",
-    lambda t: rounded(profile.profile(t.lineitem.select(*NUM)).drop("zeros", "q1", "q3")),
-    _stats_sql(NUM, "lineitem", """SELECT '{c}' AS "column", count(*) AS rows, count({c}) AS present, count(*)-count({c}) AS missing, 0e0 AS missing_ratio, round(avg({c}),6) AS mean, round(stddev_samp({c}),6) AS std,
- min({c}) AS min, max({c}) AS max, round(median({c}),6) AS median, count(DISTINCT {c}) AS "distinct" FROM {t}"""),
+    lambda t: rounded(profile.profile(t.lineitem.select(*NUM)).drop("zeros", "q1", "q3"), 4),
+    _stats_sql(NUM, "lineitem", """SELECT '{c}' AS "column", count(*) AS rows, count({c}) AS present, count(*)-count({c}) AS missing, 0e0 AS missing_ratio, round(avg({c}),4) AS mean, round(stddev_samp({c}),4) AS std,
+ min({c}) AS min, max({c}) AS max, round(median({c}),4) AS median, count(DISTINCT {c}) AS "distinct" FROM {t}"""),
 )
 reg(
     "agg19_value_counts",
@@ -383,8 +376,8 @@ reg(
 )
 reg(
     "agg25_empty_cross_slices",
-    lambda t: agg.groups_without(t.documents, "source", "lang", "de"),
-    "SELECT source, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) FILTER (WHERE lang='de')=0",
+    lambda t: agg.groups_without(t.orders, "o_custkey", "o_orderstatus", "F"),
+    "SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1 HAVING count(*) FILTER (WHERE o_orderstatus='F')=0",
 )
 reg(
     "agg26_grid_coverage",
