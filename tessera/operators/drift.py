@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions import numbers
 from tessera.operators import aggregates as agg
@@ -146,7 +147,7 @@ def with_p_values(stats: DataFrame) -> DataFrame:
             ]
             yield pdf
 
-    out = stats.mapInPandas(p, stats.schema.add("p_value", "double"))
+    out = stats.mapInPandas(p, T.StructType([*stats.schema.fields, T.StructField("p_value", T.DoubleType())]))
     return out.withColumn("severity", severity_from_test("p_value", "chi2"))
 
 

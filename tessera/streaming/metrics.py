@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tessera.session import scratch_dir
@@ -79,7 +80,7 @@ def run_available(
         .start()
     )
     query.awaitTermination()
-    result = spark.read.schema(stream.schema.add("batch", "bigint")).parquet(out)
+    result = spark.read.schema(T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])).parquet(out)
     if keys is None:
         return result.drop("batch")
     rest = [c for c in stream.columns if c not in keys]
@@ -133,7 +134,8 @@ def _suppress(cooldown_s: float, per_hour: int) -> Callable:
             sent.append((key[0], alert_id, ts))
         if last is not None:
             state.update((last, count))
-        yield pd.DataFrame(sent, columns=["alert_key", "alert_id", "ts"])
+        if sent:
+            yield pd.DataFrame(sent, columns=["alert_key", "alert_id", "ts"])
 
     return step
 
