@@ -33,7 +33,7 @@ def by_quantiles(df: DataFrame, dimension: str, n: int = 4, labels: Sequence[str
     """Right-closed bins between exact quantile edges; repeated edges collapse."""
     labels = list(labels or [f"Q{i + 1}" for i in range(n)])
     q = ordering.quantiles(df, [], dimension, {f"e{i}": i / n for i in range(n + 1)}).first()
-    if q is None:
+    if q is None or q[0] is None:
         return _by_label(df.where(F.lit(False)), F.lit(""), dimension, min_size)
     edges = sorted(set(q))  # n + 1 numbers
     v, label = F.col(dimension), F.lit(None).cast("string")

@@ -13,13 +13,14 @@ from tessera.plans.registry import incidents, reg, rounded
 from tessera.sources import state
 from tessera.streaming import metrics
 
-CODE = F.when(F.col("event_type") == "error", 500).when((F.col("event_type") == "signup") & (F.col("value") > 20), 404).otherwise(200)
 CODE_SQL = "CASE WHEN event_type='error' THEN 500 WHEN event_type='signup' AND value>20 THEN 404 ELSE 200 END"
 EV = f"ev AS (SELECT *, {CODE_SQL} AS status_code, {CODE_SQL}::varchar AS status FROM events)"
 
 
 def shaped(df):
-    return df.withColumns({"ts": F.col("ts").cast("timestamp"), "status_code": CODE, "status": CODE.cast("string")})
+    is_missing = (F.col("event_type") == "signup") & (F.col("value") > 20)
+    code = F.when(F.col("event_type") == "error", 500).when(is_missing, 404).otherwise(200)
+    return df.withColumns({"ts": F.col("ts").cast("timestamp"), "status_code": code, "status": code.cast("string")})
 
 
 def event_stream(t):
