@@ -54,19 +54,20 @@ def grid_centre(cell) -> tuple[Column, Column]:
 
 
 def hex_axial(lat, lon, edge_km: float = HEX_EDGE_KM) -> tuple[Column, Column]:
-    """Axial (q, r) of the pointy-top hexagon that holds a point, by cube rounding."""
-    x = (col(lon) - ORIGIN_LON) * KM_PER_LON
-    y = (col(lat) - ORIGIN_LAT) * KM_PER_LAT
-    q = (x * (math.sqrt(3) / 3) - y * (1 / 3)) / edge_km
-    r = (y * (2 / 3)) / edge_km
-    s = -q - r
-    rq, rr, rs = (F.floor(v + 0.5) for v in (q, r, s))
-    dq, dr, ds = F.abs(rq - q), F.abs(rr - r), F.abs(rs - s)
-    fix_q = (dq > dr) & (dq > ds)
-    fix_r = ~fix_q & (dr > ds)
+    """Axial (q, r) of the pointy-top hexagon that holds a point.
+
+    Both fractional coordinates are rounded; what the two roundings leave over then moves the
+    coordinate with the larger remainder to the neighbouring hexagon where needed.
+    """
+    x, y = col(lon) - ORIGIN_LON, col(lat) - ORIGIN_LAT
+    q = x * (KM_PER_LON * math.sqrt(3) / 3 / edge_km) - y * (KM_PER_LAT / 3 / edge_km)
+    r = y * (KM_PER_LAT * 2 / 3 / edge_km)
+    rq, rr = F.floor(q + 0.5), F.floor(r + 0.5)
+    dq, dr = q - rq, r - rr
+    q_moves = F.abs(dq) >= F.abs(dr)
     return (
-        F.when(fix_q, -rr - rs).otherwise(rq).cast("int"),
-        F.when(fix_r, -rq - rs).otherwise(rr).cast("int"),
+        F.when(q_moves, rq + F.floor(dq + dr / 2 + 0.5)).otherwise(rq).cast("int"),
+        F.when(q_moves, rr).otherwise(rr + F.floor(dr + dq / 2 + 0.5)).cast("int"),
     )
 
 

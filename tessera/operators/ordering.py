@@ -16,6 +16,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.joining import sized
+
 BUCKETS = 256  # bounds both the sketch result on the driver and the prefix-sum rows per group
 
 
@@ -35,35 +37,28 @@ def add_bucket(df: DataFrame, value: str, cuts: list[float], out: str = "_bucket
     return Bucketizer(splits=splits, inputCol="_num", outputCol=out).transform(df).drop("_num")
 
 
-def _distinct_values(df, keys, order, position, weights):
-    """One row per (group, order value) with summed weights, plus the numeric position."""
-    return df.groupBy(*keys, F.col(order).alias("_v")).agg(
-        F.max(position).cast("double").alias("_pos"),
-        *[F.sum(w).alias(n) for n, w in weights.items()],
-    )
+def _positioned(df, keys, order, position):
+    """Key, order value and numeric position of the rows that have all of them."""
+    pos = F.col(order) if position is None else F.col(position) if isinstance(position, str) else position
+    rows = df.where(pos.isNotNull())
+    for key in keys:
+        rows = rows.where(F.col(key).isNotNull())
+    return rows.withColumns({"_v": F.col(order), "_pos": pos.cast("double")})
 
 
-def _bucket_offsets(values, keys, names):
-    """Per (group, bucket): weight before the bucket, in it, and in the whole group."""
-    per_bucket = values.groupBy(*keys, "_bucket").agg(*[F.sum(n).alias(f"_in_{n}") for n in names])
+def _offsets(bucketed, keys, names):
+    """Per (group, bucket) of ``_in_<name>`` sums: weight before the bucket and in the group."""
     group = Window.partitionBy(*(keys or [F.lit(0)]))  # at most BUCKETS rows per group
     before = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     cols = []
     for n in names:
         cols.append(F.coalesce(F.sum(f"_in_{n}").over(before), F.lit(0)).alias(f"_off_{n}"))
         cols.append(F.sum(f"_in_{n}").over(group).alias(f"total_{n}"))
-    return per_bucket.select("*", *cols)
+    return bucketed.select("*", *cols)
 
 
-def _bucketed(df, keys, order, position, weights, buckets):
-    position = order if position is None else position
-    pos = F.col(position) if isinstance(position, str) else position
-    df = df.where(pos.isNotNull())
-    for key in keys:
-        df = df.where(F.col(key).isNotNull())
-    values = _distinct_values(df, keys, order, pos, weights)
-    cuts = boundaries(df.select(pos.cast("double").alias("_pos")), "_pos", buckets)
-    return add_bucket(values, "_pos", cuts)
+def _inside(keys):
+    return Window.partitionBy(*keys, "_bucket").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
 
 
 def cumulative(
@@ -79,36 +74,55 @@ def cumulative(
     """
     keys = list(keys)
     weights = weights or {"n": F.lit(1)}
-    values = _bucketed(df, keys, order, position, weights, buckets)
-    offsets = _bucket_offsets(values, keys, list(weights))
-    inside = (
-        Window.partitionBy(*keys, "_bucket").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    out = values.join(offsets, [*keys, "_bucket"])
+    names = list(weights)
+    rows = _positioned(df, keys, order, position)
+    values = rows.groupBy(*keys, "_v").agg(F.max("_pos").alias("_pos"), *[F.sum(w).alias(n) for n, w in weights.items()])
+    values = add_bucket(values, "_pos", boundaries(rows, "_pos", buckets))
+    per_bucket = values.groupBy(*keys, "_bucket").agg(*[F.sum(n).alias(f"_in_{n}") for n in names])
+    offsets = _offsets(per_bucket, keys, names)
+    # without keys the offsets are at most BUCKETS rows; with keys both sides share a partitioning
+    out = values.join(offsets if keys else F.broadcast(offsets), [*keys, "_bucket"])
     return out.select(
         *keys,
         F.col("_v").alias(order),
-        *weights,
-        *[
-            (F.col(f"_off_{n}") + F.coalesce(F.sum(n).over(inside), F.lit(0))).alias(f"before_{n}")
-            for n in weights
-        ],
-        *[f"total_{n}" for n in weights],
+        *names,
+        *[(F.col(f"_off_{n}") + F.coalesce(F.sum(n).over(_inside(keys)), F.lit(0))).alias(f"before_{n}") for n in names],
+        *[f"total_{n}" for n in names],
     )
 
 
+def mid_ranks(counts: DataFrame, value: str, weight: str, buckets: int = BUCKETS) -> DataFrame:
+    """Global mid-ranks of weighted values that may repeat over rows (for example one row per group
+    and value): adds ``mid_rank`` and ``ties``, the weight that shares the value. The rows are
+    shuffled once, by bucket."""
+    rows = _positioned(counts, [], value, None)
+    rows = add_bucket(rows, "_pos", boundaries(rows, "_pos", buckets))
+    per_bucket = rows.groupBy("_bucket").agg(F.sum(weight).alias("_in_n"))
+    offsets = F.broadcast(_offsets(per_bucket, [], ["n"]).drop("_in_n", "total_n"))  # at most BUCKETS rows
+    upto = Window.partitionBy("_bucket").orderBy("_v").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    same = Window.partitionBy("_bucket", "_v")
+    out = rows.join(offsets, "_bucket").withColumns({"_le": F.sum(weight).over(upto), "ties": F.sum(weight).over(same)})
+    mid = F.col("_off_n") + F.col("_le") - F.col("ties") + (F.col("ties") + 1) / 2
+    return out.withColumn("mid_rank", mid).drop("_bucket", "_v", "_pos", "_off_n", "_le")
+
+
 def _at_positions(df, keys, order, position, want: Column, buckets):
     """Distinct values whose rank range holds one of the 0-based positions in ``want``, an array
-    column over ``total_n``. Only the buckets that hold a wanted position are opened."""
+    column over ``total_n``.
+
+    All rows are only counted per bucket, which map tasks do before the shuffle. The few buckets
+    that hold a wanted position are then opened: their rows alone are grouped and ranked.
+    """
     keys = list(keys)
-    values = _bucketed(df, keys, order, position, {"n": F.lit(1)}, buckets)
-    offsets = _bucket_offsets(values, keys, ["n"]).withColumn("_want", want)
+    rows = _positioned(df, keys, order, position)
+    rows = add_bucket(rows, "_pos", boundaries(rows, "_pos", buckets))
+    offsets = _offsets(rows.groupBy(*keys, "_bucket").agg(F.count("*").alias("_in_n")), keys, ["n"])
     hit = F.exists("_want", lambda i: (i >= F.col("_off_n")) & (i < F.col("_off_n") + F.col("_in_n")))
-    inside = (
-        Window.partitionBy(*keys, "_bucket").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    ranked = values.join(offsets.where(hit), [*keys, "_bucket"]).withColumn(
-        "before", F.col("_off_n") + F.coalesce(F.sum("n").over(inside), F.lit(0))
+    needed = sized(offsets.withColumn("_want", want).where(hit).drop("_in_n"))
+    on = [*keys, "_bucket"]
+    opened = rows.join(needed.select(*on), on, "left_semi").groupBy(*on, "_v").agg(F.count("*").alias("n"))
+    ranked = opened.join(needed, on).withColumn(
+        "before", F.col("_off_n") + F.coalesce(F.sum("n").over(_inside(keys)), F.lit(0))
     )
     holds = F.exists("_want", lambda i: (i >= F.col("before")) & (i < F.col("before") + F.col("n")))
     return ranked.where(holds)

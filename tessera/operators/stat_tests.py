@@ -56,8 +56,8 @@ def ks_p(d: float, n: int, m: int) -> float:
     return min(1.0, max(0.0, 2 * s))
 
 
-def _rank_sums(df: DataFrame, group: str, value: str, min_n: int) -> tuple[DataFrame, DataFrame]:
-    """Per group: size and mid-rank sum; and the one-row tie term. Works on (group, value) counts."""
+def _rank_sums(df: DataFrame, group: str, value: str, min_n: int) -> DataFrame:
+    """Per group: size, mid-rank sum and share of the tie term. Works on (group, value) counts."""
     gv = (
         df.where(F.col(group).isNotNull() & F.col(value).isNotNull())
         .groupBy(group, F.col(value).cast("double").alias("_x"))
@@ -65,47 +65,40 @@ def _rank_sums(df: DataFrame, group: str, value: str, min_n: int) -> tuple[DataF
     )
     if min_n > 1:
         big = gv.groupBy(group).agg(F.sum("_c").alias("_t")).where(F.col("_t") >= min_n).select(group)
-        gv = gv.join(big, group, "left_semi")
-    ranked = ordering.cumulative(gv, [], "_x", {"n": F.col("_c")})
-    mid = F.col("before_n") + (F.col("n") + 1) / 2
-    sums = (
-        gv.join(ranked.withColumn("_mid", mid), "_x")
-        .groupBy(group)
-        .agg(F.sum("_c").alias("n"), F.sum(F.col("_c") * F.col("_mid")).alias("rank_sum"))
+        gv = gv.join(sized(big), group, "left_semi")
+    c, t = F.col("_c").cast("double"), F.col("ties").cast("double")
+    return ordering.mid_ranks(gv, "_x", "_c").groupBy(group).agg(
+        F.sum("_c").alias("n"), F.sum(c * F.col("mid_rank")).alias("rank_sum"), F.sum(c * (t * t - 1)).alias("tie_term")
     )
-    n = F.col("n").cast("double")
-    ties = ranked.agg(F.sum(n * n * n - n).alias("tie_term"))
-    return sums, ties
 
 
 def kruskal(df: DataFrame, group: str, value: str, min_n: int = 1) -> DataFrame:
     """Tie-corrected Kruskal–Wallis H over groups with at least ``min_n`` rows."""
-    sums, ties = _rank_sums(df, group, value, min_n)
-    tie = ties.scalar()
-    out = sums.agg(
-        F.count("*").alias("groups"), F.sum("n").alias("rows"),
+    out = _rank_sums(df, group, value, min_n).agg(
+        F.count("*").alias("groups"), F.sum("n").alias("rows"), F.sum("tie_term").alias("_tie"),
         F.sum(F.col("rank_sum") * F.col("rank_sum") / F.col("n")).alias("_s"),
     )
     n = F.col("rows").cast("double")
     h = F.lit(12.0) / (n * (n + 1)) * F.col("_s") - 3 * (n + 1)
-    correction = 1 - tie / (n * n * n - n)
+    correction = 1 - F.col("_tie") / (n * n * n - n)
     return out.select("groups", "rows", numbers.ratio(h, correction).alias("statistic"), (F.col("groups") - 1).alias("dof"))
 
 
 def mann_whitney(df: DataFrame, group: str, value: str, first, second) -> DataFrame:
     """U of the first group against the second, with its tie-corrected normal score."""
     two = df.where(F.col(group).isin(first, second))
-    sums, ties = _rank_sums(two, group, value, 1)
+    sums = _rank_sums(two, group, value, 1)
     is_first = F.col(group) == F.lit(first)
     out = sums.agg(
         F.sum(F.when(is_first, F.col("n"))).alias("n_first"),
         F.sum(F.when(~is_first, F.col("n"))).alias("n_second"),
         F.sum(F.when(is_first, F.col("rank_sum"))).alias("_r"),
+        F.sum("tie_term").alias("_tie"),
     )
     a, b = F.col("n_first").cast("double"), F.col("n_second").cast("double")
     u = F.col("_r") - a * (a + 1) / 2
     n = a + b
-    sigma = F.sqrt(a * b / 12 * ((n + 1) - ties.scalar() / (n * (n - 1))))
+    sigma = F.sqrt(a * b / 12 * ((n + 1) - F.col("_tie") / (n * (n - 1))))
     z = (F.greatest(u, a * b - u) - a * b / 2 - 0.5) / sigma
     return out.select("n_first", "n_second", u.alias("statistic"), z.alias("z"))
 

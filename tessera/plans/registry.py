@@ -61,15 +61,15 @@ def point_sql(key: str) -> tuple[str, str]:
 
 def hex_sql(lat: str, lon: str) -> str:
     """Subquery-free SQL text of the axial hexagon id."""
-    x = f"(({lon} - ({lit_sql(geo.ORIGIN_LON)}))*{lit_sql(geo.KM_PER_LON)})"
-    y = f"(({lat} - {lit_sql(geo.ORIGIN_LAT)})*{lit_sql(geo.KM_PER_LAT)})"
-    q = f"(({x}*{lit_sql(3 ** 0.5 / 3)} - {y}*{lit_sql(1 / 3)})/{lit_sql(geo.HEX_EDGE_KM)})"
-    r = f"(({y}*{lit_sql(2 / 3)})/{lit_sql(geo.HEX_EDGE_KM)})"
-    s = f"(-{q} - {r})"
-    rq, rr, rs = (f"floor({v} + 0.5e0)" for v in (q, r, s))
-    dq, dr, ds = f"abs({rq} - {q})", f"abs({rr} - {r})", f"abs({rs} - {s})"
-    qq = f"(CASE WHEN {dq} > {dr} AND {dq} > {ds} THEN -{rr} - {rs} ELSE {rq} END)::int"
-    rv = f"(CASE WHEN NOT ({dq} > {dr} AND {dq} > {ds}) AND {dr} > {ds} THEN -{rq} - {rs} ELSE {rr} END)::int"
+    x, y = f"({lon} - ({lit_sql(geo.ORIGIN_LON)}))", f"({lat} - {lit_sql(geo.ORIGIN_LAT)})"
+    edge, root = geo.HEX_EDGE_KM, 3**0.5
+    q = f"({x}*{lit_sql(geo.KM_PER_LON * root / 3 / edge)} - {y}*{lit_sql(geo.KM_PER_LAT / 3 / edge)})"
+    r = f"({y}*{lit_sql(geo.KM_PER_LAT * 2 / 3 / edge)})"
+    rq, rr = f"floor({q} + 0.5e0)", f"floor({r} + 0.5e0)"
+    dq, dr = f"({q} - {rq})", f"({r} - {rr})"
+    moves = f"abs({dq}) >= abs({dr})"
+    qq = f"(CASE WHEN {moves} THEN {rq} + floor({dq} + {dr}/2e0 + 0.5e0) ELSE {rq} END)::int"
+    rv = f"(CASE WHEN {moves} THEN {rr} ELSE {rr} + floor({dr} + {dq}/2e0 + 0.5e0) END)::int"
     return f"({qq} || ':' || {rv})"
 
 

@@ -15,6 +15,9 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # The JVM does not compile methods above 8000 bytes; wide conditional aggregates exceed that as
+    # one fused method and are several times faster as separate generated projections.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
