@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tessera.functions import geo, numbers
 from tessera.functions.strings import col
+from tessera.operators.joining import sized
 
 
 def normalise_headers(df: DataFrame, dash: bool = False) -> DataFrame:
@@ -151,7 +152,7 @@ def groups_with_both_classes(df: DataFrame, group: str, outcome: str, min_rows:
         .where((F.col("_n") >= min_rows) & (F.col("_lo") != F.col("_hi")))
         .select(group)
     )
-    return df.join(good, group, "left_semi")
+    return df.join(sized(good), group, "left_semi")
 
 
 # -- NULLs and duplicates ----------------------------------------------------------------------

@@ -14,7 +14,7 @@ def ensure_checkpoint_dir(spark) -> None:
     from tessera.session import scratch_dir
 
     sc = spark.sparkContext
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
+    if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or scratch_dir(spark, "ckpt"))
 
 

@@ -12,10 +12,18 @@ NEUTRAL = 50.0
 
 
 def lookup_scores(points: DataFrame, scores: DataFrame) -> DataFrame:
-    """Score and tier of each point's (cell, bucket); unknown cells are neutral. The score table has
-    one row per key, so a hot cell on the point side is left to AQE's skew join."""
-    keys = ["h3_index", "hour_bucket"]
-    found = points.join(scores.select(*keys, "risk_score", "risk_tier"), keys, "left")
+    """Score and tier of each point's (cell, bucket); unknown cells are neutral.
+
+    The score table has one row per key, so it is never the skewed side. Points without a cell get
+    one of many keys that match nothing instead of all meeting in the NULL partition, and a hot
+    cell is split by AQE's skew join.
+    """
+    spread = F.concat(F.lit("none:"), F.pmod(F.xxhash64(*points.columns), F.lit(4096)).cast("string"))
+    table = scores.select(
+        F.col("h3_index").alias("_cell"), F.col("hour_bucket").alias("_bucket"), "risk_score", "risk_tier"
+    )
+    on = (F.coalesce(F.col("h3_index"), spread) == F.col("_cell")) & (F.col("hour_bucket") == F.col("_bucket"))
+    found = points.join(table, on, "left").drop("_cell", "_bucket")
     return found.withColumns(
         {
             "found": F.col("risk_score").isNotNull(),
@@ -47,7 +55,8 @@ def rank_routes(
     """Labels fastest → safest → balanced → alternative per request, each label taking the best
     route not yet claimed, and the display order safest, balanced, fastest, alternative.
 
-    The alternatives of one request are few by nature, so the windows share one shuffle on it.
+    The alternatives of one request are few by nature (a directions service returns three or so),
+    so the windows share one shuffle on it.
     """
     req = Window.partitionBy(request)
     score = F.col("route_score")

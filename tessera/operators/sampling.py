@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from tessera.operators.joining import attach, settle
 from tessera.operators.ordering import hash_order, order_statistic
 
+COPY_CHUNK = 1000  # copies of one row that a single expansion makes
+
 
 def sample_rows(df: DataFrame, key: str, n: int) -> DataFrame:
     """``n`` rows in hash order; a bounded top-n, each task keeps at most ``n``."""
@@ -93,7 +95,16 @@ def resample(df: DataFrame, group: str, key: str, target: Column) -> DataFrame:
     plan = plan.join(cut.select(group, F.col("cutoff").alias("_cut")), group, "left")
     more = F.coalesce((F.col("_ord") <= F.col("_cut")).cast("int"), F.lit(0))
     out = attach(rows, plan, [group]).withColumn("copy", F.col("_copies") + more).where("copy > 0")
-    out = out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copy").cast("int"))))
+    most = plan.agg(F.max("_copies")).first()[0] or 0
+    if most > COPY_CHUNK:
+        # a small group far below its target: spread blocks of copies over tasks, then expand them
+        block = F.sequence(F.lit(0), F.floor((F.col("copy") - 1) / COPY_CHUNK))
+        out = out.withColumn("_block", F.explode(block)).repartition(F.xxhash64("_ord", "_block"))
+        first = F.col("_block") * COPY_CHUNK + 1
+        copies = F.sequence(first, F.least(F.col("copy"), first + COPY_CHUNK - 1))
+        out = out.withColumn("copy", F.explode(copies)).withColumn("copy", F.col("copy").cast("int")).drop("_block")
+    else:
+        out = out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copy").cast("int"))))
     return out.drop("_ord", "_copies", "_extra", "_cut")
 
 

@@ -213,11 +213,16 @@ def _scores(df: DataFrame, as_of) -> DataFrame:
 
 
 def _score_features(df: DataFrame, as_of) -> DataFrame:
-    """Columns per metric: the metric names are few, and a bounded list of them is read first."""
-    names = [r.metric_name for r in df.select("metric_name").distinct().orderBy("metric_name").limit(500).collect()]
+    """Columns per metric. The names are read first; like Spark's own pivot this refuses a column
+    with too many distinct values instead of cutting the result."""
+    names = [r.metric_name for r in df.select("metric_name").distinct().limit(MAX_METRICS + 1).collect()]
+    if len(names) > MAX_METRICS:
+        raise ValueError(f"more than {MAX_METRICS} metric names; use the long form")
+    names.sort()
     return cleaning.normalise_headers(features.city_score_features(df, names, ["timestamp"]), dash=True)
 
 
+MAX_METRICS = 2000
 CITY_SCORES = DatasetPlan(
     name="cityscore", mappings={"score_calculated_ts": "timestamp"}, types={"timestamp": "datetime"},
     keys=["metric_name", "timestamp"], order=["timestamp"], time="timestamp", transform=_scores,

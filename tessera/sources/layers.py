@@ -16,17 +16,19 @@ DT = "dt"
 
 @dataclass(frozen=True)
 class LayerStore:
-    """Parquet tables under ``root/layer/dataset`` partitioned by date."""
+    """Parquet tables under ``root/layer/dataset`` partitioned by date. ``merge_schema`` reads the
+    footers of all files to unite differing columns; leave it off for large stable tables."""
 
     spark: SparkSession
     root: str
+    merge_schema: bool = False
 
     def path(self, dataset: str, layer: str) -> str:
         return f"{self.root}/{layer}/{dataset}"
 
     def scan(self, dataset: str, layer: str) -> DataFrame:
         return (
-            self.spark.read.option("mergeSchema", "true")
+            self.spark.read.option("mergeSchema", str(self.merge_schema).lower())
             .option("ignoreMissingFiles", "true")
             .parquet(self.path(dataset, layer))
         )

@@ -95,3 +95,26 @@ def test_stratified_split_sizes(skewed):
     sizes = {(r.g, r.split): r["count"] for r in got}
     for g, n in pdf.g.value_counts().items():
         assert sizes[(g, "train")] == int(0.8 * n)
+
+
+def test_resample_of_a_tiny_group(spark):
+    df = spark.createDataFrame([(1, "tiny"), (2, "tiny"), (3, "other")], "id long, g string")
+    got = sampling.resample(df, "g", "id", F.lit(5001)).groupBy("g", "id").agg(F.count("*").alias("n"), F.count_distinct("copy").alias("d")).collect()
+    assert sorted((r.g, r.n) for r in got) == [("other", 5001), ("tiny", 2500), ("tiny", 2501)]
+    assert all(r.n == r.d for r in got)
+
+
+def test_mid_ranks_match_pandas(skewed):
+    pdf, df = skewed
+    counts = df.groupBy("g", "x").agg(F.count("*").alias("c"))
+    got = ordering.mid_ranks(counts, "x", "c", buckets=8).select("x", "mid_rank", "ties").distinct().toPandas().set_index("x")
+    want = pdf.assign(r=pdf.x.rank()).groupby("x").r.agg(["first", "size"])
+    assert (got.mid_rank.sort_index() == want["first"]).all() and (got.ties.sort_index() == want["size"]).all()
+
+
+def test_top_per_group_limits_before_the_shuffle(skewed):
+    from tessera.operators.aggregates import top_per_group
+
+    _, df = skewed
+    plan = top_per_group(df, ["g"], [F.desc("x"), F.col("id")], 5)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2

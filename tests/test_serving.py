@@ -27,6 +27,13 @@ def test_next_best_is_taken_when_the_fastest_is_also_safest(spark):
     assert got == {0: "fastest", 1: "safest", 2: "balanced"}
 
 
+def test_points_without_a_cell_are_neutral(spark):
+    scores = spark.createDataFrame([("1:1", 0, 80.0, "HIGH")], "h3_index string, hour_bucket int, risk_score double, risk_tier string")
+    pts = spark.createDataFrame([(1, "1:1", 0), (2, None, 0), (3, "1:1", None), (4, "9:9", 0)], "id int, h3_index string, hour_bucket int")
+    got = {r.id: (r.risk_score, r.risk_tier, r.found, r.h3_index) for r in routes.lookup_scores(pts, scores).collect()}
+    assert got == {1: (80.0, "HIGH", True, "1:1"), 2: (50.0, "MEDIUM", False, None), 3: (50.0, "MEDIUM", False, "1:1"), 4: (50.0, "MEDIUM", False, "9:9")}
+
+
 def test_route_scores_with_long_and_empty_paths(spark):
     cell = spark.range(1).select(geo.hex_cell(F.lit(42.3), F.lit(-71.05)).alias("c")).first().c
     scores = spark.createDataFrame([(cell, 3, 80.0, "HIGH")], "h3_index string, hour_bucket int, risk_score double, risk_tier string")
@@ -81,7 +88,7 @@ def test_chunk_ids_continue(spark):
 
 
 def test_layer_store_round_trip(spark, tmp_path):
-    store = layers.LayerStore(spark, str(tmp_path))
+    store = layers.LayerStore(spark, str(tmp_path), merge_schema=True)
     for d, v in (("2024-01-01", 1), ("2024-01-02", 2)):
         store.write(spark.createDataFrame([(v,)], "x int"), "t", "raw", d)
     store.write(spark.createDataFrame([(3, "new")], "x int, extra string"), "t", "raw", "2024-01-02")
