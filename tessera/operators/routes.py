@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import arrays, dates, geo
 from tessera.operators import aggregates as agg
+from tessera.operators.joining import sized
 
 NEUTRAL = 50.0
 
@@ -14,16 +15,17 @@ NEUTRAL = 50.0
 def lookup_scores(points: DataFrame, scores: DataFrame) -> DataFrame:
     """Score and tier of each point's (cell, bucket); unknown cells are neutral.
 
-    The score table has one row per key, so it is never the skewed side. Points without a cell get
-    one of many keys that match nothing instead of all meeting in the NULL partition, and a hot
-    cell is split by AQE's skew join.
+    The score table has one row per key and a city's is small: it is broadcast when a count shows
+    that, so points are not shuffled at all. Beyond that size, points without a cell get one of many
+    keys that match nothing instead of all meeting in the NULL partition, and a hot cell is split by
+    AQE's skew join.
     """
     spread = F.concat(F.lit("none:"), F.pmod(F.xxhash64(*points.columns), F.lit(4096)).cast("string"))
     table = scores.select(
         F.col("h3_index").alias("_cell"), F.col("hour_bucket").alias("_bucket"), "risk_score", "risk_tier"
     )
     on = (F.coalesce(F.col("h3_index"), spread) == F.col("_cell")) & (F.col("hour_bucket") == F.col("_bucket"))
-    found = points.join(table, on, "left").drop("_cell", "_bucket")
+    found = points.join(sized(table), on, "left").drop("_cell", "_bucket")
     return found.withColumns(
         {
             "found": F.col("risk_score").isNotNull(),
@@ -33,20 +35,25 @@ def lookup_scores(points: DataFrame, scores: DataFrame) -> DataFrame:
     )
 
 
-def path_points(routes: DataFrame, keep: list[str], geometry="geometry", hour="hour", most: int = 100) -> DataFrame:
-    """Sampled points of every path with their cell and bucket."""
-    pts = routes.select(*keep, hour, F.posexplode(arrays.even_sample(geometry, most)).alias("position", "_p"))
+def path_points(
+    routes: DataFrame, keep: list[str], geometry="geometry", hour="hour", most: int = 100, outer: bool = False
+) -> DataFrame:
+    """Sampled points of every path with their cell and bucket; ``outer`` keeps a route without
+    points as one row without a cell."""
+    explode = F.posexplode_outer if outer else F.posexplode
+    pts = routes.select(*keep, hour, explode(arrays.even_sample(geometry, most)).alias("position", "_p"))
     return pts.select(
         *keep, "position", geo.hex_cell(F.col("_p.lat"), F.col("_p.lon")).alias("h3_index"),
         dates.hour_bucket(hour).alias("hour_bucket"),
     )
 
 
-def score_routes(routes: DataFrame, scores: DataFrame, key: list[str]) -> DataFrame:
-    """Mean score along each route; a route without points is neutral."""
-    pts = lookup_scores(path_points(routes, key), scores)
-    mean = pts.groupBy(*key).agg(F.avg("risk_score").alias("route_score"))
-    return routes.join(mean, key, "left").withColumn("route_score", F.round(F.coalesce("route_score", F.lit(NEUTRAL)), 2))
+def score_routes(routes: DataFrame, scores: DataFrame, key: list[str], keep: list[str] = ()) -> DataFrame:
+    """Mean score along each route, neutral for one without points. The scalar columns in ``keep``
+    travel with the points, so the routes are read once and not joined back."""
+    pts = lookup_scores(path_points(routes, [*key, *keep], outer=True), scores)
+    mean = F.round(F.avg("risk_score"), 2).alias("route_score")
+    return pts.groupBy(*key).agg(*[F.first(c).alias(c) for c in keep], mean)
 
 
 def rank_routes(

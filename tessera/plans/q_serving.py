@@ -210,7 +210,7 @@ rs AS (SELECT request_id, route_id, round(avg(coalesce(risk_score,50)),2) AS rou
 
 
 def _route_scores(t):
-    return routes.score_routes(route_table(t), score_table(t), ["request_id", "route_id"])
+    return routes.score_routes(route_table(t), score_table(t), ["request_id", "route_id"], ["duration_s"])
 
 
 reg(
