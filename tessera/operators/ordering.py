@@ -10,6 +10,7 @@ even the buckets are.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -25,7 +26,7 @@ def boundaries(df: DataFrame, value: str, buckets: int = BUCKETS) -> list[float]
     """At most ``buckets - 1`` increasing cut points of about equal weight."""
     probs = [i / buckets for i in range(1, buckets)]
     cuts = df.agg(F.percentile_approx(value, probs, 10_000).alias("c")).first().c
-    return sorted(set(cuts or []))
+    return sorted({c for c in cuts or [] if math.isfinite(c)})
 
 
 def add_bucket(df: DataFrame, value: str, cuts: list[float], out: str = "_bucket") -> DataFrame:
@@ -38,9 +39,10 @@ def add_bucket(df: DataFrame, value: str, cuts: list[float], out: str = "_bucket
 
 
 def _positioned(df, keys, order, position):
-    """Key, order value and numeric position of the rows that have all of them."""
+    """Key, order value and numeric position of the rows that have all of them (NaN counts as
+    missing)."""
     pos = F.col(order) if position is None else F.col(position) if isinstance(position, str) else position
-    rows = df.where(pos.isNotNull())
+    rows = df.where(pos.isNotNull() & ~F.isnan(pos.cast("double")))
     for key in keys:
         rows = rows.where(F.col(key).isNotNull())
     return rows.withColumns({"_v": F.col(order), "_pos": pos.cast("double")})
@@ -160,7 +162,7 @@ def quantiles(
     for name, p in probs.items():
         pos = F.lit(p) * last
         lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        out.append((lo + (hi - lo) * (pos - F.floor(pos))).alias(name))
+        out.append(F.when(lo == hi, lo).otherwise(lo + (hi - lo) * (pos - F.floor(pos))).alias(name))
     return picked.select(*out)
 
 

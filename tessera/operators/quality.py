@@ -64,6 +64,12 @@ def counted(df: DataFrame, checks: Sequence[tuple[str, str, str, Column]]) -> Da
     return row.select(F.inline(F.array(*items))).where("n > 0")
 
 
+def _number(df: DataFrame, c: str) -> Column:
+    """A numeric column with NaN read as NULL, since NaN compares above every number."""
+    floats = isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType))
+    return F.when(~F.isnan(c), F.col(c)) if floats else F.col(c)
+
+
 # -- contracts ---------------------------------------------------------------------------------
 
 COMPATIBLE = {
@@ -114,9 +120,9 @@ def contract_findings(
         if not spec.get("nullable", True):
             checks.append(("null_in_required", "error", c, F.col(c).isNull()))
         if "minimum" in spec:
-            checks.append(("below_minimum", "warning", c, F.col(c) < spec["minimum"]))
+            checks.append(("below_minimum", "warning", c, _number(df, c) < spec["minimum"]))
         if "maximum" in spec:
-            checks.append(("above_maximum", "warning", c, F.col(c) > spec["maximum"]))
+            checks.append(("above_maximum", "warning", c, _number(df, c) > spec["maximum"]))
         if "enum" in spec:
             checks.append(("not_in_enum", "warning", c, ~F.col(c).isin(*spec["enum"])))
     schema = "rule string, severity string, feature string, n bigint, ratio double"
@@ -153,8 +159,9 @@ def duplicate_ratio(df: DataFrame, most: float = 0.01, keys: Sequence[str] | Non
 
 
 def geo_bounds(df: DataFrame, lat="lat", lon="long", box=geo.BOX, severity="warning") -> DataFrame:
-    out_lat = (F.col(lat) < box["min_lat"]) | (F.col(lat) > box["max_lat"])
-    out_lon = (F.col(lon) < box["min_lon"]) | (F.col(lon) > box["max_lon"])
+    y, x = _number(df, lat), _number(df, lon)
+    out_lat = (y < box["min_lat"]) | (y > box["max_lat"])
+    out_lon = (x < box["min_lon"]) | (x > box["max_lon"])
     return counted(df, [("latitude_bounds", severity, lat, out_lat), ("longitude_bounds", severity, lon, out_lon)])
 
 

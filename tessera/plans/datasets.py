@@ -56,8 +56,8 @@ def ingest(plan: DatasetPlan, raw: DataFrame, since: Column, until: Column | Non
 
 
 def clean(plan: DatasetPlan, raw: DataFrame, as_of: Column | None = None) -> DataFrame:
-    """Rename, coerce, transform, deduplicate and project."""
-    df = cleaning.coerce(cleaning.rename(raw, plan.mappings), plan.types)
+    """NaN to NULL, rename, coerce, transform, deduplicate and project."""
+    df = cleaning.coerce(cleaning.rename(cleaning.nan_to_null(raw), plan.mappings), plan.types)
     if plan.transform is not None:
         df = plan.transform(df, as_of)
     if plan.keys:

@@ -235,11 +235,11 @@ reg(
     lambda t: t.orders.select("o_orderkey", strings.upper_or(F.when(F.col("o_orderstatus") == "P", "  ").otherwise(F.concat(F.lit(" "), F.lower("o_orderstatus"))), "UNKNOWN").alias("district")),
     "SELECT o_orderkey, CASE WHEN o_orderstatus='P' THEN 'UNKNOWN' ELSE o_orderstatus END AS district FROM orders",
 )
-TITLE = "array_to_string(list_transform(string_split(lower(trim({c})),' '), lambda w: upper(w[1])||w[2:]),' ')"
+TITLE = """array_to_string(list_transform(string_split(lower(p_type || ' ' || p_name), ' '), lambda w: upper(w[1]) || w[2:]), ' ')"""
 reg(
     "str2_title_case",
     lambda t: t.part.select("p_partkey", strings.title_or(F.when(F.col("p_type") != "PROMO", F.concat_ws(" ", "p_type", "p_name")), "Other").alias("category")),
-    f"SELECT p_partkey, CASE WHEN p_type<>'PROMO' THEN {TITLE.format(c=chr(40)+chr(112)+'_type'+chr(124)*2+chr(39)+' '+chr(39)+chr(124)*2+'p_name'+chr(41))} ELSE 'Other' END AS category FROM part",
+    f"SELECT p_partkey, CASE WHEN p_type <> 'PROMO' THEN {TITLE} ELSE 'Other' END AS category FROM part",
 )
 reg(
     "str3_flag_parse",

@@ -11,8 +11,6 @@ from tessera.plans.registry import INC, LAT_SQL, LON_SQL, incidents, reg, rounde
 from tessera.session import scratch_dir
 from tessera.sources import state
 
-F_COLS = "rule, severity, feature, n, ratio"
-
 
 def findings(df):
     return rounded(df.select(*quality.FINDING))
@@ -72,7 +70,6 @@ CONTRACT_SQL = " UNION ALL ".join(
     ]
 )
 reg("qua1_contract_findings", lambda t: findings(quality.contract_findings(dirty(t), CONTRACT)), f"WITH {DIRTY} {CONTRACT_SQL}")
-NULLS = {"kind": "kind IS NULL", "note": "note IS NULL"}
 reg(
     "qua2_raw_gate",
     lambda t: findings(quality.raw_gate(dirty(t).drop("event_id", "event_time", "user_id"), {"kind": {"type": "string"}}, 100, {"kind": 0.1}, 0.25, 0.0)),

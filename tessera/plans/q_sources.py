@@ -161,8 +161,6 @@ reg(
     f"WITH {INC} SELECT h3_index, sum(severity_weight) AS score, occurred_on_date::date AS dt FROM inc GROUP BY h3_index, occurred_on_date::date",
 )
 
-SCORES_SQL = """sc AS (SELECT h3_index, hour_bucket, sum(severity_weight) AS s, count(*) AS n FROM inc GROUP BY 1, 2)"""
-
 
 def _scores(t):
     return incidents(t).groupBy("h3_index", "hour_bucket").agg(F.sum("severity_weight").alias("s"), F.count("*").alias("n"))

@@ -118,3 +118,11 @@ def test_top_per_group_limits_before_the_shuffle(skewed):
     _, df = skewed
     plan = top_per_group(df, ["g"], [F.desc("x"), F.col("id")], 5)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
+
+
+def test_nan_is_missing_and_infinities_are_values(spark):
+    inf, nan = float("inf"), float("nan")
+    df = spark.createDataFrame([(v,) for v in [nan, None, -inf, 1.0, 2.0, inf, inf]], "x double")
+    got = ordering.quantiles(df, [], "x", {"lo": 0.0, "m": 0.5, "hi": 1.0, "q3": 0.75}).first()
+    assert (got.lo, got.m, got.hi, got.q3) == (-inf, 2.0, inf, inf)
+    assert ordering.cumulative(df, [], "x").count() == 4

@@ -49,6 +49,12 @@ def test_edges_of_geo_and_time_bounds(spark):
     assert rules(quality.time_bounds(df, as_of)) == {("future_dates", "event_date"): ("warning", 1)}
 
 
+def test_nan_coordinates_are_missing_not_outside(spark):
+    df = spark.createDataFrame([(float("nan"), -71.0), (99.0, -71.0)], "lat double, long double")
+    assert rules(quality.geo_bounds(df)) == {("latitude_bounds", "lat"): ("warning", 1)}
+    assert rules(quality.contract_findings(df, {"lat": {"type": "number", "maximum": 50}})) == {("above_maximum", "lat"): ("warning", 1)}
+
+
 def test_outliers_match_pandas(spark):
     rng = np.random.default_rng(3)
     x = np.concatenate([rng.normal(0, 1, 300), [50.0] * 30])
