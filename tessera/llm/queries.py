@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe
+from tessera.llm import bpe, packing
 from tessera.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,3 +22,10 @@ def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES["op2_bpe"] = op2_bpe
+
+
+def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"))
+
+
+QUERIES["op5_packing"] = op5_packing
