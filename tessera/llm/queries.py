@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, packing
+from tessera.llm import bpe, neardup, packing
 from tessera.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +29,30 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES["op5_packing"] = op5_packing
+
+
+def op1_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    found = neardup.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"), size=4, similarity=0.8)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+QUERIES["op1_near_duplicates"] = op1_near_duplicates
+ORACLES["op1_near_duplicates"] = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents),
+sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s
+    FROM words),
+grams AS (SELECT doc_id, unnest(s) AS g FROM sets),
+common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+    SELECT c.a, c.b FROM common c JOIN sets x ON x.doc_id = c.a JOIN sets y ON y.doc_id = c.b
+    WHERE 100 * c.n >= 80 * (len(x.s) + len(y.s) - c.n)),
+reach(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM sets UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other),
+least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY 1)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, l.component_id, s.doc_id = l.component_id AS kept
+FROM sets s JOIN least l USING (doc_id)"""
