@@ -89,3 +89,19 @@ def digests(raw: np.ndarray, starts: np.ndarray, length: np.ndarray) -> tuple[np
 
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)]
 KEEP = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
+
+
+#: Most classes that a classifier learns; their counts pass through the driver.
+CLASSES = 1000
+
+
+def bounded_sample(df: DataFrame, column: str, per_class: int) -> tuple[DataFrame, dict]:
+    """About ``per_class`` rows of each class (all, if it has fewer), chosen by a hash of the row, and the classes' row counts."""
+    counts = {r[0]: r[1] for r in df.groupBy(column).agg(F.count("*")).limit(CLASSES + 1).collect()}
+    if len(counts) > CLASSES:
+        raise ValueError(f"more than {CLASSES} classes in {column}")
+    share = F.lit(0.0)
+    for value, n in counts.items():
+        share = F.when(F.col(column) == F.lit(value), F.lit(min(1.0, per_class / n))).otherwise(share)
+    drawn = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(1 << 30)) < share * (1 << 30)
+    return df.filter(drawn), counts

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, neardup, packing
+from tessera.llm import bpe, language, neardup, packing, toxicity
+from tessera.llm.common import id_crc
 from tessera.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +57,21 @@ reach(doc_id, other) AS (
 least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY 1)
 SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, l.component_id, s.doc_id = l.component_id AS kept
 FROM sets s JOIN least l USING (doc_id)"""
+
+
+def op3_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", id_crc("doc_id") % 5 == 0)
+    model = language.fit(docs.filter("not held_out"))
+    return language.predict(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text").withColumn("held_out", id_crc("doc_id") % 3 == 1)
+    index = toxicity.fit(toxicity.labelled(docs.filter("not held_out"), table(spark, folder, "labels")))
+    scored = toxicity.score(docs, index)
+    return scored.selectExpr("doc_id", "held_out", "toxicity as score", f"cast(toxicity >= {toxicity.REJECT} as int) as predicted", "evidence.doc_id as evidence")
+
+
+QUERIES["op3_language"] = op3_language
+QUERIES["op4_toxicity"] = op4_toxicity
