@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, language, neardup, packing, toxicity
+from tessera.llm import ann, bpe, exact_search, language, neardup, packing, toxicity, vectors
 from tessera.llm.common import id_crc
 from tessera.session import prepare
 
@@ -68,10 +68,33 @@ def op3_language(spark: SparkSession, folder: str) -> DataFrame:
 
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text").withColumn("held_out", id_crc("doc_id") % 3 == 1)
-    index = toxicity.fit(toxicity.labelled(docs.filter("not held_out"), table(spark, folder, "labels")))
+    index = toxicity.fit(docs, table(spark, folder, "labels").filter(id_crc("doc_id") % 3 != 1))
     scored = toxicity.score(docs, index)
     return scored.selectExpr("doc_id", "held_out", "toxicity as score", f"cast(toxicity >= {toxicity.REJECT} as int) as predicted", "evidence.doc_id as evidence")
 
 
 QUERIES["op3_language"] = op3_language
 QUERIES["op4_toxicity"] = op4_toxicity
+
+
+def op7_exact_search(spark: SparkSession, folder: str) -> DataFrame:
+    rows = vectors.valid(table(spark, folder, "embeddings"))
+    return exact_search.search(rows, rows.filter("vec_id % 50 = 0"), k=5, scale=256.0)
+
+
+def op10_ann(spark: SparkSession, folder: str) -> DataFrame:
+    rows = vectors.valid(table(spark, folder, "embeddings"), zero=False)
+    return ann.search(rows, rows.filter("vec_id % 100 = 0"), k=10)
+
+
+QUERIES["op7_exact_search"] = op7_exact_search
+QUERIES["op10_ann"] = op10_ann
+ORACLES["op7_exact_search"] = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+ranks AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scores)
+SELECT query_id, rank, vec_id, score FROM ranks WHERE rank <= 5"""
