@@ -259,6 +259,13 @@ class Encoder:
         raw, offsets = text_bytes(column, fold=False)
         if not len(raw):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
+        begins, start, count = self.pieces(raw, offsets)
+        ends = np.cumsum(count)
+        ids = self.pool[np.repeat(start - (ends - count), count) + np.arange(ends[-1])]
+        return ids, np.concatenate([[0], ends])[np.searchsorted(begins, offsets)]
+
+    def pieces(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where the pieces of texts begin, where each one's symbols are in the pool, and how many they are; there is at least one byte."""
         data = raw.tobytes()
         begins = self.cuts(raw, data, offsets)
         length = np.diff(np.append(begins, len(raw)))
@@ -282,9 +289,7 @@ class Encoder:
         long = np.flatnonzero(length >= self.LONG)
         if len(long):
             start[long], count[long] = self.learn([data[a : a + n] for a, n in zip(begins[long].tolist(), length[long].tolist())])
-        ends = np.cumsum(count)
-        ids = self.pool[np.repeat(start - (ends - count), count) + np.arange(ends[-1])]
-        return ids, np.concatenate([[0], ends])[np.searchsorted(begins, offsets)]
+        return begins, start, count
 
     def keep(self, key, check, start, count) -> None:
         """Put digests into the table; of two that want one slot, the later looks further."""

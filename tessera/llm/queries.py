@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import ann, bpe, exact_search, language, neardup, packing, toxicity, vectors
-from tessera.llm.common import id_crc
+from tessera.llm import ann, bpe, counts, exact_search, language, neardup, packing, pii, toxicity, vectors
+from tessera.llm.common import id_crc, settle
 from tessera.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +99,26 @@ scores AS (
     FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
 ranks AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scores)
 SELECT query_id, rank, vec_id, score FROM ranks WHERE rank <= 5"""
+
+
+def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
+    masked = pii.pseudonyms(table(spark, folder, "documents").select("doc_id", "text"))
+    return masked.selectExpr("doc_id", "text", "cast(size(pii_found) as bigint) as n_found", "pii_found.kind as kinds", "pii_found.start as starts")
+
+
+def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts before and after three edits of each document: its first line goes, its middle gets its number, its last 20 characters come first."""
+    docs = table(spark, folder, "documents")
+    state = settle(counts.trees(docs), "trees")
+    length, line = "char_length(text)", "locate('\n', text)"
+    middle = f"cast(({length} - {line}) div 2 as bigint)"
+    edits = f"""array(
+        named_struct('start', 0L, 'length', cast({line} as bigint), 'insert', ''),
+        named_struct('start', {middle}, 'length', 0L, 'insert', concat(' [', cast(doc_id as string), '] ')),
+        named_struct('start', 0L, 'length', 0L, 'insert', right(text, 20)))"""
+    done = counts.edit(state.withColumn("edits", F.expr(edits)))
+    return done.selectExpr("doc_id", "n_before", "n_tokens", "n_encoded", "sha2(text, 256) as text_sha256")
+
+
+QUERIES["op6_pii"] = op6_pii
+QUERIES["op9_token_counts"] = op9_token_counts
