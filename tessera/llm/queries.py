@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import ann, bpe, counts, exact_search, language, neardup, packing, pii, toxicity, vectors
+from tessera.llm import ann, bpe, counts, exact_search, language, licenses, neardup, packing, pii, toxicity, vectors
 from tessera.llm.common import id_crc, settle
 from tessera.session import prepare
 
@@ -122,3 +122,43 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES["op6_pii"] = op6_pii
 QUERIES["op9_token_counts"] = op9_token_counts
+
+
+def op8_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = licenses.scan(docs, licenses.frequencies(docs))
+    return found.selectExpr(
+        "doc_id", "n_words", "cast(size(places) as bigint) as n_base", "array_min(places.start) as first_word", "array_max(places.start) as last_word",
+        "array_join(array_sort(array_distinct(places.label)), ',') as base_labels",
+        "array_join(array_sort(array_union(places.label, matches.label)), ',') as labels", "score")
+
+
+def _license_sql() -> str:
+    rows = ", ".join(
+        f"({k}, '{label}', {own!r}, {licenses.needed(share, len(own))})" for k, (label, share, own) in enumerate(licenses.templates())
+    )
+    phrases = " UNION ALL ".join(
+        f"SELECT doc_id, i - 1 AS start, '{label}' AS label FROM places WHERE w[i:i + {len(p.split(' ')) - 1}] = {p.split(' ')!r}" for p, label in licenses.PHRASES.items()
+    )
+    step = licenses.STEP
+    return f"""
+WITH words AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w FROM documents),
+places AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+base AS (SELECT doc_id, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word, list(DISTINCT label) AS labels FROM ({phrases}) GROUP BY 1),
+templates(id, label, own, o) AS (VALUES {rows}),
+blocks AS (SELECT doc_id, w[b + 1:b + {2 * step}] AS held FROM (SELECT doc_id, w, unnest(range(0, len(w), {step})) AS b FROM words)),
+pairs AS (SELECT b.doc_id, t.id, t.label, t.o, len(list_intersect(t.own, b.held)) AS common, len(t.own) AS n, len(list_distinct(b.held)) AS held
+    FROM blocks b JOIN templates t ON list_has_any(t.own, b.held)),
+met AS (SELECT doc_id, list(DISTINCT label) AS labels FROM pairs WHERE id >= {len(licenses.PHRASES)} AND common >= o GROUP BY 1),
+best AS (SELECT doc_id, max(common / n) AS score FROM pairs WHERE common >= o GROUP BY 1)
+SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(coalesce(b.n_base, 0) AS BIGINT) AS n_base, CAST(b.first_word AS BIGINT) AS first_word, CAST(b.last_word AS BIGINT) AS last_word,
+    coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,
+    coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(m.labels, [])))), ','), '') AS labels,
+    CAST(coalesce(s.score, 0) AS DOUBLE) AS score
+FROM words w LEFT JOIN base b USING (doc_id) LEFT JOIN met m USING (doc_id) LEFT JOIN best s USING (doc_id)"""
+
+
+QUERIES["op8_licenses"] = op8_licenses
+ORACLES["op8_licenses"] = _license_sql()
