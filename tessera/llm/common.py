@@ -27,7 +27,16 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written.scratch = path
+    return written
+
+
+def forget(*frames: DataFrame) -> None:
+    """Delete what ``settle`` wrote for frames that nothing needs any more."""
+    for df in frames:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.scratch)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def id_crc(column: str) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import settle
+from tessera.llm.common import forget, settle
 
 
 def _stars(edges: DataFrame, small: bool) -> DataFrame:
@@ -36,6 +36,8 @@ def components(links: DataFrame) -> DataFrame:
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == state:
             break
+        before = edges
         state, edges = now, settle(_stars(_stars(edges, small=False), small=True), "stars")
+        forget(before)
     roots = edges.select(F.col("b").alias("node")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots.select("node", F.col("node").alias("component")))

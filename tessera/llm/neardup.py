@@ -24,10 +24,10 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import batches, out, settle, small_batches
+from tessera.llm.common import batches, forget, out, settle, small_batches
 from tessera.llm.components import components
 from tessera.llm.shingles import MinHash, shingle_sets
 
@@ -47,12 +47,12 @@ def collisions(similarity: float, k: int = K, miss: float = MISS) -> int:
 
 
 def signatures(df: DataFrame, size: int) -> DataFrame:
-    """A row number, the set's size and digest, and its signature, beside the frame's own columns; ``text`` is the first.
+    """A row number, the set's size, digest and signature, and the columns after the first, which is ``text``.
 
     Row numbers hold once the frame has been written down.
     """
     schema = pa.schema([("row", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("tokens", pa.list_(pa.int64()))])
-    names = [*schema.names, *df.columns]
+    names = [*schema.names, *df.columns[1:]]
 
     def run(parts):
         hasher, row = MinHash(K), TaskContext.get().partitionId() << 40
@@ -63,11 +63,34 @@ def signatures(df: DataFrame, size: int) -> DataFrame:
             rows = np.arange(row, row + b.num_rows)
             row += b.num_rows
             own = out(schema, rows, [len(x) for x in sets], [m[0] for m in marks], [m[1] for m in marks], tokens)
-            yield pa.RecordBatch.from_arrays([*own.columns, *b.columns], names=names)
+            yield pa.RecordBatch.from_arrays([*own.columns, *b.columns[1:]], names=names)
 
-    fields = ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in df.schema)
+    fields = "".join(f", `{x.name}` {x.dataType.simpleString()}" for x in df.schema[1:])
     small_batches(df.sparkSession)
-    return df.mapInArrow(run, f"row bigint, n bigint, d1 bigint, d2 bigint, tokens array<bigint>, {fields}")
+    return df.mapInArrow(run, f"row bigint, n bigint, d1 bigint, d2 bigint, tokens array<bigint>{fields}")
+
+
+#: Bits of the filter that texts pass before they are shuffled: its size is fixed, whatever the number of texts.
+BITS = 1 << 25
+
+
+def texts_of(source: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, text) of the nodes in ``wanted`` (node, t1, t2), from rows (text, t1, t2). Most other texts are left out before the shuffle."""
+    place = F.pmod("t1", F.lit(BITS))
+    words = wanted.groupBy(F.shiftright(place, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(t1, {BITS}) & 63 as int))")).alias("bits")).toPandas()
+    mask = np.zeros(BITS >> 6, np.int64)
+    mask[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    shared = source.sparkSession.sparkContext.broadcast(mask.view(np.uint64))
+
+    def run(parts):
+        mask = shared.value
+        for b in batches(parts):
+            at = np.mod(b.column(1).to_numpy(), BITS)
+            hit = (mask[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
+            yield b.filter(pa.array(hit == 1))
+
+    near = source.select("text", "t1", "t2").mapInArrow(run, "text string, t1 bigint, t2 bigint")
+    return near.join(wanted, ["t1", "t2"]).groupBy("node").agg(F.first("text").alias("text"))
 
 
 def whole_groups(parts: Iterable[pa.RecordBatch], key: list[str]) -> Iterator[tuple[pa.Table, list[int]]]:
@@ -188,27 +211,35 @@ def counted(postings: DataFrame, threshold: int) -> DataFrame:
     return dealt(postings, GROUP, run, "list bigint, i bigint, j bigint, node bigint, partners array<bigint>")
 
 
+def marked(df: DataFrame, *more) -> DataFrame:
+    """text and doc_id by type, two hashes of the text, and further columns."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return df.select(text.alias("text"), F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2"), F.col("doc_id").cast("bigint").alias("doc_id"), *more)
+
+
 def near_duplicates(df: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
     """Groups of texts that are linked, directly or by others, by a Jaccard similarity of their sets of ``size``-word shingles.
 
     Words are what stands between spaces and the controls from tab to carriage return, A-Z lower-cased. A text with fewer words
     is one shingle; null texts and texts without words have none and are linked with nothing. Returns a row per row, repeated
     ones too: doc_id, n_shingles, component_id (the smallest doc_id that can be reached, null only if all are null), kept
-    (doc_id is component_id), first (true for one row of each group, also if ids repeat), and all of the frame's columns as
-    the struct ``doc``. No rows give no rows; columns of any other name do no harm.
+    (doc_id is component_id), first (true for one row of each group, also if ids repeat), and two hashes of the text. No rows
+    give no rows; other columns are not looked at.
     """
-    source = df.select(F.col("text").cast("string").alias("text"), F.col("doc_id").cast("bigint").alias("doc_id"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("doc"))
+    source = marked(df).select("text", "t1", "t2", "doc_id")
     rows = settle(signatures(source, size), "signatures")
     threshold = collisions(similarity)
-    classes = rows.filter("n > 0").groupBy("d1", "d2").agg(F.min("row").alias("node"))
-    classes = settle(classes, "classes")
-    own = rows.join(classes.select(F.col("node").alias("row")), "row", "left_semi")
-    posted = settle(own.select(F.col("row").alias("node"), F.explode("tokens").alias("list")), "posted")
+    classes = settle(rows.filter("n > 0").groupBy("d1", "d2").agg(F.min("row").alias("node")), "classes")
+    own = settle(rows.select("row", "t1", "t2", "tokens").join(classes.select(F.col("node").alias("row")), "row", "left_semi"), "nodes")
+    posted = own.select(F.col("row").alias("node"), F.explode("tokens").alias("list"))
     often = posted.groupBy("list").agg(F.count("*").alias("often")).filter("often > 1")
     shared = posted.join(often, "list").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("often", "list"))).alias("s"))
     nodes = shared.filter(F.size("s") >= threshold).select("node", F.col("s.list").alias("tokens"))
-    nodes = settle(nodes.withColumn("prefix", F.expr(f"slice(tokens, 1, size(tokens) - {threshold} + 1)")), "nodes")
-    texts = rows.select(F.col("row").alias("node"), "text")
+    nodes = settle(nodes.withColumn("prefix", F.expr(f"slice(tokens, 1, size(tokens) - {threshold} + 1)")), "candidates")
+    wanted = own.select(F.col("row").alias("node"), "t1", "t2").join(nodes.select("node"), "node", "left_semi")
+    wanted = settle(wanted, "wanted")
+    texts = settle(texts_of(source, wanted), "texts")
+    forget(own, wanted)
 
     postings = nodes.select("node", F.explode("prefix").alias("list"))
     lists = postings.groupBy("list").agg(F.count("*").alias("size"), F.min("node").alias("pivot")).filter("size > 1")
@@ -221,17 +252,27 @@ def near_duplicates(df: DataFrame, size: int = 5, similarity: float = 0.8) -> Da
     near = settle(confirm(salted.unionByName(centres), texts, size, similarity), "near")
 
     joined = components(near)
-    nodes = nodes.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    posted = settle(nodes.withColumn("list", F.explode("prefix")), "postings")
+    placed = nodes.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    posted = settle(placed.withColumn("list", F.explode("prefix")), "postings")
     lists = posted.groupBy("list").agg(F.count("*").alias("size"), F.min("component").alias("a"), F.max("component").alias("b"))
     left = counted(blocks(posted, lists.filter("a < b").select("list", "size")), threshold)
     more = settle(confirm(left, texts, size, similarity), "more")
     joined = components(near.unionByName(more)).withColumnRenamed("component", "root")
 
-    member = rows.select("row", "doc_id", "n", "d1", "d2").join(classes, ["d1", "d2"], "left").join(joined, "node", "left")
-    member = settle(member.select("row", "doc_id", "n", F.coalesce("root", "node", "row").alias("root")), "members")
+    member = rows.select("row", "doc_id", "n", "d1", "d2", "t1", "t2").join(classes, ["d1", "d2"], "left").join(joined, "node", "left")
+    member = settle(member.select("row", "doc_id", "n", "t1", "t2", F.coalesce("root", "node", "row").alias("root")), "members")
+    forget(rows, classes, nodes, stars, texts, near, posted, more)
     order = F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "row")
     firsts = member.groupBy("root").agg(F.min(order).alias("least")).select("root", "least.doc_id", "least.row")
     firsts = firsts.toDF("root", "component_id", "first_row")
-    told = member.join(firsts, "root").select("row", "doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), (F.col("row") == F.col("first_row")).alias("first"))
-    return told.join(rows.select("row", "doc"), "row").drop("row")
+    told = member.join(firsts, "root")
+    own = F.col("row") == F.col("first_row")
+    return told.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), own.alias("first"), "t1", "t2")
+
+
+def without_duplicates(df: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The rows of the frame, all its columns as they are, but one row of each group of near duplicates: that of the smallest doc_id."""
+    first = near_duplicates(df, size, similarity).filter("first").select("doc_id", "t1", "t2")
+    docs = marked(df, F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("doc"))
+    joined = docs.join(first.toDF("id", "x1", "x2"), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("t1") == F.col("x1")) & (F.col("t2") == F.col("x2")), "left_semi")
+    return joined.dropDuplicates(["doc_id", "t1", "t2"]).select("doc.*")
