@@ -17,7 +17,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.joining import sized
+from tessera.operators.joining import settle, sized
 
 BUCKETS = 256  # bounds both the sketch result on the driver and the prefix-sum rows per group
 
@@ -190,3 +190,20 @@ def hash_order(key: str) -> tuple[Column, Column]:
     """
     h = F.pmod(F.pmod(F.col(key), F.lit(2147483648)) * F.lit(2654435761), F.lit(4294967296))
     return F.struct(h.alias("h"), F.col(key).cast("bigint").alias("k")), h
+
+
+def numbered(df: DataFrame, order: str, out: str) -> DataFrame:
+    """Dense numbers from 0 in the order of a column, NULLs last, ties in the order of a row hash; every row gets its own.
+
+    Rows are range-partitioned by (column, hash), so a value that a third of them share is spread; each partition numbers its
+    own rows and the partitions' sizes, one row each, are summed up.
+    """
+    names = df.columns
+    keys = [F.col(order).isNull(), F.col(order), F.xxhash64(*[F.col(c) for c in names])]
+    rows = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id())
+    rows = settle(rows)
+    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
+    sizes = rows.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_start"))
+    return rows.withColumn("_part", part).join(starts, "_part").select(*names, (F.col("_start") + place).alias(out))

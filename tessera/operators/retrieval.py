@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import numbers, strings
 from tessera.operators import aggregates as agg
+from tessera.operators import ordering
 from tessera.operators.joining import scalar, settle
 
 QUERY_BLOCK = 4096  # queries that one task holds as a matrix
@@ -114,16 +115,13 @@ def mean_vectors(df: DataFrame, key: str, vector: str = "embedding") -> DataFram
 
 
 def append_chunks(existing: DataFrame | None, chunks: DataFrame, order: str, width: int = 500) -> DataFrame:
-    """New chunks with ids that continue the stored ones, and the text head. Ids are handed out per
-    range-sorted partition: partition sizes first, then an offset for each."""
-    start = F.lit(0) if existing is None else F.coalesce(scalar(existing, F.max("chunk_id")) + 1, F.lit(0))
-    from tessera.operators.ordering import cumulative
+    """New chunks with ids that continue the stored ones, and the text's first ``width`` characters as ``head`` beside it.
 
-    ranks = cumulative(chunks, [], order)
-    rows = chunks.join(ranks.select(order, F.col("before_n").alias("_before")), order)
-    return rows.withColumns(
-        {"chunk_id": (start + F.col("_before")).cast("bigint"), "text": F.substring("text", 1, width)}
-    ).drop("_before")
+    Every chunk gets an id of its own, also where ``order`` repeats or is NULL (NULLs come last).
+    """
+    start = F.lit(0) if existing is None else F.coalesce(scalar(existing, F.max("chunk_id")) + 1, F.lit(0))
+    rows = ordering.numbered(chunks, order, "_before")
+    return rows.withColumns({"chunk_id": (start + F.col("_before")).cast("bigint"), "head": F.substring("text", 1, width)}).drop("_before")
 
 
 def chunk_rows(df: DataFrame, dataset: str, text: Column, *keep: str) -> DataFrame:
@@ -166,6 +164,11 @@ def evaluate_questions(questions: DataFrame, hits: DataFrame) -> DataFrame:
     )
 
 
+def mean4(c) -> Column:
+    """Average to four digits by decimal rounding: a double average may lie just below a tie that the values reach exactly."""
+    return F.round(F.avg(c).cast("decimal(20,10)"), 4).cast("double")
+
+
 def summary(results: DataFrame) -> DataFrame:
     """Overall, per-category and per-difficulty metrics in one grouping-sets style pass."""
     levels = F.array(
@@ -176,17 +179,17 @@ def summary(results: DataFrame) -> DataFrame:
     rows = results.where(~F.col("out_of_scope")).select("*", F.inline(levels))
     return rows.groupBy("level", "slice").agg(
         F.count("*").alias("total"),
-        F.round(F.avg(F.col("retrieval_hit").cast("double")), 4).alias("retrieval_accuracy"),
-        F.round(F.avg("keyword_coverage"), 4).alias("avg_keyword_coverage"),
-        F.round(F.avg("avg_score"), 4).alias("avg_similarity"),
+        mean4(F.col("retrieval_hit").cast("double")).alias("retrieval_accuracy"),
+        mean4("keyword_coverage").alias("avg_keyword_coverage"),
+        mean4("avg_score").alias("avg_similarity"),
     )
 
 
 def slice_metrics(results: DataFrame, by: str) -> DataFrame:
     return results.groupBy(F.col(by).alias("slice")).agg(
         F.count("*").alias("total"), F.count_if("retrieval_hit").alias("hits"),
-        F.round(F.avg(F.col("retrieval_hit").cast("double")), 4).alias("retrieval_accuracy"),
-        F.round(F.avg("keyword_coverage"), 4).alias("avg_keyword_coverage"),
+        mean4(F.col("retrieval_hit").cast("double")).alias("retrieval_accuracy"),
+        mean4("keyword_coverage").alias("avg_keyword_coverage"),
     )
 
 
@@ -237,14 +240,14 @@ def best_run(runs: DataFrame, metric: str, n: int = 1) -> DataFrame:
     return runs.orderBy(F.desc(metric), "run").limit(n)
 
 
-def render_all(datasets: Mapping[str, tuple[DataFrame, Column, str]], samples: Mapping[str, int]) -> DataFrame:
-    """Sample, render and union the chunk rows of several datasets. Each entry is
+def render_all(datasets: Mapping[str, tuple[DataFrame, Column, str]], samples: Mapping[str, int] | None = None) -> DataFrame:
+    """Render and union the chunk rows of several datasets, of those in ``samples`` only so many. Each entry is
     (table, sentence, integer key)."""
     from tessera.operators.sampling import sample_rows
 
     out = None
     for name, (df, text, key) in datasets.items():
-        part = sample_rows(df, key, samples[name]) if name in samples else df
+        part = sample_rows(df, key, samples[name]) if name in (samples or {}) else df
         part = chunk_rows(part, name, text, key).withColumnRenamed(key, "source_key")
         out = part if out is None else out.unionByName(part)
     return out

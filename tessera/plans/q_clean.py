@@ -21,11 +21,11 @@ reg(
     "prj2_lenient_coercion",
     lambda t: clean.coerce(
         t.documents.select("doc_id", F.col("source").alias("as_int"), F.col("n_chars").cast("string").alias("as_float"),
-                           F.col("lang").alias("as_bool"), F.substring("text", 1, 20).alias("as_time")),
+                           F.col("lang").alias("as_bool"), F.col("text").alias("as_time")),
         {"as_int": "int", "as_float": "float", "as_bool": "bool", "as_time": "datetime"},
     ),
     """SELECT doc_id, try_cast(source AS bigint) AS as_int, try_cast(n_chars::varchar AS double) AS as_float, try_cast(lang AS boolean) AS as_bool,
- try_cast(substr(text,1,20) AS timestamp) AS as_time FROM documents""",
+ try_cast(text AS timestamp) AS as_time FROM documents""",
 )
 reg(
     "prj4_keep_existing",
@@ -526,8 +526,8 @@ reg("geo6_two_axis_bins", _bins, f"WITH {INC} SELECT incident_number, {BIN_LAT}
 
 reg(
     "arr1_split_explode",
-    lambda t: t.documents.select("doc_id", F.explode(arrays.split_trim("text", ",")).alias("piece")).groupBy("piece").agg(F.count("*").alias("n")).where("n > 1"),
-    """WITH p AS (SELECT regexp_replace(unnest(string_split(text, ',')), '^[\\s\\p{Z}]+|[\\s\\p{Z}]+$', '', 'g') AS piece FROM documents) SELECT piece, count(*) AS n FROM p WHERE piece <> '' GROUP BY 1 HAVING count(*) > 1""",
+    lambda t: t.documents.select("doc_id", F.explode(arrays.split_trim("text", ",")).alias("piece")).groupBy("piece").agg(F.count("*").alias("n")),
+    """WITH p AS (SELECT regexp_replace(unnest(string_split(text, ',')), '^[\\s\\p{Z}]+|[\\s\\p{Z}]+$', '', 'g') AS piece FROM documents) SELECT piece, count(*) AS n FROM p WHERE piece <> '' GROUP BY 1""",
 )
 
 

@@ -198,20 +198,23 @@ reg(
 )
 
 
+STORED = ["column", "rows", "missing", "missing_ratio", "mean", "std", "min", "max", "distinct", "q1", "median", "q3"]
+
+
 def _stored_profile(t):
     from tessera.sources.layers import LayerStore
 
     store = LayerStore(t.spark, scratch_dir(t.spark, "profiles"))
     cur, ref = _halves(t)
     for date, df in (("2024-01-01", ref), ("2024-01-02", cur)):
-        store.write(rounded(profile.moments(df), 4), "orders", "profiles", date)
-    return store.latest("orders", "profiles").select("column", "rows", "missing", "mean", "max")
+        store.write(rounded(profile.profile(df), 4), "orders", "profiles", date)
+    return store.latest("orders", "profiles").select(*STORED)
 
 
 reg(
     "pro3_stored_profile",
     _stored_profile,
-    f"WITH {HALVES}, c AS {_C} SELECT \"column\", rows, missing, round(mean,4) AS mean, round(max,4) AS max FROM c",
+    f"WITH {HALVES}, c AS {_C} SELECT " + ", ".join(f'"{c}"' if c in ("column", "rows", "missing", "distinct") else f'round("{c}",4) AS "{c}"' for c in STORED) + " FROM c",
 )
 _NULL_COLS = ["event_id", "user_id", "kind", "note", "value", "lat", "long", "event_time"]
 reg(
@@ -226,8 +229,13 @@ reg(
 )
 
 
+def outlier_sql(c, table):
+    return f"""SELECT '{c}' AS f, count(*) AS rows, count(*) FILTER (WHERE abs({c}-m)>3.5*s) AS z, count(*) FILTER (WHERE {c} < q1-1.5*(q3-q1) OR {c} > q3+1.5*(q3-q1)) AS i
+ FROM {table}, (SELECT avg({c}) AS m, stddev_pop({c}) AS s, quantile_cont({c}::double,0.25) AS q1, quantile_cont({c}::double,0.75) AS q3 FROM {table})"""
+
+
 def _findings_of(t):
-    return quality.suppress_expected(quality.anomalies(dirty(t), _as_of(), outliers=False, duplicates=False), "service_311")
+    return quality.suppress_expected(quality.anomalies(dirty(t), _as_of()), "service_311")
 
 
 ANOM = f"""mis AS (SELECT 'missing_values' AS rule, CASE WHEN r>0.5 THEN 'critical' ELSE 'warning' END AS severity, f AS feature, n, round(r,6) AS ratio FROM
@@ -237,7 +245,11 @@ catv AS (SELECT 'kind' AS f, kind AS v, count(*) AS n FROM dt WHERE kind IS NOT
 cats AS (SELECT f, sum(n)::bigint AS present, count(*) AS d, count(*) FILTER (WHERE n=1) AS s FROM catv GROUP BY 1),
 cat AS (SELECT 'high_cardinality' AS rule, 'info' AS severity, f AS feature, d AS n, round(d/present,6) AS ratio FROM cats WHERE d/present > 0.9 AND d > 100
  UNION ALL SELECT 'singleton_values', 'info', f, s, round(s/d,6) FROM cats WHERE s/d > 0.5 AND d > 20)"""
-ALL_ANOM = "SELECT * FROM mis UNION ALL SELECT * FROM geoa UNION ALL SELECT * FROM tim UNION ALL SELECT * FROM cat"
+ANOM += f""", outc AS ({" UNION ALL ".join(outlier_sql(c, "dt") for c in ("event_id", "user_id", "value", "lat", "long"))}),
+outl AS (SELECT 'outlier' AS rule, 'warning' AS severity, f AS feature, greatest(z,i) AS n, round(greatest(z,i)/rows,6) AS ratio FROM outc WHERE greatest(z,i)/rows > 0.05 AND rows >= 10),
+dupr AS (SELECT (sum(c)-count(*))::bigint AS n, (sum(c)-count(*))/sum(c) AS r FROM (SELECT count(*) AS c FROM dt GROUP BY event_id, user_id, kind, note, value, lat, long, event_time)),
+dup AS (SELECT 'duplicate_rows' AS rule, CASE WHEN r>0.1 THEN 'critical' WHEN r>0.01 THEN 'warning' ELSE 'info' END AS severity, '__all__' AS feature, n, round(r,6) AS ratio FROM dupr WHERE n > 0)"""
+ALL_ANOM = " UNION ALL ".join(f"SELECT * FROM {x}" for x in ("mis", "geoa", "tim", "cat", "outl", "dup"))
 reg(
     "pro6_dataset_card",
     lambda t: quality.dataset_card(dirty(t), "event_time", _findings_of(t)),
@@ -257,12 +269,7 @@ def _long_tail(t):
 TAIL = "tl AS (SELECT value, value*value AS squared, user_id::double AS user_id FROM events)"
 
 
-def _outlier_sql(c):
-    return f"""SELECT '{c}' AS f, count(*) AS rows, count(*) FILTER (WHERE abs({c}-m)>3.5*s) AS z, count(*) FILTER (WHERE {c} < q1-1.5*(q3-q1) OR {c} > q3+1.5*(q3-q1)) AS i
- FROM tl, (SELECT avg({c}) AS m, stddev_pop({c}) AS s, quantile_cont({c},0.25) AS q1, quantile_cont({c},0.75) AS q3 FROM tl)"""
-
-
-OUT = "o AS (" + " UNION ALL ".join(_outlier_sql(c) for c in ("value", "squared", "user_id")) + ")"
+OUT = "o AS (" + " UNION ALL ".join(outlier_sql(c, "tl") for c in ("value", "squared", "user_id")) + ")"
 reg(
     "ano2_outliers",
     lambda t: findings(quality.outlier_anomalies(_long_tail(t), share=0.01)),
@@ -295,13 +302,13 @@ SELECT 'duplicate_rows' AS rule, CASE WHEN r>0.1 THEN 'critical' WHEN r>0.01 THE
 )
 reg(
     "ano7_combined",
-    lambda t: findings(quality.anomalies(dirty(t), _as_of(), outliers=False, duplicates=False)),
+    lambda t: findings(quality.anomalies(dirty(t), _as_of())),
     f"WITH {DIRTY}, {ANOM} {ALL_ANOM}",
 )
 reg(
     "ano8_suppression",
-    lambda t: findings(quality.suppress_expected(quality.anomalies(dirty(t).withColumnRenamed("note", "close_date"), _as_of(), outliers=False, duplicates=False, categorical=False), "service_311")),
-    f"WITH {DIRTY}, {ANOM} SELECT * FROM mis WHERE feature<>'note' UNION ALL SELECT * FROM geoa UNION ALL SELECT * FROM tim",
+    lambda t: findings(quality.suppress_expected(quality.anomalies(dirty(t).withColumnRenamed("note", "close_date"), _as_of()), "service_311")),
+    f"WITH {DIRTY}, {ANOM}, a AS ({ALL_ANOM}) SELECT * REPLACE (CASE WHEN feature='note' THEN 'close_date' ELSE feature END AS feature) FROM a WHERE NOT (rule='missing_values' AND feature='note')",
 )
 
 # -- drift ---------------------------------------------------------------------------------------

@@ -267,16 +267,16 @@ reg(
 
 def _append(t):
     """Documents appended to a store that already holds the benchmark items."""
-    first = retrieval.append_chunks(None, t.benchmark.select("item_id", "text"), "item_id").select("chunk_id", "text")
-    more = retrieval.append_chunks(first, t.documents.select("doc_id", "text"), "doc_id").select("chunk_id", "text")
+    first = retrieval.append_chunks(None, t.benchmark.select("item_id", "text"), "item_id").select("chunk_id", "head", "text")
+    more = retrieval.append_chunks(first, t.documents.select("doc_id", "text"), "doc_id").select("chunk_id", "head", "text")
     return first.unionByName(more)
 
 
 reg(
     "vec1_append_chunks",
     _append,
-    """WITH b AS (SELECT row_number() OVER (ORDER BY item_id)-1 AS chunk_id, substr(text,1,500) AS text FROM benchmark) SELECT * FROM b
-UNION ALL SELECT row_number() OVER (ORDER BY doc_id)+(SELECT max(chunk_id) FROM b), substr(text,1,500) FROM documents""",
+    """WITH b AS (SELECT row_number() OVER (ORDER BY item_id)-1 AS chunk_id, substr(text,1,500) AS head, text FROM benchmark) SELECT * FROM b
+UNION ALL SELECT row_number() OVER (ORDER BY doc_id)+(SELECT max(chunk_id) FROM b), substr(text,1,500), text FROM documents""",
 )
 
 
@@ -289,15 +289,15 @@ def _chunk_table(t):
         "service_311": (_sentence(t).withColumnRenamed("case_id", "k"), F.col("text"), "k"),
         "berdo": (t.part.withColumnRenamed("p_partkey", "k"), render("Building. Property: ", F.col("p_name"), ". Type: ", F.col("p_type"), "."), "k"),
     }
-    return retrieval.render_all(parts, {"crime": 5000, "service_311": 5000})
+    return retrieval.render_all(parts)
 
 
 reg(
     "vec2_chunk_table",
     _chunk_table,
-    f"""WITH {INC}, {REQ}, a AS (SELECT * FROM inc ORDER BY {hash_sql('incident_number')}, incident_number LIMIT 5000), b AS (SELECT * FROM req ORDER BY {hash_sql('case_id')}, case_id LIMIT 5000)
-SELECT incident_number AS source_key, 'Crime incident. Type: '||offense_description||'. District: '||district||'. Hour: '||hour||'. Shooting: '||shooting::varchar||'.' AS text, 'crime' AS dataset FROM a
-UNION ALL SELECT case_id, {SENTENCE}, 'service_311' FROM b UNION ALL SELECT p_partkey, 'Building. Property: '||p_name||'. Type: '||p_type||'.', 'berdo' FROM part""",
+    f"""WITH {INC}, {REQ}
+SELECT incident_number AS source_key, 'Crime incident. Type: '||offense_description||'. District: '||district||'. Hour: '||hour||'. Shooting: '||shooting::varchar||'.' AS text, 'crime' AS dataset FROM inc
+UNION ALL SELECT case_id, {SENTENCE}, 'service_311' FROM req UNION ALL SELECT p_partkey, 'Building. Property: '||p_name||'. Type: '||p_type||'.', 'berdo' FROM part""",
 )
 reg(
     "vec4_contexts",

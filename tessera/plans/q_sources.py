@@ -261,19 +261,22 @@ reg(
 )
 
 
+ROW_HASH = F.conv(F.substring(F.md5(F.concat_ws("|", F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderstatus"))), 1, 15), 16, 10)
+
+
 def _manifest(t):
-    """Manifest of monthly runs over two layers; the content version is the row count here so that
-    SQL can restate it."""
+    """Manifest of monthly runs over two layers; the rows' hash is 60 bits of a digest that SQL has too."""
     raw = t.orders.select("*", F.trunc(F.col("o_orderdate").cast("date"), "MM").alias("run"))
     out = None
     for layer, df, col in (("raw", raw, F.lit("s1")), ("processed", raw.where("o_orderstatus <> 'P'"), F.lit("s2"))):
-        m = state.lineage_rows(df, "requests", layer, "run", col).withColumn("version", F.col("rows"))
+        m = state.lineage_rows(df, "requests", layer, "run", col, ROW_HASH)
         out = m if out is None else out.unionByName(m)
     return out
 
 
-MANIFEST = """mf AS (SELECT date_trunc('month', o_orderdate)::date AS run_date, 'requests' AS dataset, 'raw' AS layer, count(*) AS rows, 's1' AS schema_version, count(*) AS version FROM orders GROUP BY 1
-UNION ALL SELECT date_trunc('month', o_orderdate)::date, 'requests', 'processed', count(*), 's2', count(*) FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1)"""
+VERSION = "sum(('0x'||substr(md5(o_orderkey::varchar||'|'||o_custkey::varchar||'|'||o_orderstatus), 1, 15))::bigint)::varchar||'-'||count(*)::varchar"
+MANIFEST = f"""mf AS (SELECT date_trunc('month', o_orderdate)::date AS run_date, 'requests' AS dataset, 'raw' AS layer, count(*) AS rows, 's1' AS schema_version, {VERSION} AS version FROM orders GROUP BY 1
+UNION ALL SELECT date_trunc('month', o_orderdate)::date, 'requests', 'processed', count(*), 's2', {VERSION} FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1)"""
 reg("lin1_record_runs", _manifest, f"WITH {MANIFEST} SELECT * FROM mf")
 reg(
     "lin2_recent_runs",

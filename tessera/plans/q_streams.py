@@ -61,7 +61,7 @@ reg("stm4_drift_series_batch", lambda t: rounded(plain(metrics.drift_series(shap
 
 def _breaches(t):
     """Peak value above a limit for three hours in a row."""
-    peak = metrics.windowed(event_stream(t), "ts", "1 hour", [], [F.max("value").alias("peak")], "10 minutes")
+    peak = metrics.windowed(event_stream(t), "ts", "1 hour", [], [F.max("value").alias("peak")])
     hours = metrics.run_available(peak, "stm5", ["window_start"])
     return plain(metrics.breaches(hours, "peak", 20.0, run=3, seconds=3600))
 
@@ -76,7 +76,7 @@ SELECT window_start, peak FROM (SELECT *, count(*) OVER (ORDER BY window_start R
 
 def _rules(t):
     """Threshold rules over windowed sums."""
-    w = metrics.windowed(shaped(t.events), "ts", "1 day", [], [F.count_if(F.col("status_code") >= 400).alias("errors"), F.avg("value").alias("mean_value")], "1 day")
+    w = metrics.windowed(shaped(t.events), "ts", "1 day", [], [F.count_if(F.col("status_code") >= 400).alias("errors"), F.avg("value").alias("mean_value")])
     fired = metrics.threshold_alerts(w, [("error_count", "errors", 60), ("mean_value", "mean_value", 11)])
     return rounded(plain(fired))
 

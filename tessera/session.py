@@ -40,11 +40,13 @@ def prepare(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder that every executor can reach.
 
-    The cluster names its shared folder in ``spark.checkpoint.dir``; a machine-local folder is
-    only used where that is unset, as in tests.
+    The cluster names its shared folder in ``spark.checkpoint.dir``. Where that is unset, a local
+    session, as in tests, gets a temporary folder; on a cluster that would be lost data.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", base)
     return os.path.join(base, "tessera", f"{name}-{uuid.uuid4().hex}")

@@ -99,11 +99,11 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def synthetic_ids(df: DataFrame, order: str, out: str = "_id") -> DataFrame:
-    """Dense 1-based ids in the order of a unique numeric column, without a global sort."""
-    from tessera.operators.ordering import cumulative
+    """Dense 1-based ids in the order of a column, without a global sort. Every row gets its own id: ties are told apart
+    by a row hash, and rows without a value come last."""
+    from tessera.operators.ordering import numbered
 
-    ranks = cumulative(df, [], order).select(order, (F.col("before_n") + 1).cast("bigint").alias(out))
-    return df.join(ranks, order)
+    return numbered(df, order, "_before").withColumn(out, (F.col("_before") + 1).cast("bigint")).drop("_before")
 
 
 def schedule_csv(spark, path: str, mapping: Mapping[str, str], defaults: Mapping[str, object], contract: Mapping[str, str], order: str):

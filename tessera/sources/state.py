@@ -42,12 +42,17 @@ def ingest_stats(df: DataFrame, ts: str) -> DataFrame:
 # -- lineage: one row per (dataset, run_date, layer) --------------------------------------------
 
 
-def lineage_rows(df: DataFrame, dataset: str, layer: str, run: str, schema_version: Column) -> DataFrame:
-    """A manifest row per run date: row count and a content version (order-free hash)."""
+def lineage_rows(df: DataFrame, dataset: str, layer: str, run: str, schema_version: Column, row_hash: Column | None = None) -> DataFrame:
+    """A manifest row per run date: row count and a content version, the sum of the rows' hashes with their number.
+
+    The version does not depend on the rows' order, and rows that occur twice count twice.
+    """
+    if row_hash is None:
+        row_hash = F.xxhash64(*[c for c in df.columns if c != run])
     return df.groupBy(F.col(run).alias("run_date")).agg(
         F.lit(dataset).alias("dataset"), F.lit(layer).alias("layer"), F.count("*").alias("rows"),
         F.first(schema_version).alias("schema_version"),
-        F.bit_xor(F.xxhash64(*[c for c in df.columns if c != run])).alias("version"),
+        F.concat_ws("-", F.sum(row_hash.cast("decimal(28,0)")).cast("string"), F.count("*").cast("string")).alias("version"),
     )
 
 

@@ -27,33 +27,34 @@ def file_stream(spark: SparkSession, folder: str, schema, glob: str, files_per_t
     )
 
 
-def windowed(df: DataFrame, ts: str, size: str, keys: Sequence[str], aggs: Sequence[Column], late: str) -> DataFrame:
-    """Tumbling-window aggregates; streams drop rows later than ``late``."""
-    if df.isStreaming:
+def windowed(df: DataFrame, ts: str, size: str, keys: Sequence[str], aggs: Sequence[Column], late: str | None = None) -> DataFrame:
+    """Tumbling-window aggregates. Without ``late`` a stream counts every row, in whatever order files arrive, and keeps all
+    windows as state; with it, windows older than that are closed and what still arrives for them is dropped."""
+    if df.isStreaming and late:
         df = df.withWatermark(ts, late)
     out = df.groupBy(F.window(ts, size), *keys).agg(*aggs)
     return out.select(F.col("window.start").alias("window_start"), *[c for c in out.columns if c != "window"])
 
 
-def latency(df: DataFrame, ts="ts", value="value") -> DataFrame:
-    return windowed(df, ts, "60 seconds", [], [F.avg(value).alias("mean_latency"), F.max(value).alias("max_latency")], "10 minutes")
+def latency(df: DataFrame, ts="ts", value="value", late=None) -> DataFrame:
+    return windowed(df, ts, "60 seconds", [], [F.avg(value).alias("mean_latency"), F.max(value).alias("max_latency")], late)
 
 
-def request_sums(df: DataFrame, ts="ts", status="status") -> DataFrame:
+def request_sums(df: DataFrame, ts="ts", status="status", late=None) -> DataFrame:
     code = F.col("status_code")
     return windowed(
         df, ts, "60 seconds", [status],
         [F.count("*").alias("requests"), F.count_if(code >= 400).alias("errors"), F.count_if(code == 404).alias("not_found")],
-        "10 minutes",
+        late,
     )
 
 
-def tier_counts(df: DataFrame, ts="ts", tier="tier", value="value") -> DataFrame:
-    return windowed(df, ts, "300 seconds", [tier], [F.count("*").alias("served"), F.avg(value).alias("mean_value")], "10 minutes")
+def tier_counts(df: DataFrame, ts="ts", tier="tier", value="value", late=None) -> DataFrame:
+    return windowed(df, ts, "300 seconds", [tier], [F.count("*").alias("served"), F.avg(value).alias("mean_value")], late)
 
 
-def drift_series(df: DataFrame, ts="ts", feature="feature", value="value") -> DataFrame:
-    return windowed(df, ts, "1 day", [feature], [F.avg(value).alias("mean_drift"), F.max(value).alias("max_drift")], "1 day")
+def drift_series(df: DataFrame, ts="ts", feature="feature", value="value", late=None) -> DataFrame:
+    return windowed(df, ts, "1 day", [feature], [F.avg(value).alias("mean_drift"), F.max(value).alias("max_drift")], late)
 
 
 def run_available(
@@ -203,9 +204,10 @@ def score_metrics(found: DataFrame, keep: Sequence[str]) -> DataFrame:
     return found.select(*keep, name.alias("metric"), F.when(F.col("found"), F.col("risk_score")).otherwise(1.0).alias("point"), F.col("risk_tier").alias("tier"))
 
 
-def ingest_new(stream: DataFrame, ts: str, key: Sequence[str], since, late: str = "1 day") -> DataFrame:
-    """Rows past the stored watermark, each key once within the lateness bound."""
+def ingest_new(stream: DataFrame, ts: str, key: Sequence[str], since, late: str | None = None) -> DataFrame:
+    """All rows past the stored watermark, each key once. With ``late`` keys are forgotten after that time, and rows that
+    arrive later than that are dropped."""
     rows = stream.where(F.col(ts) >= since)
-    if not rows.isStreaming:
+    if not rows.isStreaming or not late:
         return rows.dropDuplicates(list(key))
     return rows.withWatermark(ts, late).dropDuplicatesWithinWatermark(list(key))
