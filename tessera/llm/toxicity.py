@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import batches, bounded_sample, out, small_batches
+from tessera.llm.common import batches, bounded_sample, out, settle, small_batches
 
 #: Labelled rows of each label that become examples, about; all if there are fewer.
 PER_LABEL = 3000
@@ -27,7 +27,9 @@ BLOCK = 64
 #: Word beginnings that are terms of their own, in letters.
 HEADS = (4, 5, 6)
 #: Likelihood ratio beyond which a term's shares differ; and the examples that it is in at least.
-RATIO, SEEN = 30.0, 3
+RATIO, SEEN = 24.0, 3
+#: How many times one label's share of a term has to be the other's; leaves out words of a language that is toxic a bit more often.
+LIFT = 4.0
 #: Similarity that the prior weighs in the vote.
 PRIOR = 0.25
 REJECT = 0.7
@@ -137,11 +139,17 @@ class Reader:
         return Counter(t for found in filter(None, map(self.known.__getitem__, (text or "").lower().split())) for t in found)
 
 
-def fit(labelled: DataFrame, per_label: int = PER_LABEL) -> Index:
-    """Examples from rows (doc_id, text, toxic): about ``per_label`` of each label. Rows with a null text or label are left out."""
-    spark = small_batches(labelled.sparkSession)
-    rows = labelled.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), (F.col("toxic") > 0).cast("int").alias("toxic")).dropna(subset=["text", "toxic"])
-    sample, counts = bounded_sample(rows, "toxic", per_label)
+def fit(documents: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Index:
+    """Examples from documents (doc_id, text) and labels (doc_id, toxic): about ``per_label`` documents of each label.
+
+    Of several labels of a document the highest counts; null labels, null texts and labels without a document are passed over.
+    The drawn ids, whose number per_label bounds, are broadcast, so that no other text is moved.
+    """
+    spark = small_batches(documents.sparkSession)
+    marks = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), (F.col("toxic") > 0).cast("int").alias("toxic")).dropna().groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    drawn, counts = bounded_sample(marks, "toxic", per_label)
+    texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).dropna()
+    sample = settle(texts.join(F.broadcast(drawn), "doc_id").select("doc_id", "text", "toxic"), "examples")
     schema = pa.schema([("term", pa.string()), ("clean", pa.int64()), ("toxic", pa.int64())])
 
     def run(parts):
@@ -163,7 +171,8 @@ def fit(labelled: DataFrame, per_label: int = PER_LABEL) -> Index:
 
     share = f"((a + b) / {max(1, n0 + n1)})"
     ratio = "2 * (" + " + ".join([part("a", str(n0), share), part("b", str(n1), share), part(f"({n0} - a)", str(n0), f"(1 - {share})"), part(f"({n1} - b)", str(n1), f"(1 - {share})")]) + ")"
-    chosen = found.filter(f"a + b >= {SEEN} and {ratio} >= {RATIO}").orderBy("term").select("term", (F.col("a") + F.col("b")).alias("n")).toPandas()
+    apart = f"greatest((a + 0.5) / {n0 + 1}, (b + 0.5) / {n1 + 1}) >= {LIFT} * least((a + 0.5) / {n0 + 1}, (b + 0.5) / {n1 + 1})"
+    chosen = found.filter(f"a + b >= {SEEN} and {ratio} >= {RATIO} and {apart}").orderBy("term").select("term", (F.col("a") + F.col("b")).alias("n")).toPandas()
     terms = {t: i for i, t in enumerate(chosen["term"])}
     idf = np.log((n0 + n1 + 1) / (chosen["n"].to_numpy(float) + 1)) + 1
 
@@ -219,9 +228,3 @@ def score(df: DataFrame, index: Index, text: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(scores, pa.float64()), pa.array(near_ones, evidence)], names=[*kept, "toxicity", "evidence"])
 
     return source.mapInArrow(run, fields + "toxicity double, evidence array<struct<doc_id: bigint, similarity: double, toxic: int>>")
-
-
-def labelled(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, text, toxic) of documents with a label; of several labels of a document the highest counts."""
-    marks = labels.filter("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    return documents.select("doc_id", "text").join(marks, "doc_id")
