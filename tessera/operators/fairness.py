@@ -42,11 +42,18 @@ def representation(
     )
 
 
+def zero_or_one(column: str) -> Column:
+    """A 0/1 (or boolean) column as int; any other value, such as a score, stops the query instead of being cut to 0."""
+    value = F.col(column).cast("double")
+    wrong = F.raise_error(F.concat(F.lit(f"{column} is not 0 or 1: "), value.cast("string"))).cast("int")
+    return F.when(value.isNull() | value.isin(0.0, 1.0), value.cast("int")).otherwise(wrong)
+
+
 def outcome_rates(df: DataFrame, dimension: str, outcome: str, min_size: int = 1) -> DataFrame:
     """Group rates of a 0/1 outcome with the overall rate and the parity difference. The overall
     numbers come from the group rows."""
     g = df.where(F.col(dimension).isNotNull()).groupBy(F.col(dimension).cast("string").alias("value")).agg(
-        F.count("*").alias("size"), F.sum(F.col(outcome).cast("int")).alias("_pos")
+        F.count("*").alias("size"), F.sum(zero_or_one(outcome)).alias("_pos")
     )
     g = g.where(F.col("size") >= min_size)
     rate = numbers.ratio("_pos", "size", 0.0)

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import StringIndexer, VectorAssembler, VectorIndexer
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame
@@ -35,6 +35,10 @@ class ModelConfig:
     step: float = 0.1
     rmse_gate: float = 0.5
     ratio_gate: float = 2.0
+    #: Which over-fit ratio the gate looks at: "train/val", "val/train" or "both".
+    ratio: str = "train/val"
+    #: Inputs with at most this many distinct values are split as categories; the hour bucket has six.
+    categories: int = 8
     min_cells: int = 500
     min_rows: int = 100
     slice_dimensions: Sequence[str] = ("district", "hour_bucket")
@@ -67,8 +71,17 @@ def regressor(cfg: ModelConfig) -> GBTRegressor:
 
 def fit(train: DataFrame, cfg: ModelConfig) -> PipelineModel:
     """Boosted trees on absolute loss over the configured inputs."""
-    assembler = VectorAssembler(inputCols=list(cfg.inputs), outputCol="features", handleInvalid="keep")
-    return Pipeline(stages=[assembler, regressor(cfg)]).fit(train)
+    return Pipeline(stages=[*inputs(cfg), regressor(cfg)]).fit(train)
+
+
+def inputs(cfg: ModelConfig) -> list:
+    """Inputs as one vector, with the hour bucket as a category rather than a number."""
+    names = [c for c in cfg.inputs if c != "hour_bucket"]
+    if len(names) == len(cfg.inputs):
+        return [VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep")]
+    bucket = VectorAssembler(inputCols=["hour_bucket"], outputCol="_bucket", handleInvalid="keep")
+    nominal = VectorIndexer(inputCol="_bucket", outputCol="_nominal", maxCategories=cfg.categories, handleInvalid="keep")
+    return [bucket, nominal, VectorAssembler(inputCols=["_nominal", *names], outputCol="features", handleInvalid="keep")]
 
 
 def search(train: DataFrame, cfg: ModelConfig, parallelism: int = 2) -> dict:
@@ -77,7 +90,7 @@ def search(train: DataFrame, cfg: ModelConfig, parallelism: int = 2) -> dict:
     grid = ParamGridBuilder()
     for name, values in cfg.grid.items():
         grid = grid.addGrid(gbt.getParam(name), list(values))
-    rows = VectorAssembler(inputCols=list(cfg.inputs), outputCol="features", handleInvalid="keep").transform(train)
+    rows = Pipeline(stages=inputs(cfg)).fit(train).transform(train)
     evaluator = RegressionEvaluator(labelCol=cfg.target, predictionCol="raw_prediction", metricName="rmse")
     tvs = TrainValidationSplit(
         estimator=gbt, estimatorParamMaps=grid.build(), evaluator=evaluator, trainRatio=0.8, parallelism=parallelism, seed=42
@@ -88,7 +101,7 @@ def search(train: DataFrame, cfg: ModelConfig, parallelism: int = 2) -> dict:
 
 def predict(model: PipelineModel, df: DataFrame, out: str = "predicted_danger") -> DataFrame:
     """Predictions with a floor of zero."""
-    return model.transform(df).withColumn(out, F.greatest("raw_prediction", F.lit(0.0))).drop("raw_prediction", "features")
+    return model.transform(df).withColumn(out, F.greatest("raw_prediction", F.lit(0.0))).drop("raw_prediction", "features", "_bucket", "_nominal")
 
 
 def rmse(df: DataFrame, truth: str, predicted: str) -> float:
@@ -96,7 +109,8 @@ def rmse(df: DataFrame, truth: str, predicted: str) -> float:
 
 
 def error_gate(train: DataFrame, val: DataFrame, truth: str, predicted: str, cfg: ModelConfig) -> DataFrame:
-    """RMSE, both over-fit ratios and the cell count with their pass flags, one row."""
+    """RMSE, both over-fit ratios and the cell count, and whether all limits hold, one row. ``cfg.ratio`` picks the ratio."""
+    looked_at = {"train/val": ["train_over_val"], "val/train": ["val_over_train"], "both": ["train_over_val", "val_over_train"]}[cfg.ratio]
     err = F.sqrt(F.avg(F.pow(F.col(truth) - F.col(predicted), 2)))
     out = val.agg(err.alias("rmse_val"), F.count_distinct("h3_index").alias("cells"))
     out = out.withColumn("rmse_train", scalar(train, err))
@@ -108,13 +122,14 @@ def error_gate(train: DataFrame, val: DataFrame, truth: str, predicted: str, cfg
     )
     return out.withColumn(
         "passed",
-        (F.col("rmse_val") <= cfg.rmse_gate) & (F.col("train_over_val") <= cfg.ratio_gate) & (F.col("cells") >= cfg.min_cells),
+        (F.col("rmse_val") <= cfg.rmse_gate) & (F.greatest(*map(F.col, looked_at), F.lit(0.0)) <= cfg.ratio_gate) & (F.col("cells") >= cfg.min_cells),
     )
 
 
 def importance(spark, model: PipelineModel, cfg: ModelConfig) -> DataFrame:
     weights = model.stages[-1].featureImportances.toArray().tolist()
-    rows = sorted(zip(cfg.inputs, weights), key=lambda r: -r[1])
+    names = sorted(cfg.inputs, key=lambda c: c != "hour_bucket")  # the order of ``inputs``
+    rows = sorted(zip(names, weights), key=lambda r: -r[1])
     return spark.createDataFrame(rows, "feature string, importance double")
 
 

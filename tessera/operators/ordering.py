@@ -19,14 +19,26 @@ from pyspark.sql import functions as F
 
 from tessera.operators.joining import settle, sized
 
-BUCKETS = 256  # bounds both the sketch result on the driver and the prefix-sum rows per group
+BUCKETS = 256  # at least; more where buckets would hold more than BUCKET_ROWS rows
+BUCKET_ROWS = 2_000_000
+MAX_BUCKETS = 65_536  # bounds both the sketch result on the driver and the prefix-sum rows per group
 
 
 def boundaries(df: DataFrame, value: str, buckets: int = BUCKETS) -> list[float]:
-    """At most ``buckets - 1`` increasing cut points of about equal weight."""
-    probs = [i / buckets for i in range(1, buckets)]
-    cuts = df.agg(F.percentile_approx(value, probs, 10_000).alias("c")).first().c
-    return sorted({c for c in cuts or [] if math.isfinite(c)})
+    """Increasing cut points of about equal weight: ``buckets - 1`` at most, or as many as keep buckets at BUCKET_ROWS rows.
+
+    The first read counts the rows beside its sketch; only tables too large for ``buckets`` are sketched again, finer.
+    """
+
+    def sketch(n: int, accuracy: int):
+        probs = [i / n for i in range(1, n)]
+        return df.agg(F.percentile_approx(value, probs, accuracy).alias("c"), F.count(value).alias("n")).first()
+
+    found = sketch(buckets, 10_000)
+    wanted = min(MAX_BUCKETS, -(-found.n // BUCKET_ROWS))
+    if wanted > buckets:
+        found = sketch(wanted, 8 * wanted)
+    return sorted({c for c in found.c or [] if math.isfinite(c)})
 
 
 def add_bucket(df: DataFrame, value: str, cuts: list[float], out: str = "_bucket") -> DataFrame:
@@ -50,7 +62,7 @@ def _positioned(df, keys, order, position):
 
 def _offsets(bucketed, keys, names):
     """Per (group, bucket) of ``_in_<name>`` sums: weight before the bucket and in the group."""
-    group = Window.partitionBy(*(keys or [F.lit(0)]))  # at most BUCKETS rows per group
+    group = Window.partitionBy(*(keys or [F.lit(0)]))  # at most MAX_BUCKETS rows per group
     before = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     cols = []
     for n in names:
@@ -82,7 +94,7 @@ def cumulative(
     values = add_bucket(values, "_pos", boundaries(rows, "_pos", buckets))
     per_bucket = values.groupBy(*keys, "_bucket").agg(*[F.sum(n).alias(f"_in_{n}") for n in names])
     offsets = _offsets(per_bucket, keys, names)
-    # without keys the offsets are at most BUCKETS rows; with keys both sides share a partitioning
+    # without keys the offsets are at most MAX_BUCKETS rows; with keys both sides share a partitioning
     out = values.join(offsets if keys else F.broadcast(offsets), [*keys, "_bucket"])
     return out.select(
         *keys,
@@ -100,7 +112,7 @@ def mid_ranks(counts: DataFrame, value: str, weight: str, buckets: int = BUCKETS
     rows = _positioned(counts, [], value, None)
     rows = add_bucket(rows, "_pos", boundaries(rows, "_pos", buckets))
     per_bucket = rows.groupBy("_bucket").agg(F.sum(weight).alias("_in_n"))
-    offsets = F.broadcast(_offsets(per_bucket, [], ["n"]).drop("_in_n", "total_n"))  # at most BUCKETS rows
+    offsets = F.broadcast(_offsets(per_bucket, [], ["n"]).drop("_in_n", "total_n"))  # at most MAX_BUCKETS rows
     upto = Window.partitionBy("_bucket").orderBy("_v").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     same = Window.partitionBy("_bucket", "_v")
     out = rows.join(offsets, "_bucket").withColumns({"_le": F.sum(weight).over(upto), "ties": F.sum(weight).over(same)})

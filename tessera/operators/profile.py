@@ -157,3 +157,11 @@ def training_baseline(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         "column", "mean", "std", "min", F.col("q1").alias("p25"), F.col("median").alias("p50"),
         F.col("q3").alias("p75"), "max", (F.col("missing_ratio") * 100).alias("null_pct"),
     )
+
+
+def categorical_baseline(df: DataFrame, columns: Sequence[str], top: int = 20) -> DataFrame:
+    """Per text column the ``top`` most frequent values with their share of the present ones, and the number of distinct values."""
+    counts = value_counts(df, columns)
+    sizes = counts.groupBy("column").agg(F.sum("n").alias("_present"), F.count("*").alias("n_unique"))
+    kept = top_values(counts, top).join(sizes, "column")
+    return kept.select("column", "value", "n", numbers.ratio("n", "_present", 0.0).alias("share"), "n_unique")

@@ -233,6 +233,15 @@ def outlier_sql(c, table):
     return f"""SELECT '{c}' AS f, count(*) AS rows, count(*) FILTER (WHERE abs({c}-m)>3.5*s) AS z, count(*) FILTER (WHERE {c} < q1-1.5*(q3-q1) OR {c} > q3+1.5*(q3-q1)) AS i
  FROM {table}, (SELECT avg({c}) AS m, stddev_pop({c}) AS s, quantile_cont({c}::double,0.25) AS q1, quantile_cont({c}::double,0.75) AS q3 FROM {table})"""
 
+_CATEGORIES = ["p_brand", "p_type", "p_name"]
+reg(
+    "pro5_categorical_baseline",
+    lambda t: rounded(profile.categorical_baseline(t.part, _CATEGORIES)),
+    "WITH c AS (" + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", {c} AS value, count(*) AS n FROM part WHERE {c} IS NOT NULL GROUP BY 2" for c in _CATEGORIES)
+    + """), s AS (SELECT "column", sum(n) AS present, count(*) AS n_unique FROM c GROUP BY 1)
+SELECT "column", value, n, round(n/present, 6) AS share, n_unique FROM c JOIN s USING ("column") QUALIFY row_number() OVER (PARTITION BY "column" ORDER BY n DESC, value) <= 20""",
+)
+
 
 def _findings_of(t):
     return quality.suppress_expected(quality.anomalies(dirty(t), _as_of()), "service_311")

@@ -17,6 +17,9 @@ from tessera.sources.layers import LayerStore
 # -- model ---------------------------------------------------------------------------------------
 
 
+LOOK_BACK = 30
+
+
 def _dated_features(t):
     """Two dated feature snapshots of the cells, written and read back as a layer."""
     store = LayerStore(t.spark, scratch_dir(t.spark, "features"))
@@ -26,7 +29,12 @@ def _dated_features(t):
         r = ref - F.expr(f"INTERVAL {shift} DAYS")
         snap = features.bucket_sums(inc.where(F.col("occurred_on_date") <= r), r, CFG).drop("_weekend_30d")
         store.write(snap.withColumns({"computed_date": r.cast("date"), "dt": r.cast("date")}), "cells", "features")
-    return store.between("cells", "features", "2023-12-01", "2025-01-01").drop("date")
+    newest = scalar(store.dates("cells", "features"), F.max("dt"))
+    rows = store.scan("cells", "features").where((F.col("dt") > F.date_sub(newest, LOOK_BACK)) & (F.col("dt") <= newest))
+    missing = {"h3_index", "hour_bucket", "computed_date", "weighted_score_30d"} - set(rows.columns)
+    if missing:
+        raise ValueError(f"features lack {sorted(missing)}")
+    return rows.drop("dt")
 
 
 SNAP = """SELECT h3_index, hour_bucket, r::date AS computed_date, coalesce(sum(severity_weight) FILTER (WHERE occurred_on_date >= r - INTERVAL 30 DAY),0) AS weighted_score_30d, count(*) FILTER (WHERE occurred_on_date >= r - INTERVAL 30 DAY) AS incident_count_30d
@@ -56,7 +64,8 @@ reg(
     lambda t: rounded(features.training_matrix(_base(t), _labels(t))),
     f"WITH {MATRIX} SELECT * REPLACE (round(danger_rate,6) AS danger_rate) FROM mx",
 )
-SMALL = model.ModelConfig(trees=5, depth=3, rmse_gate=100.0, ratio_gate=100.0, min_cells=10, grid={"maxDepth": (2, 3)}, max_slice_deviation=10.0, max_slice_multiple=10.0)
+#: The library's own settings and limits, but for the RMSE limit, the slice limits and the cell count, which are set to the scale of these tables.
+SMALL = model.ModelConfig(ratio="both", rmse_gate=3.0, min_cells=50, max_slice_deviation=2.0)
 
 
 def _matrix(t):
@@ -111,7 +120,7 @@ reg(
     "mod6_error_gate",
     _gate,
     f"""WITH {MATRIX}, e AS (SELECT h3_index, hour_bucket, pow(danger_rate-{RULE},2) AS e FROM mx), v AS (SELECT sqrt(avg(e)) FILTER (WHERE true) AS rv, count(DISTINCT h3_index) AS cells FROM e WHERE hour_bucket=3), tr AS (SELECT sqrt(avg(e)) AS rt FROM e WHERE hour_bucket<>3)
-SELECT round(rv,6) AS rmse_val, cells, round(rt,6) AS rmse_train, round(rt/rv,6) AS train_over_val, round(rv/rt,6) AS val_over_train, rv<=100 AND rt/rv<=100 AND cells>=10 AS passed FROM v, tr""".replace(" FILTER (WHERE true)", ""),
+SELECT round(rv,6) AS rmse_val, cells, round(rt,6) AS rmse_train, round(rt/rv,6) AS train_over_val, round(rv/rt,6) AS val_over_train, rv<=3 AND greatest(rt/rv, rv/rt)<=2 AND cells>=50 AS passed FROM v, tr""".replace(" FILTER (WHERE true)", ""),
 )
 
 

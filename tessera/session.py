@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -34,9 +35,29 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the operators assume to a session we were handed."""
     for key, value in DEFAULTS.items():
         spark.conf.set(key, value)
+    ship(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give executors this package once per application, for the few operators that run Python there."""
+    context = spark.sparkContext
+    if context.master.startswith("local[") or context.master == "local" or context.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(context.applicationId)
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="spark-"), "tessera.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(os.path.join(root, "tessera")):
+            for name in names:
+                if name.endswith(".py"):
+                    z.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), root))
+    context.addPyFile(archive)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder that every executor can reach.
 

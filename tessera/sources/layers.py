@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import clean
-from tessera.operators.joining import scalar
 
 DT = "dt"
 
@@ -45,6 +44,36 @@ class LayerStore:
             .partitionBy(DT)
             .parquet(self.path(dataset, layer))
         )
+        self._point(dataset, layer, date or max(self._folders(dataset, layer), default=None))
+
+    def _fs(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p, p.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _point(self, dataset: str, layer: str, date: str | None) -> None:
+        """Move the table's pointer to a date. Readers of the table pass over files that begin with an underscore."""
+        if date is not None:
+            p, fs = self._fs(f"{self.path(dataset, layer)}/_latest")
+            file = fs.create(p, True)
+            file.writeBytes(str(date))
+            file.close()
+
+    def pointer(self, dataset: str, layer: str) -> str | None:
+        """The date that was written last, or None where nothing has been."""
+        p, fs = self._fs(f"{self.path(dataset, layer)}/_latest")
+        if not fs.exists(p):
+            return None
+        file = fs.open(p)
+        try:
+            return bytes(file.readAllBytes()).decode()
+        finally:
+            file.close()
+
+    def _folders(self, dataset: str, layer: str) -> list[str]:
+        """Dates with a partition, from a listing of the table's folder; no data file is opened."""
+        p, fs = self._fs(self.path(dataset, layer))
+        names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+        return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{DT}=") and "HIVE_DEFAULT" not in n)
 
     def partition(self, dataset: str, layer: str, date: str) -> DataFrame:
         return self.scan(dataset, layer).where(F.col(DT) == F.lit(date).cast("date"))
@@ -61,8 +90,9 @@ class LayerStore:
         return self.scan(dataset, layer).where((F.col(DT) > F.date_sub(end, days)) & (F.col(DT) <= end))
 
     def dates(self, dataset, layer, after: str | None = None, before: str | None = None, newest_first=False) -> DataFrame:
-        """Partition dates; reads partition values, not data columns."""
-        d = self.scan(dataset, layer).select(DT).distinct()
+        """Partition dates, from the folder listing: one entry per date, whatever the number of files and rows."""
+        found = [(x,) for x in self._folders(dataset, layer)]
+        d = self.spark.createDataFrame(found, f"{DT} string").select(F.col(DT).cast("date").alias(DT))
         if after:
             d = d.where(F.col(DT) >= F.lit(after).cast("date"))
         if before:
@@ -70,9 +100,9 @@ class LayerStore:
         return d.orderBy(F.desc(DT) if newest_first else DT)
 
     def latest(self, dataset: str, layer: str) -> DataFrame:
-        """Newest snapshot: the partition filter is a scalar subquery, so only it is scanned."""
-        df = self.scan(dataset, layer)
-        return df.where(F.col(DT) == scalar(self.scan(dataset, layer), F.max(DT)))
+        """The snapshot that the pointer names, or the newest date of a table without one; only that partition is scanned."""
+        date = self.pointer(dataset, layer) or max(self._folders(dataset, layer), default=None)
+        return self.partition(dataset, layer, date) if date else self.scan(dataset, layer).limit(0)
 
     def files(self, dataset: str, layer: str) -> DataFrame:
         """File metadata per partition from the hidden metadata column."""
