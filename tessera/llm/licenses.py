@@ -67,7 +67,7 @@ def strings(values: list[str]) -> str:
 
 def scan(df: DataFrame, often: dict[str, int], text: str = "text") -> DataFrame:
     """The frame with n_words, places (start and label of each phrase's places), matches (label, first word and score of each block
-    that meets a notice) and score (the largest share of a template among all that are met) instead of such columns.
+    that meets a notice) and score (1 with a place, else the largest share among the notices met) instead of such columns.
 
     ``often`` orders the words; any order gives the same result. Null and empty texts have no words, no matches and score 0.
     Rows stay as they are, repeated ones too.
@@ -102,5 +102,5 @@ def scan(df: DataFrame, often: dict[str, int], text: str = "text") -> DataFrame:
         i -> named_struct('start', cast(i as bigint), 'label', p.label))))"""
     found = found.withColumn("places", F.expr(f"array_sort({places})"))
     found = found.withColumn("matches", F.expr(f"transform(filter({met}, p -> p.id >= {len(phrases)}), p -> named_struct('label', p.label, 'start', cast(p.b * {STEP} as bigint), 'score', p.common / p.size))"))
-    found = found.withColumn("score", F.expr(f"cast(coalesce(array_max(transform({met}, p -> p.common / p.size)), 0) as double)"))
+    found = found.withColumn("score", F.expr("cast(if(size(places) > 0, 1, coalesce(array_max(matches.score), 0)) as double)"))
     return found.withColumn("n_words", F.size("_words").cast("bigint")).select(*kept, "n_words", "places", "matches", "score")

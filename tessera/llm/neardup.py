@@ -33,7 +33,7 @@ from tessera.llm.shingles import MinHash, shingle_sets
 
 K = 64
 #: Most nodes of a block of a posting list.
-BLOCK = 256
+BLOCK = 512
 #: Largest probability that a pair exactly at the similarity limit has too few collisions.
 MISS = 1e-6
 
@@ -195,9 +195,13 @@ def counted(postings: DataFrame, threshold: int) -> DataFrame:
                     _, column, often = np.unique(flat, return_inverse=True, return_counts=True)
                     shared = np.cumsum(often > 1) - 1
                     keep = often[column] > 1
-                    m = np.zeros((n, int((often > 1).sum())), np.float32)
-                    m[owner[keep], shared[column[keep]]] = 1
-                    hits[kind] = m @ m.T
+                    owner, column = owner[keep], shared[column[keep]]
+                    hits[kind] = np.zeros((n, n), np.float32)
+                    for first in range(0, int(shared[-1]) + 1 if len(shared) else 0, 4096):  # bounds the memory of long lists
+                        part = (column >= first) & (column < first + 4096)
+                        m = np.zeros((n, 4096), np.float32)
+                        m[owner[part], column[part] - first] = 1
+                        hits[kind] += m @ m.T
                 good = (hits["ahead"] == 0) & (hits["all"] >= threshold) & (component[:, None] != component[None, :])
                 good &= node[:, None] > node[None, :]
                 if i != j:

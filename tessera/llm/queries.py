@@ -152,11 +152,11 @@ blocks AS (SELECT doc_id, w[b + 1:b + {2 * step}] AS held FROM (SELECT doc_id, w
 pairs AS (SELECT b.doc_id, t.id, t.label, t.o, len(list_intersect(t.own, b.held)) AS common, len(t.own) AS n, len(list_distinct(b.held)) AS held
     FROM blocks b JOIN templates t ON list_has_any(t.own, b.held)),
 met AS (SELECT doc_id, list(DISTINCT label) AS labels FROM pairs WHERE id >= {len(licenses.PHRASES)} AND common >= o GROUP BY 1),
-best AS (SELECT doc_id, max(common / n) AS score FROM pairs WHERE common >= o GROUP BY 1)
+best AS (SELECT doc_id, max(common / n) AS score FROM pairs WHERE id >= {len(licenses.PHRASES)} AND common >= o GROUP BY 1)
 SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(coalesce(b.n_base, 0) AS BIGINT) AS n_base, CAST(b.first_word AS BIGINT) AS first_word, CAST(b.last_word AS BIGINT) AS last_word,
     coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,
     coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(m.labels, [])))), ','), '') AS labels,
-    CAST(coalesce(s.score, 0) AS DOUBLE) AS score
+    CAST(CASE WHEN b.n_base > 0 THEN 1 ELSE coalesce(s.score, 0) END AS DOUBLE) AS score
 FROM words w LEFT JOIN base b USING (doc_id) LEFT JOIN met m USING (doc_id) LEFT JOIN best s USING (doc_id)"""
 
 
