@@ -126,3 +126,19 @@ def test_nan_is_missing_and_infinities_are_values(spark):
     got = ordering.quantiles(df, [], "x", {"lo": 0.0, "m": 0.5, "hi": 1.0, "q3": 0.75}).first()
     assert (got.lo, got.m, got.hi, got.q3) == (-inf, 2.0, inf, inf)
     assert ordering.cumulative(df, [], "x").count() == 4
+
+
+def test_bucket_count_follows_the_rows(spark, monkeypatch):
+    """Twice the rows are twice the buckets: the largest bucket does not grow with the table."""
+    monkeypatch.setattr(ordering, "BUCKETS", 4)
+    monkeypatch.setattr(ordering, "BUCKET_ROWS", 100)
+
+    def largest(n):
+        df = spark.range(n).selectExpr("id * 7919 % 100003 as v")
+        cuts = ordering.boundaries(df, "v", 4)
+        return ordering.add_bucket(df, "v", cuts).groupBy("_bucket").count().agg({"count": "max"}).first()[0]
+
+    small, large = largest(4000), largest(8000)
+    assert small <= 160 and large <= 160
+    got = ordering.quantiles(spark.range(4001).selectExpr("id * 1000 % 4001 as v"), [], "v", {"m": 0.5}, 4).first().m
+    assert got == 2000.0

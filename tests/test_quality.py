@@ -162,3 +162,12 @@ def test_quantile_slices_cover_the_table(spark):
     const = slices.by_quantiles(spark.createDataFrame([(1.0,)] * 5, "x double"), "x", 4)
     assert const.count() == 0
     assert slices.by_quantiles(df.where("false"), "x").count() == 0
+
+
+def test_outcomes_other_than_0_and_1_are_rejected(spark):
+    from tessera.operators import fairness
+
+    good = spark.createDataFrame([("a", 1.0), ("a", 0.0), ("b", None)], "g string, y double")
+    assert {r.value: r.rate for r in fairness.outcome_rates(good, "g", "y").collect()}["a"] == 0.5
+    with pytest.raises(Exception, match="not 0 or 1"):
+        fairness.outcome_rates(spark.createDataFrame([("a", 0.9)], "g string, y double"), "g", "y").collect()

@@ -83,10 +83,28 @@ def test_question_evaluation(spark):
 def test_chunk_ids_continue(spark):
     first = retrieval.append_chunks(None, spark.createDataFrame([(5, "a" * 600), (9, "b")], "k long, text string"), "k")
     more = retrieval.append_chunks(first, spark.createDataFrame([(2, "c")], "k long, text string"), "k")
-    assert sorted((r.chunk_id, len(r.text)) for r in first.collect()) == [(0, 500), (1, 1)]
+    assert sorted((r.chunk_id, len(r.text), len(r.head)) for r in first.collect()) == [(0, 600, 500), (1, 1, 1)]
     assert more.first().chunk_id == 2
 
 
+def test_every_row_gets_an_id(spark):
+    df = spark.createDataFrame([(2, "a"), (1, "b"), (None, "c"), (2, "d"), (None, None)], "k long, text string")
+    rows = layers.synthetic_ids(df, "k").orderBy("_id").collect()
+    assert [r._id for r in rows] == [1, 2, 3, 4, 5] and [r.k for r in rows] == [1, 2, 2, None, None]
+    many = layers.synthetic_ids(spark.range(3000).selectExpr("if(id % 3 = 0, 7, id) as k", "id"), "k").orderBy("_id").collect()
+    assert [r._id for r in many] == list(range(1, 3001)) and [r.k for r in many] == sorted(r.k for r in many)
+    assert layers.synthetic_ids(df.limit(0), "k").count() == 0
+
+
+def test_latest_follows_the_pointer(spark, tmp_path):
+    store = layers.LayerStore(spark, str(tmp_path))
+    assert store.pointer("t", "raw") is None
+    for d, v in (("2024-01-02", 2), ("2024-01-01", 1)):
+        store.write(spark.createDataFrame([(v,)], "x int"), "t", "raw", d)
+    assert store.pointer("t", "raw") == "2024-01-01" and store.latest("t", "raw").first().x == 1
+    assert [str(r.dt) for r in store.dates("t", "raw").collect()] == ["2024-01-01", "2024-01-02"]
+
+
 def test_layer_store_round_trip(spark, tmp_path):
     store = layers.LayerStore(spark, str(tmp_path), merge_schema=True)
     for d, v in (("2024-01-01", 1), ("2024-01-02", 2)):
