@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from string import Formatter
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -141,6 +142,33 @@ def render(*parts: str | Column) -> Column:
     )
 
 
+#: The sentence by which a record of each dataset is described; {a|b} takes b where a is missing.
+RECORDS = {
+    "crime": "Crime incident in Boston. Type: {offense_description}. Category: {offense_category}. District: {district}. Street: {street}. "
+    "Date: {occurred_on_date}. Hour: {hour}. Day: {day_of_week}. Shooting: {shooting}.",
+    "service_311": "Boston 311 service request. Topic: {case_topic}. Service: {service_name}. Status: {case_status}. Neighborhood: {neighborhood}. "
+    "Department: {assigned_department}. Opened: {open_date}. Closed: {close_date}. On time: {on_time}.",
+    "food_inspections": "Boston food inspection. Restaurant: {businessname}. Address: {address}. Result: {result}. Date: {resultdttm}. License: {licenseno}.",
+    "cityscore": "Boston CityScore metric. Metric: {metric_name}. Day score: {day_score}. Week score: {week_score}. Month score: {month_score}. "
+    "Target: {target}. Date: {date|timestamp}.",
+    "berdo": "Boston building emissions (BERDO). Property: {property_name}. Address: {address}. Type: {property_type}. Energy use: {site_energy_use_kbtu} kBtu. "
+    "Emissions: {total_ghg_emissions} metric tons CO2. Energy Star score: {energy_star_score}. Year: {reporting_year}.",
+    "street_sweeping": "Boston street sweeping schedule. Street: {full_street_name}. From: {from_street}. To: {to_street}. District: {district}. "
+    "Side: {side_of_street}. Season: {season_start} to {season_end}. Frequency: {week_type}. Tow zone: {tow_zone}.",
+}
+
+
+def record(dataset: str, columns: Sequence[str]) -> Column:
+    """The sentence of a dataset's record; columns that a frame lacks and NULLs read "Unknown", a missing shooting "False"."""
+    parts = []
+    for text, names, _, _ in Formatter().parse(RECORDS[dataset]):
+        parts.append(text)
+        if names:
+            there = [F.col(n).cast("string") for n in names.split("|") if n in columns]
+            parts.append(F.coalesce(*there, F.lit("False" if names == "shooting" else "Unknown")))
+    return render(*[p for p in parts if not isinstance(p, str) or p])
+
+
 def keyword_hits(text, keywords) -> Column:
     """Those array elements that occur in the text, ignoring case."""
     low = F.lower(col(text))

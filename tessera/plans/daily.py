@@ -19,7 +19,7 @@ from tessera.sources.layers import LayerStore
 
 @dataclass
 class DailyRun:
-    """What one run leaves behind. Tables stay in the store; these are small frames."""
+    """What one run leaves behind; the store keeps all of it under the run's date."""
 
     dataset: str
     date: str
@@ -35,15 +35,28 @@ def _gate(run: DailyRun, name: str, findings: DataFrame, strict: bool) -> None:
     run.findings[name] = quality.enforce(settle(findings), strict)
 
 
+def stored_watermark(store: LayerStore, dataset: str, before: str | None = None):
+    """The newest watermark that runs of earlier dates have stored, or None."""
+    dates = [d for d in store.stored_dates(dataset, "watermarks") if before is None or d < before]
+    if not dates:
+        return None
+    rows = store.scan(dataset, "watermarks").where(F.col("dt") <= F.lit(dates[-1]).cast("date"))
+    return state.current_watermarks(rows.drop("dt")).first().value
+
+
 def run_daily(
     store: LayerStore, plan: datasets.DatasetPlan, raw: DataFrame, date: str, history_days: int = 90, min_rows: int = 1,
-    strict: bool = True, dimensions: Sequence[str] | None = None,
+    strict: bool = True, dimensions: Sequence[str] | None = None, since: str | None = None,
 ) -> DailyRun:
     """Process one day. Each layer is written before it is read again, so a failed or repeated run
-    restarts from stored data and replaces only its own date."""
+    restarts from stored data and replaces only its own date. With ``since``, a time column of the raw
+    rows, only rows from the stored watermark of earlier runs on are taken in."""
     run, name = DailyRun(plan.name, date), plan.name
     as_of = F.lit(date).cast("timestamp") + F.expr("INTERVAL 1 DAY")
 
+    mark = stored_watermark(store, name, date) if since else None
+    if mark is not None:
+        raw = raw.where(F.col(since).cast("timestamp") >= F.lit(mark).cast("timestamp"))
     store.write(raw, name, "raw", date)
     raw = store.partition(name, "raw", date).drop("dt")
     _gate(run, "raw", quality.contract_findings(raw, plan.raw_contract).unionByName(quality.min_rows(raw, min_rows)), strict)
@@ -52,6 +65,8 @@ def run_daily(
     today = store.partition(name, "processed", date).drop("dt")
     _gate(run, "processed", quality.contract_findings(today, plan.processed_contract).unionByName(quality.min_rows(today, min_rows)), strict)
 
+    run.findings["anomalies"] = settle(quality.suppress_expected(quality.anomalies(today, as_of), name))
+
     past = store.trailing(name, "processed", date, history_days).drop("dt")
     if plan.keys:  # overlapping pulls may repeat a record
         from tessera.operators.clean import dedup
@@ -78,4 +93,9 @@ def run_daily(
         run.watermark = state.batch_watermark(today, name, plan.time, F.lit(date).cast("date"))
     manifest = state.lineage_rows(today.withColumn("_run", F.lit(date).cast("date")), name, "processed", "_run", F.lit("1"))
     run.lineage = manifest
+    told = [f.select(F.lit(stage).alias("stage"), *quality.FINDING) for stage, f in run.findings.items()]
+    kept = {"watermarks": run.watermark, "lineage": run.lineage, "drift": run.drift, "violations": run.violations, "findings": quality.union(told)}
+    for layer, df in kept.items():
+        if df is not None:
+            store.write(df, name, layer, date)
     return run

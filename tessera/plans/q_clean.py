@@ -330,6 +330,49 @@ def _sentence(t):
 SENTENCE = """'City 311 service request. Topic: ' || case_topic || '. Status: ' || CASE WHEN reason='5-LOW' THEN 'Unknown' ELSE reason END || '. Neighborhood: ' || neighborhood
  || '. Opened: ' || strftime(open_date,'%Y-%m-%d') || '. On time: ' || on_time || '.'"""
 reg("str16_render_sentence", _sentence, f"WITH {REQ} SELECT case_id, {SENTENCE} AS text FROM req")
+
+
+def records(t):
+    """A table with (some of) the columns of each described dataset: (frame, key)."""
+    crime = incidents(t).select("incident_number", "offense_description", "district", "hour", "shooting")
+    service = requests(t).select("case_id", "case_topic", F.col("reason").alias("case_status"), "neighborhood", "on_time")
+    food = t.orders.select("o_orderkey", F.col("o_custkey").alias("businessname"), F.col("o_orderpriority").alias("address"), F.col("o_orderstatus").alias("result"))
+    score = t.events.select("event_id", F.col("event_type").alias("metric_name"), F.col("user_id").alias("day_score"), F.date_format("ts", "yyyy-MM-dd").alias("timestamp"))
+    berdo = t.part.select("p_partkey", F.col("p_name").alias("property_name"), F.col("p_type").alias("property_type"), F.when(F.col("p_size") > 10, F.col("p_size")).alias("energy_star_score"))
+    street = t.supplier.select("s_suppkey", F.col("s_name").alias("full_street_name"), F.col("s_nationkey").alias("district"))
+    return {
+        "crime": (crime, "incident_number"), "service_311": (service, "case_id"), "food_inspections": (food, "o_orderkey"),
+        "cityscore": (score, "event_id"), "berdo": (berdo, "p_partkey"), "street_sweeping": (street, "s_suppkey"),
+    }
+
+
+def described(t):
+    """(dataset, source_key, text) of all six datasets, every row."""
+    from tessera.operators import retrieval
+
+    return retrieval.render_all({name: (df, strings.record(name, df.columns), key) for name, (df, key) in records(t).items()})
+
+
+_RECORD_SQL = {
+    "crime": ("inc", "incident_number", {"offense_description": "offense_description", "district": "district", "hour": "hour", "shooting": "shooting"}),
+    "service_311": ("req", "case_id", {"case_topic": "case_topic", "case_status": "reason", "neighborhood": "neighborhood", "on_time": "on_time"}),
+    "food_inspections": ("orders", "o_orderkey", {"businessname": "o_custkey", "address": "o_orderpriority", "result": "o_orderstatus"}),
+    "cityscore": ("events", "event_id", {"metric_name": "event_type", "day_score": "user_id", "date|timestamp": "strftime(ts,'%Y-%m-%d')"}),
+    "berdo": ("part", "p_partkey", {"property_name": "p_name", "property_type": "p_type", "energy_star_score": "CASE WHEN p_size>10 THEN p_size END"}),
+    "street_sweeping": ("supplier", "s_suppkey", {"full_street_name": "s_name", "district": "s_nationkey"}),
+}
+
+
+def _described_sql(name):
+    import re
+
+    table, key, columns = _RECORD_SQL[name]
+    text = re.sub(r"\{([^}]*)\}", lambda m: f"'||coalesce(({columns[m[1]]})::varchar,'Unknown')||'" if m[1] in columns else "Unknown", strings.RECORDS[name])
+    return f"SELECT '{name}' AS dataset, {key}::bigint AS source_key, '{text}' AS text FROM {table}"
+
+
+DESCRIBED_SQL = " UNION ALL ".join(map(_described_sql, _RECORD_SQL))
+reg("str16_all_records", lambda t: described(t).withColumn("source_key", F.col("source_key").cast("bigint")), f"WITH {INC}, {REQ} {DESCRIBED_SQL}")
 KW = ["license", "http", "The", "email"]
 reg(
     "str17_keyword_coverage",

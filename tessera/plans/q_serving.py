@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from tessera.operators import features, model, profile, retrieval, routes
 from tessera.operators.joining import constant, scalar, settle
-from tessera.plans.q_clean import CENTRES, SENTENCE, _sentence
+from tessera.plans.q_clean import CENTRES, DESCRIBED_SQL, described
 from tessera.plans.q_quality import profile_sql
-from tessera.plans.q_tables import BUCKET_SQL, CFG, DANGER, SCORE_SQL, TIER, _cells, as_of, hash_sql, score_table
+from tessera.plans.q_tables import BUCKET_SQL, CFG, DANGER, SCORE_SQL, TIER, _cells, as_of, score_table
 from tessera.plans.registry import INC, REQ, hex_sql, incidents, point, point_sql, reg, rounded
 from tessera.session import scratch_dir
 from tessera.sources.layers import LayerStore
@@ -290,23 +290,15 @@ UNION ALL SELECT row_number() OVER (ORDER BY doc_id)+(SELECT max(chunk_id) FROM
 
 
 def _chunk_table(t):
-    from tessera.functions.strings import render
-
-    crime = render("Crime incident. Type: ", F.col("offense_description"), ". District: ", F.col("district"), ". Hour: ", F.col("hour"), ". Shooting: ", F.col("shooting"), ".")
-    parts = {
-        "crime": (incidents(t).withColumnRenamed("incident_number", "k"), crime, "k"),
-        "service_311": (_sentence(t).withColumnRenamed("case_id", "k"), F.col("text"), "k"),
-        "berdo": (t.part.withColumnRenamed("p_partkey", "k"), render("Building. Property: ", F.col("p_name"), ". Type: ", F.col("p_type"), "."), "k"),
-    }
-    return retrieval.render_all(parts)
+    """Chunks of all six datasets with the vector of their key, where there is one."""
+    vectors = t.embeddings.select(F.col("vec_id").alias("source_key"), F.size("embedding").cast("bigint").alias("dimensions"), F.col("embedding")[0].cast("double").alias("first_component"))
+    return rounded(described(t).withColumn("source_key", F.col("source_key").cast("bigint")).join(vectors, "source_key", "left"))
 
 
 reg(
     "vec2_chunk_table",
     _chunk_table,
-    f"""WITH {INC}, {REQ}
-SELECT incident_number AS source_key, 'Crime incident. Type: '||offense_description||'. District: '||district||'. Hour: '||hour||'. Shooting: '||shooting::varchar||'.' AS text, 'crime' AS dataset FROM inc
-UNION ALL SELECT case_id, {SENTENCE}, 'service_311' FROM req UNION ALL SELECT p_partkey, 'Building. Property: '||p_name||'. Type: '||p_type||'.', 'berdo' FROM part""",
+    f"""WITH {INC}, {REQ}, d AS ({DESCRIBED_SQL}) SELECT d.*, len(embedding) AS dimensions, round(embedding[1]::double, 6) AS first_component FROM d LEFT JOIN embeddings ON vec_id = source_key""",
 )
 reg(
     "vec4_contexts",

@@ -44,7 +44,7 @@ class LayerStore:
             .partitionBy(DT)
             .parquet(self.path(dataset, layer))
         )
-        self._point(dataset, layer, date or max(self._folders(dataset, layer), default=None))
+        self._point(dataset, layer, date or max(self.stored_dates(dataset, layer), default=None))
 
     def _fs(self, path: str):
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -69,7 +69,7 @@ class LayerStore:
         finally:
             file.close()
 
-    def _folders(self, dataset: str, layer: str) -> list[str]:
+    def stored_dates(self, dataset: str, layer: str) -> list[str]:
         """Dates with a partition, from a listing of the table's folder; no data file is opened."""
         p, fs = self._fs(self.path(dataset, layer))
         names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
@@ -91,7 +91,7 @@ class LayerStore:
 
     def dates(self, dataset, layer, after: str | None = None, before: str | None = None, newest_first=False) -> DataFrame:
         """Partition dates, from the folder listing: one entry per date, whatever the number of files and rows."""
-        found = [(x,) for x in self._folders(dataset, layer)]
+        found = [(x,) for x in self.stored_dates(dataset, layer)]
         d = self.spark.createDataFrame(found, f"{DT} string").select(F.col(DT).cast("date").alias(DT))
         if after:
             d = d.where(F.col(DT) >= F.lit(after).cast("date"))
@@ -101,7 +101,7 @@ class LayerStore:
 
     def latest(self, dataset: str, layer: str) -> DataFrame:
         """The snapshot that the pointer names, or the newest date of a table without one; only that partition is scanned."""
-        date = self.pointer(dataset, layer) or max(self._folders(dataset, layer), default=None)
+        date = self.pointer(dataset, layer) or max(self.stored_dates(dataset, layer), default=None)
         return self.partition(dataset, layer, date) if date else self.scan(dataset, layer).limit(0)
 
     def files(self, dataset: str, layer: str) -> DataFrame:

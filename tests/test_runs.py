@@ -34,6 +34,15 @@ def test_daily_run_over_two_days(spark, tmp_path):
     built = store.partition("crime_navigate", "features", "2024-01-13")
     # both days are inside the window, so the score history of three days ago is zero and counts add up
     assert built.agg(F.sum("incident_count_30d")).first()[0] == 60
+    # the store keeps what the run found, and the next run can start from its watermark
+    assert store.partition("crime_navigate", "lineage", "2024-01-13").first().rows == 30
+    assert store.partition("crime_navigate", "drift", "2024-01-13").count() == run.drift.count()
+    assert {r.stage for r in store.scan("crime_navigate", "findings").collect()} <= {"raw", "processed", "features", "anomalies"}
+    assert daily.stored_watermark(store, "crime_navigate") == dt.datetime(2024, 1, 13)
+    assert daily.stored_watermark(store, "crime_navigate", "2024-01-13") == dt.datetime(2024, 1, 10)
+    both = crime_rows(spark, "2024-01-10").unionByName(crime_rows(spark, "2024-01-14"))
+    daily.run_daily(store, plan, both, "2024-01-14", since="OCCURRED_ON_DATE")
+    assert store.partition("crime_navigate", "raw", "2024-01-14").count() < 60
     # running a date again replaces it
     daily.run_daily(store, plan, crime_rows(spark, "2024-01-13", 20), "2024-01-13")
     assert store.partition("crime_navigate", "processed", "2024-01-13").count() == 20
