@@ -35,6 +35,11 @@ def _gate(run: DailyRun, name: str, findings: DataFrame, strict: bool) -> None:
     run.findings[name] = quality.enforce(settle(findings), strict)
 
 
+def _contract(plan: datasets.DatasetPlan, layer: str, df: DataFrame, otherwise) -> DataFrame:
+    own = plan.contracts.get(layer)
+    return own.findings(df) if own is not None else quality.contract_findings(df, otherwise)
+
+
 def stored_watermark(store: LayerStore, dataset: str, before: str | None = None):
     """The newest watermark that runs of earlier dates have stored, or None."""
     dates = [d for d in store.stored_dates(dataset, "watermarks") if before is None or d < before]
@@ -59,11 +64,11 @@ def run_daily(
         raw = raw.where(F.col(since).cast("timestamp") >= F.lit(mark).cast("timestamp"))
     store.write(raw, name, "raw", date)
     raw = store.partition(name, "raw", date).drop("dt")
-    _gate(run, "raw", quality.contract_findings(raw, plan.raw_contract).unionByName(quality.min_rows(raw, min_rows)), strict)
+    _gate(run, "raw", _contract(plan, "raw", raw, plan.raw_contract).unionByName(quality.min_rows(raw, min_rows)), strict)
 
     store.write(datasets.clean(plan, raw, as_of), name, "processed", date)
     today = store.partition(name, "processed", date).drop("dt")
-    _gate(run, "processed", quality.contract_findings(today, plan.processed_contract).unionByName(quality.min_rows(today, min_rows)), strict)
+    _gate(run, "processed", _contract(plan, "processed", today, plan.processed_contract).unionByName(quality.min_rows(today, min_rows)), strict)
 
     run.findings["anomalies"] = settle(quality.suppress_expected(quality.anomalies(today, as_of), name))
 
@@ -75,7 +80,7 @@ def run_daily(
     if plan.features is not None:
         store.write(datasets.build(plan, past, as_of), name, "features", date)
         built = store.partition(name, "features", date).drop("dt")
-        _gate(run, "features", quality.infinities(built).unionByName(quality.min_rows(built, 1)), strict)
+        _gate(run, "features", _contract(plan, "features", built, {}).unionByName(quality.infinities(built)).unionByName(quality.min_rows(built, 1)), strict)
 
     earlier = (dt.date.fromisoformat(date) - dt.timedelta(days=plan.drift_offset_days)).isoformat()
     reference = store.partition(name, "processed", earlier).drop("dt")

@@ -44,6 +44,8 @@ class DatasetPlan:
     definitions: Sequence[tuple[str, float | None, float | None]] = ()
     raw_contract: Mapping[str, Mapping] = field(default_factory=dict)
     processed_contract: Mapping[str, Mapping] = field(default_factory=dict)
+    #: Contracts by layer, as ``sources.contracts.with_contracts`` puts them in; they take the place of the two above.
+    contracts: Mapping[str, object] = field(default_factory=dict)
     fairness_dimension: str | None = None
     drift_offset_days: int = 1
     drift_ignore: Sequence[str] = ()

@@ -54,6 +54,31 @@ def test_daily_run_stops_at_a_failed_gate(spark, tmp_path):
         daily.run_daily(store, datasets.CRIME_BY_CELL, crime_rows(spark, "2024-01-10", 3), "2024-01-10", min_rows=10)
 
 
+SCHEMA = """{"type": "object", "required": ["id", "kind"], "additionalProperties": false, "properties": {
+  "id": {"type": "integer", "primary_key": true}, "kind": {"type": ["string"], "enum": ["a", "b"], "pattern": "^[a-z]$"},
+  "score": {"type": ["number", "null"], "minimum": 0, "maximum": 10, "null_ratio_threshold": 0.2},
+  "at": {"type": ["string", "null"], "format": "date-time", "watermark_field": true}}}"""
+
+
+def test_contracts_from_schema_files(spark, tmp_path):
+    from tessera.sources import contracts
+
+    (tmp_path / "things").mkdir()
+    (tmp_path / "things" / "processed_schema.json").write_text(SCHEMA)
+    found = contracts.load(spark, str(tmp_path))
+    own = found["things", "processed"]
+    assert own.keys == ("id",) and own.watermark == "at" and own.required == ("id", "kind")
+    good = spark.createDataFrame([(1, "a", 1.0, dt.datetime(2024, 1, 1))], "id int, kind string, score double, at timestamp")
+    assert own.findings(good).count() == 0
+    bad = spark.createDataFrame([(1, "a", 11.0, 1), (None, "c", -1.0, 1), (3, "B", None, 1)], "id int, kind string, score double, more int")
+    got = {(r.rule, r.feature): r.n for r in own.findings(bad).collect()}
+    assert got == {("extra_column", "more"): 0, ("null_in_required", "id"): 1, ("above_maximum", "score"): 1, ("below_minimum", "score"): 1,
+                   ("not_in_enum", "kind"): 2, ("pattern_mismatch", "kind"): 1, ("null_ratio", "score"): 1}
+    plan = contracts.with_contracts(datasets.CRIME_BY_CELL, {(datasets.CRIME_BY_CELL.name, "raw"): own})
+    with pytest.raises(GateFailed):
+        daily.run_daily(LayerStore(spark, str(tmp_path / "store")), plan, crime_rows(spark, "2024-01-10"), "2024-01-10")
+
+
 def brute_suppress(rows, cooldown, per_hour):
     sent, last, count = [], None, 0
     for i, t in sorted(rows, key=lambda r: (r[1], r[0])):
