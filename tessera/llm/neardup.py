@@ -276,7 +276,11 @@ def near_duplicates(df: DataFrame, size: int = 5, similarity: float = 0.8) -> Da
 
 def without_duplicates(df: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
     """The rows of the frame, all its columns as they are, but one row of each group of near duplicates: that of the smallest doc_id."""
-    first = near_duplicates(df, size, similarity).filter("first").select("doc_id", "t1", "t2")
-    docs = marked(df, F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("doc"))
-    joined = docs.join(first.toDF("id", "x1", "x2"), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("t1") == F.col("x1")) & (F.col("t2") == F.col("x2")), "left_semi")
-    return joined.dropDuplicates(["doc_id", "t1", "t2"]).select("doc.*")
+    key = ["none", "id", "t1", "t2"]  # without nulls, so that one shuffle serves the join and what follows
+
+    def keyed(rows: DataFrame, *more: str) -> DataFrame:
+        return rows.select(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), "t1", "t2", *more)
+
+    first = keyed(near_duplicates(df, size, similarity).filter("first"))
+    docs = keyed(marked(df, F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("doc")), "doc")
+    return docs.join(first, key, "left_semi").dropDuplicates(key).select("doc.*")
