@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS = 200_000
+#: Bytes of such a table, written as JSON: rows may be wide.
+MAX_BROADCAST_BYTES = 64 << 20
 
 
 def ensure_checkpoint_dir(spark) -> None:
@@ -26,11 +28,12 @@ def settle(df: DataFrame) -> DataFrame:
 
 
 def sized(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a settled aggregate if it has at most ``max_rows`` rows; beyond that leave the
-    choice to AQE, whose skew join splits hot keys of the other side."""
+    """Broadcast a settled aggregate if it has at most ``max_rows`` rows of together at most MAX_BROADCAST_BYTES; beyond
+    that leave the choice to AQE, whose skew join splits hot keys of the other side."""
     df = settle(df)
-    small = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if small else df
+    size = F.sum(F.length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
+    n, width = df.limit(max_rows + 1).agg(F.count("*"), size).first()
+    return F.broadcast(df) if n <= max_rows and (width or 0) <= MAX_BROADCAST_BYTES else df
 
 
 def attach(

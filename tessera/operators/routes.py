@@ -10,6 +10,8 @@ from tessera.operators import aggregates as agg
 from tessera.operators.joining import sized
 
 NEUTRAL = 50.0
+#: Points that a route is scored at. Longer paths are sampled evenly, first and last point included; None scores every point.
+ROUTE_POINTS = 100
 
 
 def lookup_scores(points: DataFrame, scores: DataFrame) -> DataFrame:
@@ -36,22 +38,22 @@ def lookup_scores(points: DataFrame, scores: DataFrame) -> DataFrame:
 
 
 def path_points(
-    routes: DataFrame, keep: list[str], geometry="geometry", hour="hour", most: int = 100, outer: bool = False
+    routes: DataFrame, keep: list[str], most: int | None, geometry="geometry", hour="hour", outer: bool = False
 ) -> DataFrame:
-    """Sampled points of every path with their cell and bucket; ``outer`` keeps a route without
-    points as one row without a cell."""
+    """Points of every path, at most ``most`` of them evenly sampled (None: all), with their cell and bucket; ``outer``
+    keeps a route without points as one row without a cell."""
     explode = F.posexplode_outer if outer else F.posexplode
-    pts = routes.select(*keep, hour, explode(arrays.even_sample(geometry, most)).alias("position", "_p"))
+    pts = routes.select(*keep, hour, explode(F.col(geometry) if most is None else arrays.even_sample(geometry, most)).alias("position", "_p"))
     return pts.select(
         *keep, "position", geo.hex_cell(F.col("_p.lat"), F.col("_p.lon")).alias("h3_index"),
         dates.hour_bucket(hour).alias("hour_bucket"),
     )
 
 
-def score_routes(routes: DataFrame, scores: DataFrame, key: list[str], keep: list[str] = ()) -> DataFrame:
+def score_routes(routes: DataFrame, scores: DataFrame, key: list[str], keep: list[str] = (), points: int | None = ROUTE_POINTS) -> DataFrame:
     """Mean score along each route, neutral for one without points. The scalar columns in ``keep``
     travel with the points, so the routes are read once and not joined back."""
-    pts = lookup_scores(path_points(routes, [*key, *keep], outer=True), scores)
+    pts = lookup_scores(path_points(routes, [*key, *keep], points, outer=True), scores)
     mean = F.round(F.avg("risk_score"), 2).alias("route_score")
     return pts.groupBy(*key).agg(*[F.first(c).alias(c) for c in keep], mean)
 

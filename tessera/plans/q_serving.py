@@ -224,7 +224,7 @@ def _route_scores(t):
 
 reg(
     "joi9_path_scores",
-    lambda t: routes.lookup_scores(routes.path_points(route_table(t), ["request_id", "route_id"]), score_table(t)).groupBy("h3_index", "hour_bucket").agg(F.count("*").alias("points"), F.count_if("found").alias("found")),
+    lambda t: routes.lookup_scores(routes.path_points(route_table(t), ["request_id", "route_id"], routes.ROUTE_POINTS), score_table(t)).groupBy("h3_index", "hour_bucket").agg(F.count("*").alias("points"), F.count_if("found").alias("found")),
     f"""WITH {SCORE_SQL}, {ROUTES} SELECT h3_index, hour_bucket, count(*) AS points, count(*) FILTER (WHERE risk_score IS NOT NULL) AS found FROM ph LEFT JOIN s USING (h3_index, hour_bucket) GROUP BY 1, 2""",
 )
 reg(

@@ -40,7 +40,7 @@ def test_route_scores_with_long_and_empty_paths(spark):
     rows = [("a", [(42.3, -71.05)] * 250, 13), ("b", [], 13), ("c", [(42.3, -71.05), (42.21, -71.19)], 13)]
     df = spark.createDataFrame(rows, "route string, geometry array<struct<lat:double,lon:double>>, hour int")
     assert {r.route: r.route_score for r in routes.score_routes(df, scores, ["route"]).collect()} == {"a": 80.0, "b": 50.0, "c": 65.0}
-    assert routes.path_points(df, ["route"]).where("route = 'a'").count() == 100
+    assert [routes.path_points(df, ["route"], n).where("route = 'a'").count() for n in (100, None)] == [100, 250]
 
 
 @pytest.fixture(scope="module")
