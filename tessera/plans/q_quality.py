@@ -420,6 +420,17 @@ reg(
     f"""WITH {HALVES} SELECT 'o_totalprice' AS "column", 'ks' AS test, round(d,6) AS statistic, NULL::bigint AS dof, n AS n_first, m AS n_second FROM {ks_sql('SELECT o_totalprice AS v FROM cur', 'SELECT o_totalprice AS v FROM rf')} UNION ALL {CHI2}""",
 )
 
+_KS_P = "CASE WHEN d*sqrt(n*m/(n+m)) < 1e-8 THEN 1e0 ELSE least(1e0, greatest(0e0, 2*list_sum(list_transform(range(1,101), lambda k: (CASE WHEN k%2=1 THEN 1e0 ELSE -1e0 END)*exp(-2*pow(k*d*sqrt(n*m/(n+m)),2)))))) END"
+# for an even number of degrees of freedom the tail has a closed form
+_CHI_P = "CASE WHEN x2 > 0 THEN exp(-x2/2)*list_sum(list_transform(range(0,(dof//2)::bigint), lambda k: pow(x2/2,k)/factorial(k::int)::double)) ELSE 1e0 END"
+reg(
+    "drf7_test_decisions",
+    lambda t: rounded(drift.with_p_values(drift.test_statistics(*_halves(t))).select("column", "test", "statistic", "p_value", "severity", (F.col("severity") != "none").alias("drift"))),
+    f"""WITH {HALVES}, p AS (SELECT 'o_totalprice' AS "column", 'ks' AS test, d AS statistic, {_KS_P} AS p_value FROM {ks_sql('SELECT o_totalprice AS v FROM cur', 'SELECT o_totalprice AS v FROM rf')} UNION ALL """
+    + " UNION ALL ".join(f"""SELECT '{c}', 'chi2', x2, {_CHI_P} FROM {chi_sql(f"SELECT true AS a, {c} AS b FROM cur UNION ALL SELECT false, {c} FROM rf")}""" for c in ("o_orderstatus", "o_orderpriority"))
+    + """) SELECT "column", test, round(statistic,6) AS statistic, round(p_value,6) AS p_value, CASE WHEN p_value<0.01 THEN 'critical' WHEN p_value<0.05 THEN 'warning' ELSE 'none' END AS severity, p_value<0.05 AS drift FROM p""",
+)
+
 
 def _week(t):
     """Last seven days of events against everything before."""

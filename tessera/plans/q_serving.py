@@ -130,6 +130,23 @@ def _mod7(t):
 
 
 reg("mod7_feature_importance", _mod7)
+
+
+def _model_contract(t):
+    """What any right model fulfils: a prediction for every key, none below zero, less error than the mean, importances of all inputs that sum to one."""
+    m, train, _, fitted = _fitted(t)
+    p = model.predict(fitted, m).withColumn("_mean", constant(train, F.avg("danger_rate")))
+    error = F.avg(F.abs(F.col("danger_rate") - F.col("predicted_danger"))) < F.avg(F.abs(F.col("danger_rate") - F.col("_mean")))
+    told = p.agg(F.count_distinct("h3_index", "hour_bucket").alias("keys"), F.count_if(F.col("predicted_danger") < 0).alias("below_zero"), error.alias("better_than_mean"))
+    weights = model.importance(t.spark, fitted, SMALL)
+    return told.withColumns({"inputs": scalar(weights, F.count("*")), "importance": scalar(weights, F.round(F.sum("importance"), 6)), "scored": scalar(model.score_table(p, "v", "d"), F.count_if(F.col("risk_score").between(0, 100)))})
+
+
+reg(
+    "mod5_model_contract",
+    _model_contract,
+    f"WITH {MATRIX}, n AS (SELECT count(DISTINCT h3_index) * 6 AS n FROM b) SELECT n AS keys, 0 AS below_zero, true AS better_than_mean, {len(model.INPUTS)} AS inputs, 1e0 AS importance, n AS scored FROM n",
+)
 reg(
     "mod8_score_table",
     lambda t: model.score_table(rounded(_rule(_base(t))), "v1", "2024-01-31"),
