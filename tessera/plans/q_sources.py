@@ -261,7 +261,8 @@ reg(
 )
 
 
-ROW_HASH = F.conv(F.substring(F.md5(F.concat_ws("|", F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderstatus"))), 1, 15), 16, 10)
+def _row_hash():
+    return F.conv(F.substring(F.md5(F.concat_ws("|", F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderstatus"))), 1, 15), 16, 10)
 
 
 def _manifest(t):
@@ -269,7 +270,7 @@ def _manifest(t):
     raw = t.orders.select("*", F.trunc(F.col("o_orderdate").cast("date"), "MM").alias("run"))
     out = None
     for layer, df, col in (("raw", raw, F.lit("s1")), ("processed", raw.where("o_orderstatus <> 'P'"), F.lit("s2"))):
-        m = state.lineage_rows(df, "requests", layer, "run", col, ROW_HASH)
+        m = state.lineage_rows(df, "requests", layer, "run", col, _row_hash())
         out = m if out is None else out.unionByName(m)
     return out
 

@@ -202,3 +202,11 @@ def test_every_inventory_entry_has_a_query():
     queries, oracles = load_queries()
     assert ids <= {n.split("_")[0].upper() for n in queries}
     assert set(oracles) <= set(queries)
+
+
+def test_queries_are_listed_without_a_session():
+    import subprocess
+    import sys
+
+    said = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"], capture_output=True, text=True)
+    assert said.returncode == 0, said.stderr
