@@ -39,36 +39,45 @@ def byte_symbols() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def numbered(rows, kinds: dict[bytes, int]) -> list[int]:
+    """A number for each row of bytes, equal for equal rows."""
+    return [kinds.setdefault(hashlib.blake2b(row, digest_size=16).digest(), len(kinds)) for row in rows]
+
+
 def compile_merges(n: int, merges: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Automaton of a merge list over symbols 0..n-1; merges has rows (a, b, c) in order of priority.
 
-    Returns the class of each symbol as a state, its class as an arc label, and the bit table of the removed arcs.
+    Returns the class of each symbol as a state, its class as an arc label, and the bit table of the removed arcs. Symbols
+    share a column of removed arcs until a merge tells them apart, which keeps the memory at a third of one column each.
     """
-    removed = np.zeros(((n + 7) // 8, n), np.uint8)  # bit y of column x: arc y is removed from state x
+    removed = np.zeros(((n + 7) // 8, 1 << 12), np.uint8)  # bit y of column x: arc y is removed from the states of class x
+    own, size = np.zeros(n, np.int64), [n - len(merges)]
     for a, b, c in merges.tolist():
-        removed[c >> 3] |= ((removed[a >> 3] >> (a & 7)) & 1) << (c & 7)
-        removed[:, c] = removed[:, b]
-        removed[b >> 3, a] |= 1 << (b & 7)
+        removed[c >> 3, : len(size)] |= ((removed[a >> 3, : len(size)] >> (a & 7)) & 1) << (c & 7)
+        own[c] = own[b]
+        size[own[b]] += 1
+        if size[own[a]] > 1:
+            if len(size) == removed.shape[1]:
+                removed = np.concatenate([removed, np.zeros((len(removed), 1 << 12), np.uint8)], 1)
+            removed[:, len(size)] = removed[:, own[a]]
+            size[own[a]] -= 1
+            own[a] = len(size)
+            size.append(1)
+        removed[b >> 3, own[a]] |= 1 << (b & 7)
         if a == b:  # of three equal symbols the first two join
-            removed[c >> 3, a] |= 1 << (c & 7)
+            removed[c >> 3, own[a]] |= 1 << (c & 7)
     kinds: dict[bytes, int] = {}
-    states = np.zeros(n, np.int64)
-    for i in range(0, n, 512):
-        block = np.ascontiguousarray(removed[:, i : i + 512].T)
-        for k, row in enumerate(block):
-            states[i + k] = kinds.setdefault(hashlib.blake2b(row, digest_size=16).digest(), len(kinds))
-    first = np.zeros(len(kinds), np.int64)
-    first[states[::-1]] = np.arange(n)[::-1]
-    small = np.ascontiguousarray(removed[:, first])
-    del removed
-    rows = np.unpackbits(small, axis=0, count=n, bitorder="little")  # label x state class
-    kinds, arcs, keep = {}, np.zeros(n, np.int64), []
-    for y in range(n):
-        k = kinds.setdefault(hashlib.blake2b(np.packbits(rows[y]), digest_size=16).digest(), len(kinds))
-        if k == len(keep):
-            keep.append(y)
-        arcs[y] = k
-    return states.astype(np.int32), arcs.astype(np.int32), np.packbits(rows[keep], axis=1, bitorder="little")
+    same = np.array([k for i in range(0, len(size), 512) for k in numbered(np.ascontiguousarray(removed[:, i : min(i + 512, len(size))].T), kinds)])
+    _, first = np.unique(same, return_index=True)
+    removed = removed[:, first]
+    kinds, arcs, kept = {}, [], []
+    for i in range(0, len(removed), 64):
+        rows = np.packbits(np.unpackbits(removed[i : i + 64], axis=0, count=min(512, n - 8 * i), bitorder="little"), axis=1, bitorder="little")
+        for row, k in zip(rows, numbered(rows, kinds)):
+            if k == len(kept):
+                kept.append(row.copy())
+            arcs.append(k)
+    return same[own].astype(np.int32), np.array(arcs, np.int32), np.array(kept)
 
 
 def spread(x: np.ndarray, size: int) -> np.ndarray:
@@ -266,6 +275,8 @@ class Encoder:
 
     def pieces(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Where the pieces of texts begin, where each one's symbols are in the pool, and how many they are; there is at least one byte."""
+        if self.size > 8 * self.FILL:  # long pieces, which aren't kept in the table, use the pool as well
+            self.reset()
         data = raw.tobytes()
         begins = self.cuts(raw, data, offsets)
         length = np.diff(np.append(begins, len(raw)))
@@ -276,7 +287,7 @@ class Encoder:
         start[short], count[short] = self.start[at], self.count[at]
         new = short[~found]
         if len(new):
-            if self.held + len(new) > self.FILL or self.size > 16 * self.FILL:
+            if self.held + len(new) > self.FILL:
                 self.reset()
                 new = short
             _, first, same = np.unique(key[new], return_index=True, return_inverse=True)
@@ -285,7 +296,8 @@ class Encoder:
             one = new[first]
             s, c = self.learn([data[a : a + n] for a, n in zip(begins[one].tolist(), length[one].tolist())])
             start[new], count[new] = s[same], c[same]
-            self.keep(key[one], check[one], s, c)
+            room = self.FILL - self.held  # the rest of a batch of very many pieces serves this batch only
+            self.keep(key[one][:room], check[one][:room], s[:room], c[:room])
         long = np.flatnonzero(length >= self.LONG)
         if len(long):
             start[long], count[long] = self.learn([data[a : a + n] for a, n in zip(begins[long].tolist(), length[long].tolist())])

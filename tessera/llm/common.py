@@ -101,7 +101,7 @@ KEEP = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
 
 
 #: Most classes that a classifier learns; their counts pass through the driver.
-CLASSES = 1000
+CLASSES = 200
 
 
 def bounded_sample(df: DataFrame, column: str, per_class: int) -> tuple[DataFrame, dict]:
