@@ -24,7 +24,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def with_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that can be told: texts without letters and texts that fit none of the languages go."""
     docs = docs.select(*DOCUMENTS)
-    told = language.predict(docs, language.fit(docs))
+    told = language.predict(docs, language.fit(docs), floor=language.FITS)
     return told.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= CERTAIN)).select(*DOCUMENTS)
 
 

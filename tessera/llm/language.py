@@ -3,11 +3,16 @@
 Texts are lower-cased, everything but letters and marks counts as a space, and all runs of one to three characters are hashed
 into a fixed number of buckets. Counts per language and bucket come from one aggregation; the matrix of log probabilities
 (buckets x languages) is broadcast, and batches of texts are scored as sparse sums of its rows.
+
+The score compares languages with each other; how well a text fits at all is told by its fit: the mean log probability of its
+n-grams in its language, as a share of what texts of that language usually gain over evenly spread n-grams. What is usual
+is learned from the training rows as well, each half of them (by a hash of the text) under the counts of the other half.
 """
 
 from __future__ import annotations
 
 import unicodedata
+import zlib
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -25,6 +30,8 @@ PER_LANGUAGE = 4000
 #: n-grams that a text counts for at most in its score; neighbouring n-grams aren't independent.
 EVIDENCE = 40
 UNKNOWN = "und"
+#: A text of a lower fit is in none of the languages, even with two standard errors of its mean in its favour.
+FITS = 0.5
 
 
 @dataclass
@@ -32,6 +39,8 @@ class Model:
     languages: list[str]
     log_prior: np.ndarray
     log_probability: np.ndarray  # buckets x languages
+    usual: np.ndarray  # mean log probability of an n-gram in texts of each language; nan where two halves of them are missing
+    spread: np.ndarray  # and its standard deviation
 
 
 @lru_cache(maxsize=1)
@@ -86,37 +95,64 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang", per_language: int
     spark = small_batches(df.sparkSession)
     rows = df.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang")).dropna()
     sample, counts = bounded_sample(rows, "lang", per_language)
-    schema = pa.schema([("lang", pa.string()), ("bucket", pa.int32()), ("n", pa.int64())])
+    schema = pa.schema([("lang", pa.string()), ("bucket", pa.int32()), ("n", pa.int64()), ("half", pa.int64())])
 
     def run(parts):
         seen: dict[str, np.ndarray] = {}
         for b in batches(parts):
             texts, langs = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for value in set(langs):
-                total = seen.setdefault(value, np.zeros(BUCKETS, np.int64))
-                for _, bucket, _, _ in ngrams([x for x, y in zip(texts, langs) if y == value]):
+            half = [zlib.crc32(x.encode("utf-8", "replace")) & 1 for x in texts]
+            for value, h in set(zip(langs, half)):
+                total = seen.setdefault(value, np.zeros((2, BUCKETS), np.int64))[h]
+                for _, bucket, _, _ in ngrams([x for x, y, z in zip(texts, langs, half) if y == value and z == h]):
                     total += np.bincount(bucket, minlength=BUCKETS)
-        for value, total in seen.items():
+        for value, halves in seen.items():
+            total = halves.sum(0)
             there = np.flatnonzero(total)
-            yield out(schema, [value] * len(there), there, total[there])
+            yield out(schema, [value] * len(there), there, total[there], halves[1, there])
 
-    found = sample.mapInArrow(run, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    found = sample.mapInArrow(run, "lang string, bucket int, n bigint, half bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"), F.sum("half").alias("half"))
     languages = sorted(counts)
     table = found.toPandas()  # at most languages x buckets
-    matrix = np.full((BUCKETS, max(1, len(languages))), 0.5)
+    halves = np.zeros((max(1, len(languages)), 2, BUCKETS))
     if len(table):
         column = {x: i for i, x in enumerate(languages)}
-        matrix[table["bucket"].to_numpy(), table["lang"].map(column).to_numpy()] += table["n"].to_numpy()
-    logs = np.log(matrix) - np.log(matrix.sum(0))
+        at = table["lang"].map(column).to_numpy(), slice(None), table["bucket"].to_numpy()
+        halves[at] = np.stack([table["n"] - table["half"], table["half"]], 1)
+    matrix = np.stack([logs(x.sum(0)) for x in halves], 1)
+    usual, spread = np.array([moments(x) for x in halves]).T
     prior = np.log(np.array([counts[x] for x in languages], float) / max(1, sum(counts.values())))
-    return Model(languages, prior, logs.astype(np.float32))
+    return Model(languages, prior, matrix.astype(np.float32), usual, spread)
+
+
+def logs(counts: np.ndarray) -> np.ndarray:
+    """Log probabilities of buckets, smoothed by half a count."""
+    return np.log(counts + 0.5) - np.log(counts.sum() + 0.5 * len(counts))
+
+
+def moments(halves: np.ndarray) -> tuple[float, float]:
+    """Mean and standard deviation of the log probabilities of each half's n-grams under the other half's counts."""
+    if not halves.sum(1).all():
+        return np.nan, np.nan
+    under, share = np.stack([logs(halves[1]), logs(halves[0])]), halves / halves.sum()
+    mean = (share * under).sum()
+    return mean, np.sqrt(max((share * under**2).sum() - mean**2, 0.0))
+
+
+def fit_of(model: Model, language: np.ndarray, mean: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """The fit of texts with these means over so many n-grams, two standard errors granted; nan where nothing usual is known."""
+    even, usual = -np.log(BUCKETS), model.usual[language]
+    error = model.spread[language] / np.sqrt(many / len(ORDERS))  # n-grams that begin at one place are one observation
+    return (mean + 2 * error - even) / np.where(usual > even, usual - even, np.nan)
 
 
-def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
+def predict(df: DataFrame, model: Model, text: str = "text", floor: float | None = None) -> DataFrame:
     """The frame with lang_pred and score (0 to 1, the language's share of the evidence) instead of columns of those names.
 
-    A null text and one without letters are ``und`` with score 0, as is every text if no language was learned. Of equally
-    likely languages the first by name is taken. Rows stay as they are, repeated ones too.
+    A null text and one without letters are ``und`` with score 0, as is every text if no language was learned. With a
+    ``floor``, so is a text whose fit to its language is below it, two standard errors granted; languages of which no two
+    halves of training texts are there reject none. Of equally likely languages the first by name is taken. Rows stay as they
+    are, repeated ones too.
     """
     spark = small_batches(df.sparkSession)
     shared = spark.sparkContext.broadcast(model)
@@ -134,10 +170,14 @@ def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 n = len(lettered)
                 total = np.stack([np.bincount(owner, m.log_probability[bucket, k], n) for k in range(len(m.languages))], 1)
                 many = np.maximum(np.bincount(owner, minlength=n), 1)
+                mean = total / many[:, None]
                 total = total * (np.minimum(many, EVIDENCE) / many)[:, None] + m.log_prior
                 total = np.exp(total - total.max(1, keepdims=True))
                 total /= total.sum(1, keepdims=True)
-                best[first : first + n], score[first : first + n], known[first : first + n] = total.argmax(1), total.max(1), lettered
+                top = total.argmax(1)
+                if floor is not None:
+                    lettered &= ~(fit_of(m, top, mean[np.arange(n), top], many) < floor)
+                best[first : first + n], score[first : first + n], known[first : first + n] = top, total.max(1), lettered
             names = [m.languages[k] if ok else UNKNOWN for k, ok in zip(best.tolist(), known.tolist())]
             yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(names, pa.string()), pa.array(np.where(known, score, 0.0))], names=[*kept, "lang_pred", "score"])
 

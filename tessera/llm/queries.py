@@ -64,7 +64,7 @@ def op3_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
     docs = docs.withColumn("held_out", id_crc("doc_id") % 5 == 0)
     model = language.fit(docs.filter("not held_out"))
-    return language.predict(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
+    return language.predict(docs.select("doc_id", "held_out", "text"), model, floor=language.FITS).select("doc_id", "held_out", "lang_pred", "score")
 
 
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from tessera.llm import bpe, components, counts, language, licenses, neardup, packing, pii, shingles, toxicity
 
 TOKENIZER = f"{bpe.FOLDER}/{bpe.VOCABULARY}"
@@ -248,6 +249,36 @@ def test_language_scores_are_naive_bayes(spark):
     assert got.score == pytest.approx(np.exp(total.max()) / np.exp(total).sum(), rel=1e-5)
 
 
+FOREIGN = [
+    "Η γλώσσα είναι το εργαλείο με το οποίο οι άνθρωποι μιλούν μεταξύ τους κάθε μέρα.",
+    "今天天气很好,我们一起去公园散步,然后回家吃饭。",
+    "Сегодня хорошая погода, и мы пошли гулять в парк вместе с детьми.",
+    "Wczoraj poszliśmy do parku, żeby zobaczyć nowe drzewa i posłuchać śpiewu ptaków przed zachodem słońca.",
+    "Eilen menimme puistoon katsomaan uusia puita ja kuuntelemaan lintujen laulua ennen auringonlaskua.",
+    "qzxkv wprtg bvnmx lkjhg qwrtp zxcvb plmkn jhgfd xzqwk vbnrt kkjhq wwxzt",
+    "3q2+7wAKZm9vYmFyMTIzNDU2Nzg5MHF3ZXJ0eXVpb3Bhc2RmZ2hqa2x6eGN2Ym5tUVdFUlRZVUlPUEFTREZHSEpLTFpYQ1ZCTk0=",
+]
+
+
+def test_language_of_none_that_was_learned(spark):
+    """Foreign scripts, foreign languages and noise go, in the pipeline's stage too; nearly all held-out documents stay."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    held = docs.filter("doc_id % 4 = 0")
+    model = language.fit(docs.filter("doc_id % 4 <> 0"))
+    told = language.predict(held, model, floor=language.FITS).collect()
+    assert sum(r.lang_pred == "und" for r in told) <= 0.001 * len(told)
+    foreign = frame(spark, FOREIGN, range(-len(FOREIGN), 0)).select(docs.columns)
+    assert [(r.lang_pred, r.score) for r in language.predict(foreign, model, floor=language.FITS).collect()] == [("und", 0.0)] * len(FOREIGN)
+    kept = corpus_pipeline.with_language(spark, docs.unionByName(foreign), "")
+    assert kept.filter("doc_id < 0").count() == 0
+    assert kept.count() >= 0.999 * docs.count()
+
+
+def test_language_of_few_texts_rejects_none(spark):
+    model = language.fit(spark.createDataFrame([("aba ab", "x")], "text string, lang string"))
+    assert language.predict(spark.createDataFrame([("zzzz yyyy",)], "text string"), model, floor=language.FITS).first().lang_pred == "x"
+
+
 def toxic_rows(n=240):
     rng = random.Random(4)
     rows = []
