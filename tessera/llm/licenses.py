@@ -12,6 +12,8 @@ plan, and only blocks around such a word are looked at. Each row is by itself, s
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,17 +21,46 @@ from tessera.llm.common import ascii_lower
 
 #: Fixed: the phrases whose places are counted, and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
-#: Words that a scan looks for as sets: the label, the share that has to be there, and a notice's words. The notices are the
-#: customary short forms by which authors refer to a license.
+
+
+def short(label: str, text: str, missing: int, naming: str) -> list[tuple[str, float, str]]:
+    """A short notice as sets to be there in full: any so many of its words may be missing, but none that names the license."""
+    own, kept = list(dict.fromkeys(text.split(" "))), naming.split(" ")
+    free = [w for w in own if w not in kept]
+    return [(label, 1.0, " ".join(w for w in own if w not in gone)) for gone in combinations(free, missing)]
+
+
+#: Words that a scan looks for as sets: the label, the share that has to be there, and a notice's words. First the customary
+#: short forms by which authors refer to a license, then passages of license texts and standard headers, of up to STEP words
+#: each so that a block holds them. Passages that several licenses have (disclaimers) are no templates.
 NOTICES = [
-    ("apache", 0.8, "licensed under the apache license version 2 0"),
-    ("mit", 0.8, "released under the mit license"),
-    ("gpl", 0.8, "this work is licensed under the gnu general public license version 3"),
+    *short("apache", "licensed under the apache license version 2 0", 1, "apache"),
+    *short("mit", "released under the mit license", 1, "mit"),
+    ("gpl", 1.0, "gnu general public license"),
+    ("gpl", 1.0, "licensed gnu general public"),
+    ("gpl", 1.0, "gnu general public version 3"),
     ("cc-by-nc", 1.0, "licensed under cc by nc 4 0"),
     ("cc-by", 1.0, "licensed under cc by 4 0"),
     ("bsd", 0.8, "redistribution and use in source and binary forms with or without modification are permitted"),
     ("lgpl", 0.9, "gnu lesser general public license"),
-    ("mpl", 0.8, "subject to the terms of the mozilla public license"),
+    ("mpl", 1.0, "mozilla public license"),
+    *short("mpl", "subject to the terms of the mozilla public license", 1, "mozilla subject to the terms of"),
+    ("mit", 0.9, "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction"),
+    ("mit", 0.9, "including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished"),
+    ("isc", 1.0, "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice"),
+    ("bsd", 0.9, "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
+    ("bsd", 0.9, "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution"),
+    ("bsd-3-clause", 0.85, "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("apache", 0.9, "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind"),
+    ("apache", 1.0, "you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0"),
+    ("gpl", 0.9, "is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"),
+    ("lgpl", 1.0, "is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation"),
+    ("mpl", 0.9, "this source code form is subject to the terms of the mozilla public license v 2 0"),
+    ("mpl", 0.9, "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0"),
+    ("cc-by", 1.0, "creative commons attribution 4 0 international"),
+    ("cc-by-nc", 1.0, "creative commons attribution noncommercial 4 0 international"),
+    ("cc-by-sa", 1.0, "creative commons attribution sharealike 4 0 international"),
+    ("cc-by-sa", 1.0, "licensed under cc by sa 4 0"),
 ]
 #: Fixed: what lies between words.
 GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -101,6 +132,6 @@ def scan(df: DataFrame, often: dict[str, int], text: str = "text") -> DataFrame:
                i -> slice(_words, cast(i + 1 as int), size({phrase}[p.id])) = {phrase}[p.id]),
         i -> named_struct('start', cast(i as bigint), 'label', p.label))))"""
     found = found.withColumn("places", F.expr(f"array_sort({places})"))
-    found = found.withColumn("matches", F.expr(f"transform(filter({met}, p -> p.id >= {len(phrases)}), p -> named_struct('label', p.label, 'start', cast(p.b * {STEP} as bigint), 'score', p.common / p.size))"))
+    found = found.withColumn("matches", F.expr(f"array_distinct(transform(filter({met}, p -> p.id >= {len(phrases)}), p -> named_struct('label', p.label, 'start', cast(p.b * {STEP} as bigint), 'score', p.common / p.size)))"))
     found = found.withColumn("score", F.expr("cast(if(size(places) > 0, 1, coalesce(array_max(matches.score), 0)) as double)"))
     return found.withColumn("n_words", F.size("_words").cast("bigint")).select(*kept, "n_words", "places", "matches", "score")

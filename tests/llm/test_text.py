@@ -394,3 +394,32 @@ def test_licenses(spark):
     assert any_order == {i: (r.places, r.matches, r.score) for i, r in rows.items()}
     plan = licenses.scan(docs, {})._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files
+(the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge,
+publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so,
+subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or
+substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND."""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided
+that the above copyright notice and this permission notice appear in all copies."""
+BSD = """1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Neither the name of the University nor the names of its contributors may be used to endorse or promote products derived from this
+software without specific prior written permission."""
+APACHE = """Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS"
+BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."""
+LGPL = """This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation."""
+MPL = "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."
+
+
+@pytest.mark.parametrize("pad", [0, 17, 31, 50])
+def test_license_texts_and_names(spark, pad):
+    """License texts have their labels wherever they begin; a short notice needs the word that names the license."""
+    cases = [(MIT, {"mit"}), (ISC, {"isc"}), (BSD, {"bsd", "bsd-3-clause"}), (APACHE, {"apache"}), (LGPL, {"gpl", "lgpl"}), (MPL, {"mpl"}),
+             ("Licensed under Apache 2.0, the license", {"apache"}), ("released under the MIT terms", {"mit"}), ("the software is provided as is", set()),
+             ("released under the old license", set()), ("licensed under the new license, version 2.0", set()),
+             ("this work is licensed under the general license, version 3", set()), ("subject to the terms of the public license", set())]
+    docs = frame(spark, ["pad " * pad + t for t, _ in cases])
+    got = {r.doc_id: {m.label for m in r.matches} for r in licenses.scan(docs, licenses.frequencies(docs)).collect()}
+    assert got == {i: labels for i, (_, labels) in enumerate(cases)}
