@@ -149,6 +149,8 @@ def fit_of(model: Model, language: np.ndarray, mean: np.ndarray, many: np.ndarra
 def predict(df: DataFrame, model: Model, text: str = "text", floor: float | None = None) -> DataFrame:
     """The frame with lang_pred and score (0 to 1, the language's share of the evidence) instead of columns of those names.
 
+    The language is the likeliest by all n-grams; of these, the score counts EVIDENCE at most.
+
     A null text and one without letters are ``und`` with score 0, as is every text if no language was learned. With a
     ``floor``, so is a text whose fit to its language is below it, two standard errors granted; languages of which no two
     halves of training texts are there reject none. Of equally likely languages the first by name is taken. Rows stay as they
@@ -171,13 +173,13 @@ def predict(df: DataFrame, model: Model, text: str = "text", floor: float | None
                 total = np.stack([np.bincount(owner, m.log_probability[bucket, k], n) for k in range(len(m.languages))], 1)
                 many = np.maximum(np.bincount(owner, minlength=n), 1)
                 mean = total / many[:, None]
+                top = (total + m.log_prior).argmax(1)
                 total = total * (np.minimum(many, EVIDENCE) / many)[:, None] + m.log_prior
                 total = np.exp(total - total.max(1, keepdims=True))
                 total /= total.sum(1, keepdims=True)
-                top = total.argmax(1)
                 if floor is not None:
                     lettered &= ~(fit_of(m, top, mean[np.arange(n), top], many) < floor)
-                best[first : first + n], score[first : first + n], known[first : first + n] = top, total.max(1), lettered
+                best[first : first + n], score[first : first + n], known[first : first + n] = top, total[np.arange(n), top], lettered
             names = [m.languages[k] if ok else UNKNOWN for k, ok in zip(best.tolist(), known.tolist())]
             yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(names, pa.string()), pa.array(np.where(known, score, 0.0))], names=[*kept, "lang_pred", "score"])
 

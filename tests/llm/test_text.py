@@ -274,6 +274,15 @@ def test_language_of_none_that_was_learned(spark):
     assert kept.count() >= 0.999 * docs.count()
 
 
+def test_rare_language_of_a_long_text(spark):
+    """All of a long text's n-grams decide on its language, also against a prior that 40 of them don't outweigh."""
+    row = np.full((language.BUCKETS, 2), -8.0, np.float32)
+    row[:, 0] -= 0.15
+    model = language.Model(["common", "rare"], np.log([0.999, 0.001]), row, np.full(2, np.nan), np.full(2, np.nan))
+    got = language.predict(spark.createDataFrame([("abcdefgh " * 40,), ("abc",)], "text string"), model)
+    assert [r.lang_pred for r in got.collect()] == ["rare", "common"]
+
+
 def test_language_of_few_texts_rejects_none(spark):
     model = language.fit(spark.createDataFrame([("aba ab", "x")], "text string, lang string"))
     assert language.predict(spark.createDataFrame([("zzzz yyyy",)], "text string"), model, floor=language.FITS).first().lang_pred == "x"
