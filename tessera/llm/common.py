@@ -100,15 +100,18 @@ MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB
 KEEP = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
 
 
-#: Most classes that a classifier learns; their counts pass through the driver.
+#: Most classes that a classifier learns, the largest ones; their counts pass through the driver.
 CLASSES = 200
 
 
 def bounded_sample(df: DataFrame, column: str, per_class: int) -> tuple[DataFrame, dict]:
-    """About ``per_class`` rows of each class (all, if it has fewer), chosen by a hash of the row, and the classes' row counts."""
-    counts = {r[0]: r[1] for r in df.groupBy(column).agg(F.count("*")).limit(CLASSES + 1).collect()}
-    if len(counts) > CLASSES:
-        raise ValueError(f"more than {CLASSES} classes in {column}")
+    """About ``per_class`` rows of each class (all, if it has fewer), chosen by a hash of the row, and the classes' row counts.
+
+    Of more than CLASSES classes, the largest ones are taken, of equal ones the first by name. Equal rows are drawn together;
+    an id among the columns draws them one by one.
+    """
+    sizes = df.groupBy(column).agg(F.count("*").alias("n")).orderBy(F.desc("n"), column).limit(CLASSES)
+    counts = {r[0]: r[1] for r in sizes.collect()}
     share = F.lit(0.0)
     for value, n in counts.items():
         share = F.when(F.col(column) == F.lit(value), F.lit(min(1.0, per_class / n))).otherwise(share)

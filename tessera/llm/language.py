@@ -12,6 +12,7 @@ is learned from the training rows as well, each half of them (by a hash of the t
 from __future__ import annotations
 
 import unicodedata
+import warnings
 import zlib
 from dataclasses import dataclass
 from functools import lru_cache
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import batches, bounded_sample, out, small_batches
+from tessera.llm.common import CLASSES, batches, bounded_sample, out, small_batches
 
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3)
@@ -41,6 +42,7 @@ class Model:
     log_probability: np.ndarray  # buckets x languages
     usual: np.ndarray  # mean log probability of an n-gram in texts of each language; nan where two halves of them are missing
     spread: np.ndarray  # and its standard deviation
+    unlearned: tuple[int, int] = (0, 0)  # languages beyond CLASSES, and their rows
 
 
 @lru_cache(maxsize=1)
@@ -91,10 +93,19 @@ def ngrams(texts: list[str | None]):
 
 
 def fit(df: DataFrame, text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE) -> Model:
-    """Fit on about ``per_language`` rows of each language; rows with a null text or language are left out. No rows give a model without languages."""
+    """Fit on about ``per_language`` rows of each language; rows with a null text or language are left out. No rows give a model without languages.
+
+    Copies of a text are drawn one by one if the rows have a ``doc_id``. Of more than CLASSES languages, those with most rows are
+    learned; the model and a warning tell how many languages and rows are not.
+    """
     spark = small_batches(df.sparkSession)
-    rows = df.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang")).dropna()
+    ids = [F.col("doc_id").alias("_id")] if "doc_id" in df.columns else []
+    rows = df.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"), *ids).dropna(subset=["text", "lang"])
     sample, counts = bounded_sample(rows, "lang", per_language)
+    everything = rows.groupBy("lang").agg(F.count("*").alias("n")).agg(F.count("*"), F.sum("n")).first() if len(counts) == CLASSES else (len(counts), sum(counts.values()))
+    unlearned = everything[0] - len(counts), everything[1] - sum(counts.values())
+    if unlearned[0]:
+        warnings.warn(f"{unlearned[0]} languages with {unlearned[1]} rows aren't learned; the {CLASSES} with most rows are", stacklevel=2)
     schema = pa.schema([("lang", pa.string()), ("bucket", pa.int32()), ("n", pa.int64()), ("half", pa.int64())])
 
     def run(parts):
@@ -122,7 +133,7 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang", per_language: int
     matrix = np.stack([logs(x.sum(0)) for x in halves], 1)
     usual, spread = np.array([moments(x) for x in halves]).T
     prior = np.log(np.array([counts[x] for x in languages], float) / max(1, sum(counts.values())))
-    return Model(languages, prior, matrix.astype(np.float32), usual, spread)
+    return Model(languages, prior, matrix.astype(np.float32), usual, spread, unlearned)
 
 
 def logs(counts: np.ndarray) -> np.ndarray:

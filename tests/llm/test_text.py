@@ -10,7 +10,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tessera.llm import bpe, components, counts, language, licenses, neardup, packing, pii, shingles, toxicity
+from tessera.llm import bpe, common, components, counts, language, licenses, neardup, packing, pii, shingles, toxicity
 
 TOKENIZER = f"{bpe.FOLDER}/{bpe.VOCABULARY}"
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, row string, n int, tokens string, doc int, score string"
@@ -283,6 +283,22 @@ def test_rare_language_of_a_long_text(spark):
     assert [r.lang_pred for r in got.collect()] == ["rare", "common"]
 
 
+def test_language_of_a_dirty_column_and_of_copies(spark):
+    """Too many languages leave out the smallest and say so; of a group of copies about as many rows are drawn as of other rows."""
+    rows = [(i, "aba ab", "x") for i in range(20)] + [(i, "cdc dc", f"y{i:03}") for i in range(300)]
+    with pytest.warns(UserWarning, match="101 languages with 101 rows"):
+        model = language.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    assert model.languages == ["x"] + [f"y{i:03}" for i in range(199)] and model.unlearned == (101, 101)
+    copies = spark.range(4000).selectExpr("id as doc_id", "'aba ab' as text", "'x' as lang")
+    sample, counts = common.bounded_sample(copies, "lang", 1000)
+    assert counts == {"x": 4000} and 850 < sample.count() < 1150
+    seen = []
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(language, "bounded_sample", lambda *a: seen.append(common.bounded_sample(*a)) or seen[0])
+        language.fit(copies, per_language=1000)
+    assert 850 < seen[0][0].count() < 1150
+
+
 def test_language_of_few_texts_rejects_none(spark):
     model = language.fit(spark.createDataFrame([("aba ab", "x")], "text string, lang string"))
     assert language.predict(spark.createDataFrame([("zzzz yyyy",)], "text string"), model, floor=language.FITS).first().lang_pred == "x"
