@@ -39,6 +39,12 @@ def forget(*frames: DataFrame) -> None:
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def only(df: DataFrame, *names: str) -> DataFrame:
+    """The columns of exactly these names, whatever others there are: Spark itself takes ``text`` and ``Text`` for one name."""
+    at = [df.columns.index(n) for n in names]
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]).select(*[F.col(f"c{i}").alias(n) for i, n in zip(at, names)])
+
+
 def id_crc(column: str) -> Column:
     """crc32 of an integer id's decimal text; a null id counts as an empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary"))
