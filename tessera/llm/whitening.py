@@ -1,8 +1,8 @@
 """Whitening of embedding vectors, with the covariance's leading components found by contour integration (FEAST).
 
 The covariance is summed by Spark over the distinct vectors; only that matrix, dimension by dimension, reaches the driver.
-Its spectrum is sliced by inertia counts: the signs of the pivots of ``V - s I`` say how many eigenvalues lie above ``s``, so
-bisection finds intervals that hold a few eigenvalues each. In an interval a block of vectors is projected onto the wanted
+Its spectrum is sliced by inertia counts: the signs of the pivots of ``T - s I``, T being V made tridiagonal, say how many
+eigenvalues lie above ``s``, so bisection finds intervals that hold a few eigenvalues each. In an interval a block of vectors is projected onto the wanted
 eigenspace by quadrature of ``(z I - V)^-1`` along a circle through the interval's ends, Rayleigh-Ritz extracts the
 eigenpairs from the projected block, and that repeats until the residuals are at rounding level. An interval is accepted only
 if as many pairs came out as its inertia counts say.
@@ -32,52 +32,69 @@ SCALE, SHIFT = 64.0, 1_000_000
 LARGEST = 1 << 52
 
 
-def above(v: np.ndarray, s: float) -> int:
-    """How many eigenvalues of a symmetric matrix exceed ``s``: the positive pivots of ``v - s I`` (Sylvester), eliminated with
-    the largest entry as pivot, one row or a pair of rows at a time (Bunch and Parlett)."""
-    a = v - s * np.eye(len(v))
-    count = 0
-    while len(a):
-        diagonal = np.abs(np.diag(a))
-        k = int(diagonal.argmax())
-        if len(a) > 1:
-            off = np.abs(a - np.diag(np.diag(a)))
-            i, j = np.unravel_index(int(off.argmax()), off.shape)
-            if diagonal[k] < 0.64 * off[i, j]:  # a pair has a negative determinant, hence one eigenvalue of each sign
-                rest = np.setdiff1d(np.arange(len(a)), (i, j))
-                b = a[np.ix_(rest, (i, j))]
-                a = a[np.ix_(rest, rest)] - b @ np.linalg.solve(a[np.ix_((i, j), (i, j))], b.T)
-                count += 1
-                continue
-        pivot = a[k, k]
-        if pivot == 0:  # what is left is zero
-            return count
-        rest = np.delete(np.arange(len(a)), k)
-        b = a[rest, k]
-        a = a[np.ix_(rest, rest)] - np.outer(b, b) / pivot
-        count += int(pivot > 0)
+Tridiagonal = tuple[list[float], list[float]]
+
+
+def tridiagonal(v: np.ndarray) -> Tridiagonal:
+    """Diagonal and squared off-diagonal of a tridiagonal matrix with the same eigenvalues, by Householder reflections."""
+    a = np.array(v, float)
+    off = []
+    for k in range(len(a) - 1):
+        x = a[k + 1 :, k].copy()
+        norm = float(np.linalg.norm(x))
+        off.append(norm)
+        if norm == 0 or len(x) == 1:
+            continue
+        x[0] += norm if x[0] >= 0 else -norm
+        x /= np.linalg.norm(x)
+        rest = a[k + 1 :, k + 1 :]
+        y = rest @ x
+        y -= (x @ y) * x
+        rest -= 2 * (np.outer(x, y) + np.outer(y, x))
+    return np.diag(a).tolist(), [b * b for b in off]
+
+
+def above(t: Tridiagonal, s: float) -> int:
+    """How many eigenvalues exceed ``s``: the positive pivots of ``T - s I`` (Sylvester's law of inertia)."""
+    count, pivot, tiny = 0, 1.0, 1e-300
+    for a, b in zip(t[0], [0.0, *t[1]]):
+        pivot = a - s - b / pivot
+        if pivot == 0:
+            pivot = -tiny
+        count += pivot > 0
     return count
 
 
 def slices(v: np.ndarray, k: int) -> list[tuple[float, float, int]]:
-    """Intervals (low, high, number of eigenvalues) from the top down that hold the k largest eigenvalues above rounding level."""
+    """Intervals (low, high, number of eigenvalues) from the top down that hold the k largest eigenvalues above rounding level.
+
+    An interval is narrowed until there are eigenvalues in both of its halves, and cut where none is near, if it can be.
+    """
     size = float(np.abs(v).sum(1).max(initial=0))
-    floor = size * NULL
-    todo, found, held = [(floor, size * 1.01, above(v, floor), 0)], [], 0
+    t, floor = tridiagonal(v), size * NULL
+    todo, found, held = [(floor, size * 1.01, above(t, floor), 0)], [], 0
     while todo and held < k:
         low, high, n_low, n_high = todo.pop()
         n = n_low - n_high
         if not n:
             continue
-        if n <= SLICE and high - low < 0.5 * size or high - low <= 1e-9 * size:
-            found.append((low, high, n))
+        while high - low > 1e-10 * size:
+            middle = 0.5 * (low + high)
+            n_middle = above(t, middle)
+            if n_middle == n_low:
+                low = middle
+            elif n_middle == n_high:
+                high = middle
+            else:
+                break
+        width = high - low
+        if n <= SLICE or width <= 1e-9 * size:
+            found.append((low - 0.25 * width if low > floor and above(t, low - 0.25 * width) == n_low else low, high, n))
             held += n
             continue
-        # a cut with no eigenvalue within rounding of it; a cluster that leaves none is cut further by later rounds
-        for share in (0.5, 0.46, 0.54, 0.42, 0.58):
-            middle = low + share * (high - low)
-            n_middle = above(v, middle)
-            if above(v, middle - 1e-12 * size) == n_middle == above(v, middle + 1e-12 * size):
+        for share, margin in [*((s, 0.02) for s in (0.5, 0.45, 0.55, 0.4, 0.6, 0.35, 0.65)), (0.5, 1e-12), (0.47, 1e-12), (0.53, 1e-12)]:
+            middle, n_middle = low + share * width, above(t, low + share * width)
+            if above(t, middle - margin * width) == n_middle == above(t, middle + margin * width):
                 break
         todo += [(low, middle, n_low, n_middle), (middle, high, n_middle, n_high)]
     return found
@@ -90,19 +107,21 @@ def interval(v: np.ndarray, low: float, high: float, n: int, seed: int) -> tuple
     x, w = np.polynomial.legendre.leggauss(NODES)
     turn = np.exp(0.5j * np.pi * (1 - x))  # upper half circle; the lower half is its conjugate
     shifted = np.array([(center + radius * t) * np.eye(d) - v for t in turn])
-    width = min(d, n + max(4, n // 2))
-    block = np.random.default_rng(seed).standard_normal((d, width))
-    for _ in range(ROUNDS):
-        solved = np.linalg.solve(shifted, np.broadcast_to(block, (NODES, d, width)))
+    rng = np.random.default_rng(seed)
+    block = rng.standard_normal((d, min(d, n + max(4, n // 2))))
+    for turn_no in range(ROUNDS):
+        solved = np.linalg.solve(shifted, np.broadcast_to(block, (NODES, *block.shape)))
         projected = np.einsum("j,jab->ab", 0.5 * w * radius * turn, solved).real
         basis = np.linalg.qr(projected)[0]
         e, y = np.linalg.eigh(basis.T @ v @ basis)  # Rayleigh-Ritz
         block = basis @ y
-        inside = np.flatnonzero((e > low) & (e <= high))
-        residual = np.linalg.norm(v @ block[:, inside] - block[:, inside] * e[inside], axis=0)
-        if len(inside) == n and residual.max(initial=0) <= 8 * EPS * size * np.sqrt(d):
+        residual = np.linalg.norm(v @ block - block * e, axis=0)
+        inside = np.flatnonzero((e > low) & (e <= high) & (residual <= 8 * EPS * size * np.sqrt(d)))  # others are no eigenpairs
+        if len(inside) == n:
             q = block[:, inside]
             return e[inside], q / np.linalg.norm(q, axis=0)
+        if turn_no % 6 == 5 and block.shape[1] < d:  # more eigenvalues at the interval's ends than the block has room for
+            block = np.hstack([block, rng.standard_normal((d, min(block.shape[1], d - block.shape[1])))])
     raise ArithmeticError(f"{len(inside)} eigenvalues between {low} and {high}, where inertia counts {n}")
 
 
