@@ -6,17 +6,19 @@ with the same prefix are merged by adding their counters element by element. Eve
 a prefix's total is its own count, entries that are frequent enough are its extensions, and the largest of them is what may
 subsume the prefix. Entries of the stripe (a, b) also say what may subsume (b, c) from the left.
 
-Stripes travel in bundles: the stripes of one batch of texts whose prefixes fall into one of many buckets are one row, so that
-a common prefix shares no bucket with the rest of its first word, and all stripes of a prefix meet. They are merged by hash
-aggregation, which adds up and spills; no stripe is held as a whole.
+Stripes travel in bundles: the stripes of one batch of texts whose prefixes fall into one of many buckets are one row, a line
+for each entry, so that all stripes of a prefix meet and those of a common first word are spread. A task reads its buckets in
+order and merges a bucket's entries as they come; it holds what differs among them, not what occurs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,15 +29,13 @@ ENDS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 UNKNOWN = "und"
 #: Words that are counted together before their stripes leave a task; bounds a worker's memory.
 WORDS = 1_200_000
-#: Buckets of stripes for each shuffle partition.
-SPREAD = 16
+#: Buckets of stripes for each shuffle partition: a task merges one after another.
+SPREAD = 4
 
 BREAK, CUT = np.zeros(256, bool), np.zeros(256, bool)
 BREAK[list(ENDS)] = True
 CUT[list(ENDS + BLANKS)] = True
-BUNDLE = "bucket int, lang string, first array<string>, second array<string>, next array<string>, n array<int>"
-_STRINGS = pa.list_(pa.string())
-_SCHEMA = pa.schema([("bucket", pa.int32()), ("lang", pa.string()), ("first", _STRINGS), ("second", _STRINGS), ("next", _STRINGS), ("n", pa.list_(pa.int32()))])
+_SCHEMA = pa.schema([("bucket", pa.int32()), ("entries", pa.string())])
 
 
 def words_of(texts: pa.Array, langs: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -91,27 +91,98 @@ def stripes_of(words: pa.Array, piece: np.ndarray, lang: np.ndarray, names: list
     h = (hashed(pa.array(names))[own] ^ word_hash[first]) * MIX[1]
     h = ((h ^ (h >> np.uint64(31))) + word_hash[np.where(first > 0, second, third)]) * MIX[2]
     bucket = ((h ^ (h >> np.uint64(29))) % np.uint64(buckets)).astype(np.int64)
-    group = own * buckets + bucket
-    order = np.argsort(group, kind="stable")
-    group = group[order]
-    starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
-    strings = pa.concat_arrays([pa.array([""]), values])
-    bounds = np.append(starts, len(group)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+    strings, quoted = pa.concat_arrays([pa.array([""]), values]), pa.array([quote(x, safe="") for x in names])
+    bounds = np.append(starts, len(bucket)).astype(np.int32)
     for a in range(0, len(starts), 1024):  # rows of a batch
         cut = bounds[a : a + 1025]
         rows = order[cut[0] : cut[-1]]
-        offsets = cut - cut[0]
-        listed = [pa.ListArray.from_arrays(offsets, strings.take(pa.array(x[rows]))) for x in (first, second, third)]
-        where = group[starts[a : a + 1024]]
-        yield out(_SCHEMA, (where % buckets).astype(np.int32), [names[i] for i in (where // buckets).tolist()], *listed, pa.ListArray.from_arrays(offsets, pa.array(n[rows])))
-
-
-def stripes(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """(bucket, lang, first, second, next, n): the merged stripes of all texts, an entry a row.
-
-    ``first`` and ``second`` are the prefix; ``next`` is empty at the end of a piece, as is ``second`` where the piece has one
-    word left. With an empty prefix, ``next`` is any word, or empty for the number of all words. A null language is ``und``,
-    null and empty texts have no words, repeated rows count again, and other columns are ignored.
+        # "lang first second next n": none of them holds a space
+        words = [strings.take(pa.array(x[rows])) for x in (first, second, third)]
+        lines = pc.binary_join_element_wise(quoted.take(pa.array(own[rows])), *words, pa.array(n[rows]).cast(pa.string()), " ")
+        yield out(_SCHEMA, bucket[starts[a : a + 1024]].astype(np.int32), pc.binary_join(pa.ListArray.from_arrays(cut - cut[0], lines), "\n"))
+
+
+Entries = tuple[np.ndarray, pa.Array, pa.Array, pa.Array, np.ndarray]
+
+
+def read_entries(bundles: pa.Array, names: dict[str, int]) -> Entries:
+    """The language, by its number in ``names``, first, second and next word and count of all entries of some bundles."""
+    raw, _ = text_bytes(pc.binary_join_element_wise(bundles, "", "\n"), fold=False)
+    ends = np.flatnonzero((raw == 32) | (raw == 10)).reshape(-1, 5)
+    begins = np.concatenate([[0], ends.ravel()[:-1] + 1]).reshape(-1, 5)
+
+    def field(i: int) -> pa.Array:
+        size = ends[:, i] - begins[:, i]
+        mark = np.zeros(len(raw) + 1, np.int8)
+        some = size > 0
+        mark[begins[some, i]] = 1
+        mark[ends[some, i]] = -1
+        own = raw[np.cumsum(mark[:-1], dtype=np.int8).view(bool)]
+        return pa.StringArray.from_buffers(len(size), pa.py_buffer(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.py_buffer(own))
+
+    coded = field(0).dictionary_encode()
+    number = np.array([names.setdefault(unquote(x), len(names)) for x in coded.dictionary.to_pylist()], np.int64)
+    return number[coded.indices.to_numpy()], field(1), field(2), field(3), field(4).cast(pa.int64()).to_numpy()
+
+
+def merge_entries(parts: list[Entries]) -> tuple[Entries, np.ndarray]:
+    """Each entry once, with the sum of its counts, sorted so that a prefix's entries are neighbours; and where prefixes begin."""
+    size = [len(p[0]) for p in parts]
+    lang, n = np.concatenate([p[0] for p in parts]), np.concatenate([p[4] for p in parts])
+    coded = pa.concat_arrays([p[i] for i in (1, 2, 3) for p in parts]).dictionary_encode()
+    ids, d = coded.indices.to_numpy().astype(np.int64), len(coded.dictionary)
+    first, second, third = ids.reshape(3, sum(size))
+    pairs, pair = np.unique((lang * d + first) * d + second, return_inverse=True)
+    key = pair * d + third
+    order = np.argsort(key)
+    key = key[order]
+    starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    n = np.add.reduceat(n[order], starts)
+    at, third = np.divmod(key[starts], d)
+    head, second = np.divmod(pairs[at], d)
+    lang, first = np.divmod(head, d)
+    words = [coded.dictionary.take(pa.array(x)) for x in (first, second, third)]
+    return (lang, *words, n), np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+
+
+_READ = pa.schema([("lang", pa.string()), ("first", pa.string()), ("second", pa.string()), ("next", pa.string()), ("n", pa.int64()), ("total", pa.int64()), ("inside", pa.int64())])
+
+
+def read_stripes(parts: list[Entries], names: list[str], least: int) -> pa.RecordBatch:
+    """What merged stripes say: words and number of words, prefixes with their total, and the entries of prefixes."""
+    (lang, first, second, third, n), starts = merge_entries(parts)
+    sizes = np.diff(np.append(starts, len(n)))
+    total = np.repeat(np.add.reduceat(n, starts), sizes)
+    word, ends = pc.equal(first, "").to_numpy(False), pc.equal(third, "").to_numpy(False)
+    extends = ~word & ~ends & (n >= least)
+    inside = np.repeat(np.maximum.reduceat(np.where(extends, n, 0), starts), sizes)
+    heads = np.zeros(len(n), bool)
+    heads[starts] = True
+    heads &= ~word & (total >= least) & ~pc.equal(second, "").to_numpy(False)
+    plain = np.flatnonzero(word & (ends | (n >= least)))
+    head, entry = np.flatnonzero(heads), np.flatnonzero(extends)
+    rows = np.concatenate([plain, head, entry])
+    is_head = np.zeros(len(rows), bool)
+    is_head[len(plain) : len(plain) + len(head)] = True
+    take = pa.array(rows)
+    following = pa.array(np.array(third.take(take).to_pylist(), object), pa.string(), mask=is_head)
+    count = np.where(is_head, total[rows], n[rows])
+    langs = pa.array(names).take(pa.array(lang[rows]))
+    best = pa.array(inside[rows], pa.int64(), mask=inside[rows] == 0)
+    return out(_READ, langs, first.take(take), second.take(take), following, count, total[rows], best)
+
+
+def stripes(docs: DataFrame, least: int, text: str = "text", lang: str = "lang") -> DataFrame:
+    """(lang, first, second, next, n, total, inside): what the merged stripes of all texts say.
+
+    Rows with an empty ``first`` are words, ``next``, with their count n; an empty ``next`` stands for all words. The others are
+    prefixes of two words, with n their own count, where ``next`` is null, and their entries else. Of words, prefixes and
+    entries those with a count of ``least`` or more are given, of entries none for the end of a piece; ``inside`` is the largest
+    entry given for a prefix. A null language is ``und``, null and empty texts have no words, repeated rows count again, and
+    other columns are ignored.
     """
     spark = small_batches(docs.sparkSession)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -140,11 +211,28 @@ def stripes(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFram
         if sum(len(w) for w, _, _ in held):
             yield from counted()
 
+    def merge(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, names, last = [], {}, None
+        for b in batches(parts):
+            bucket = b.column("bucket").to_numpy()
+            cuts = [0, *(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1).tolist(), len(bucket)]
+            for i, j in zip(cuts[:-1], cuts[1:]):
+                if sum(len(p[0]) for p in held) >= WORDS:
+                    if bucket[i] != last:
+                        yield read_stripes(held, list(names), least)
+                        held = []
+                    else:  # a large bucket: put together what is the same
+                        held = [merge_entries(held)[0]]
+                last = bucket[i]
+                held.append(read_entries(b.column("entries").slice(i, j - i), names))
+        if held:
+            yield read_stripes(held, list(names), least)
+
     named = only(docs, text, lang).toDF("text", "lang")
     named = named.select("text", F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"))
-    bundles = named.mapInArrow(run, BUNDLE).repartition(partitions, "bucket")
-    entries = bundles.select("bucket", "lang", F.inline(F.arrays_zip("first", "second", "next", "n")))
-    return entries.groupBy("bucket", "lang", "first", "second", "next").agg(F.sum(F.col("n").cast("bigint")).alias("n"))
+    bundles = named.mapInArrow(run, "bucket int, entries string")
+    dealt = bundles.repartitionById(partitions, F.col("bucket") % partitions).sortWithinPartitions("bucket")
+    return dealt.mapInArrow(merge, "lang string, first string, second string, next string, n bigint, total bigint, inside bigint")
 
 
 def score(a: str, left: str, right: str) -> Column:
@@ -160,17 +248,7 @@ def collocations(docs: DataFrame, least: int = 10, top: int = 2000, text: str =
     scores lowest, the first one of equal cuts. Left out are phrases inside a longer candidate that has half of their
     occurrences or more. See ``stripes`` for odd rows; without candidates there are no rows.
     """
-    merged = stripes(docs, text, lang)
-    # entries that are no candidates only count for their prefix's total
-    prefix = ["bucket", "lang", "first", "second"]
-    extends = F.when((F.col("n") >= least) & (F.col("next") != ""), F.col("next"))
-    whole = F.when(F.col("first") == "", F.col("next"))
-    kept = merged.groupBy(*prefix, F.coalesce(whole, extends).alias("next")).agg(F.sum("n").alias("n"))
-    w = Window.partitionBy(*prefix)
-    totals = kept.select("*", F.sum("n").over(w).alias("total"), F.max(F.when(F.col("next").isNotNull(), F.col("n"))).over(w).alias("inside"))
-    frequent = ((F.col("first") != "") & (F.col("second") != "") & (F.col("total") >= least)) | ((F.col("first") == "") & ((F.col("n") >= least) | (F.col("next") == "")))
-    found = settle(totals.filter(frequent).select("lang", "first", "second", "next", "n", "total", "inside"), "stripes")
-
+    found = settle(stripes(docs, least, text, lang), "stripes")
     single = found.filter("first = ''")
     sizes = single.filter("next = ''").groupBy("lang").agg(F.sum("n").alias("n"))
     word = single.filter("next <> ''").select("lang", F.col("next").alias("word"), F.col("n").alias("f"))
@@ -178,8 +256,8 @@ def collocations(docs: DataFrame, least: int = 10, top: int = 2000, text: str =
     def counts(column: str, name: str) -> DataFrame:
         return word.select("lang", F.col("word").alias(column), F.col("f").alias(name))
 
-    three = found.filter(f"first <> '' and next is not null and n >= {least}").select("lang", "first", "second", "next", F.col("n").alias("a"), F.col("total").alias("l2"))
-    two = found.filter("first <> ''").groupBy("lang", "first", "second").agg(F.max("total").alias("a"), F.max("inside").alias("inside"))
+    three = found.filter("first <> '' and next is not null").select("lang", "first", "second", "next", F.col("n").alias("a"), F.col("total").alias("l2"))
+    two = found.filter("first <> '' and next is null").select("lang", "first", "second", F.col("total").alias("a"), "inside")
     left = three.groupBy("lang", F.col("second").alias("first"), F.col("next").alias("second")).agg(F.max("a").alias("before"))
     pairs = two.join(left, ["lang", "first", "second"], "left").join(counts("first", "l"), ["lang", "first"]).join(counts("second", "r"), ["lang", "second"])
     pairs = pairs.filter(F.coalesce(100 * F.greatest("inside", "before") < 50 * F.col("a"), F.lit(True)))
