@@ -94,10 +94,8 @@ def pivot_last(df, row: str, column: str, values: Sequence, value: str, order: S
 
 def group_table(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """count, sum, mean and exact median of a value per group."""
-    base = df.groupBy(*keys).agg(
-        F.count("*").alias("n"), F.sum(value).alias("total"), F.avg(value).alias("mean")
-    )
-    return base.join(ordering.quantiles(df, keys, value, {"median": 0.5}), list(keys), "left")
+    also = {"n": F.count("*"), "total": F.sum(value), "mean": F.avg(value)}
+    return ordering.group_quantiles(df, keys, value, {"median": 0.5}, also)
 
 
 def disparity(stats: DataFrame, value: str) -> DataFrame:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from contextvars import ContextVar
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -107,6 +108,57 @@ def ledger(tagged: DataFrame, reason: str = "drop_reason") -> DataFrame:
     return tagged.where(F.col(reason).isNotNull()).groupBy(reason).agg(F.count("*").alias("rows"))
 
 
+_COUNTING: ContextVar = ContextVar("drop counts", default=None)
+
+
+class DropCounts:
+    """Counts of dropped rows by reason, taken by the pass that writes the rows that stay.
+
+    ``with DropCounts() as c:`` puts an observation on every ``drop_rows`` that is planned inside; ``c.counts()`` has the
+    result once the planned frame has been written, and waits for it until then. A task that is run again after its executor
+    was lost counts again, if its output goes to a shuffle; ``rows`` are the rows that went in, so a caller who knows their
+    number can tell.
+    """
+
+    def __init__(self):
+        self._watched: list[tuple[Observation, list[str]]] = []
+
+    def __enter__(self) -> DropCounts:
+        self._token = _COUNTING.set(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        _COUNTING.reset(self._token)
+
+    def watch(self, tagged: DataFrame, reasons: Sequence[str], out: str) -> DataFrame:
+        seen = Observation()
+        self._watched.append((seen, list(reasons)))
+        by_reason = [F.count_if(F.col(out) == name).alias(f"n{i}") for i, name in enumerate(reasons)]
+        return tagged.observe(seen, F.count("*").alias("rows"), *by_reason)
+
+    def rows(self) -> list[int]:
+        """Rows that reached each filter, in the order of planning."""
+        return [seen.get["rows"] for seen, _ in self._watched]
+
+    def counts(self) -> dict[str, int]:
+        """Rows by reason; reasons without rows are left out."""
+        total: dict[str, int] = {}
+        for seen, reasons in self._watched:
+            for i, name in enumerate(reasons):
+                total[name] = total.get(name, 0) + seen.get[f"n{i}"]
+        return {name: n for name, n in total.items() if n}
+
+    def ledger(self, spark) -> DataFrame:
+        return spark.createDataFrame(list(self.counts().items()), "drop_reason string, rows bigint")
+
+
+def drop_rows(df: DataFrame, reasons: Mapping[str, Column], out: str = "drop_reason") -> DataFrame:
+    """Rows without a reason to drop them; what goes is counted where ``DropCounts`` is active."""
+    tagged = tag_drops(df, reasons, out)
+    counting = _COUNTING.get()
+    return kept(counting.watch(tagged, list(reasons), out) if counting else tagged, out)
+
+
 def location_reasons(lat="lat", lon="long", box=geo.BOX) -> dict[str, Column]:
     missing = col(lat).isNull() | col(lon).isNull()
     return {"missing_coordinates": missing, "outside_box": ~geo.in_box(lat, lon, box)}

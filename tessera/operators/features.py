@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -96,11 +97,9 @@ def category_code(df: DataFrame, column: str, out: str) -> DataFrame:
 
 
 def ordering_text_rank(distinct: DataFrame, column: str) -> DataFrame:
-    """0-based alphabetical rank of distinct text values, bucketed by their leading bytes."""
-    padded = F.rpad(F.hex(F.substring(F.col(column).cast("string"), 1, 12)), 12, "0")
-    position = F.conv(padded, 16, 10).cast("double")
-    ranked = ordering.cumulative(distinct.where(F.col(column).isNotNull()), [], column, position=position)
-    return ranked.select(column, F.col("before_n").alias("_rank"))
+    """0-based alphabetical rank of distinct text values, in ranges cut by a sample of the values themselves."""
+    values = distinct.where(F.col(column).isNotNull()).select(column)
+    return ordering.numbered(values, column, "_rank")
 
 
 def schedule_features(df: DataFrame, weeks: Sequence[str], days: Sequence[str]) -> DataFrame:
@@ -373,3 +372,21 @@ def newest_per_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     from tessera.operators.clean import dedup
 
     return dedup(df, keys, [order])
+
+
+def load_features(store, dataset: str, as_of: str, lookback_days: int, columns: Sequence[str], keys: Sequence[str] = KEYS, order: str = "computed_date") -> DataFrame:
+    """The newest features of each key from the partitions of the last ``lookback_days`` up to a date.
+
+    A key's row is the one that was computed last, by ``order`` or, where features have none, by the partition's date. No
+    partition in that time is an error, as is a wanted column that the partitions don't have.
+    """
+    since = (dt.date.fromisoformat(as_of) - dt.timedelta(days=lookback_days)).isoformat()
+    if not any(since <= d <= as_of for d in store.stored_dates(dataset, "features")):
+        raise LookupError(f"{dataset} has no features from {since} to {as_of}")
+    rows = store.between(dataset, "features", since, as_of)
+    missing = [c for c in columns if c not in rows.columns]
+    if missing:
+        raise ValueError(f"features of {dataset} lack {', '.join(missing)}; there are {', '.join(rows.columns)}")
+    newest = order if order in rows.columns else "date"
+    wanted = list(dict.fromkeys([*keys, *columns, newest]))
+    return newest_per_key(rows.select(*wanted), keys, newest)

@@ -131,6 +131,11 @@ def _at_positions(df, keys, order, position, want: Column, buckets):
     rows = _positioned(df, keys, order, position)
     rows = add_bucket(rows, "_pos", boundaries(rows, "_pos", buckets))
     offsets = _offsets(rows.groupBy(*keys, "_bucket").agg(F.count("*").alias("_in_n")), keys, ["n"])
+    return _opened(rows, offsets, keys, want)
+
+
+def _opened(rows: DataFrame, offsets: DataFrame, keys: Sequence[str], want: Column) -> DataFrame:
+    """The distinct values at the wanted positions; only the buckets that hold one are grouped and ranked."""
     hit = F.exists("_want", lambda i: (i >= F.col("_off_n")) & (i < F.col("_off_n") + F.col("_in_n")))
     needed = sized(offsets.withColumn("_want", want).where(hit).drop("_in_n"))
     on = [*keys, "_bucket"]
@@ -142,6 +147,81 @@ def _at_positions(df, keys, order, position, want: Column, buckets):
     return ranked.where(holds)
 
 
+#: Groups up to this size are ranked by one window; larger ones are cut into buckets of about so many rows first.
+GROUP_ROWS = 1_000_000
+#: Most cut points of one group.
+GROUP_CUTS = 255
+
+
+def _large(rows: DataFrame, keys: Sequence[str]) -> DataFrame | None:
+    """Keys and sizes of groups above GROUP_ROWS, kept in the checkpoint folder: at most one for so many rows. None if there are none."""
+    found = settle(rows.groupBy(*keys).agg(F.count("*").alias("_size")).where(F.col("_size") > GROUP_ROWS))
+    return found if found.limit(1).count() else None
+
+
+def _group_buckets(rows: DataFrame, keys: Sequence[str], large: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of large groups with a bucket by their own group's cut points, and the groups' offsets.
+
+    A group of n rows gets ceil(n / GROUP_ROWS) buckets, from its own sketch, so the offsets are at most data / GROUP_ROWS and
+    the groups, and however the groups' values differ, their buckets are even.
+    """
+    rows = rows.join(sized(large), list(keys))
+    shares = [(i + 1) / (GROUP_CUTS + 1) for i in range(GROUP_CUTS)]
+    sketch = rows.groupBy(*keys).agg(F.percentile_approx("_pos", shares, 10_000).alias("_all"), F.max("_size").alias("_size"))
+    n = F.least(F.ceil(F.col("_size") / GROUP_ROWS), F.lit(GROUP_CUTS + 1)).cast("int")
+    at = F.when(n > 1, F.sequence(F.lit(1), n - 1))
+    cuts = F.transform(at, lambda i: F.get("_all", (i * (GROUP_CUTS + 1) / n - 1).cast("int")))
+    cuts = sized(sketch.select(*keys, F.coalesce(cuts, F.array().cast("array<double>")).alias("_cuts")))
+    rows = rows.drop("_size").join(cuts, list(keys))
+    rows = rows.withColumn("_bucket", F.size(F.filter("_cuts", lambda c: c < F.col("_pos"))).cast("double")).drop("_cuts")
+    return rows, _offsets(rows.groupBy(*keys, "_bucket").agg(F.count("*").alias("_in_n")), keys, ["n"])
+
+
+def _picked(at: Column, last: Column, probs: dict[str, float]) -> list[Column]:
+    """For each probability the largest value of the rows at the positions below and above it; ``at(i)`` says which are."""
+    aggs = []
+    for name, p in probs.items():
+        pos = F.lit(p) * last
+        for side, i in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
+            aggs.append(F.max(F.when(at(i), F.col("_v"))).cast("double").alias(f"_{side}_{name}"))
+    return aggs
+
+
+def _interpolated(picked: DataFrame, keep: Sequence[str], probs: dict[str, float]) -> DataFrame:
+    """Linear interpolation between the picked values of rows with ``total_n``."""
+    out = list(keep)
+    for name, p in probs.items():
+        pos = F.lit(p) * (F.col("total_n") - 1)
+        lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
+        out.append(F.when(lo == hi, lo).otherwise(lo + (hi - lo) * (pos - F.floor(pos))).alias(name))
+    return picked.select(*out)
+
+
+def group_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], also: dict[str, Column] | None = None) -> DataFrame:
+    """Exact linear-interpolated quantiles per group, beside other aggregates of the group's rows.
+
+    Groups' sizes come first. Groups of at most GROUP_ROWS rows take one exchange by key and one sort that spills; their
+    aggregates come from the same rows. The few larger ones are counted in buckets of their own, of which only those that hold
+    a wanted position are opened. Rows with a null key are a group, always by the window; null and NaN values have no
+    position, and a group without others has null quantiles.
+    """
+    keys, also = list(keys), also or {}
+    v = F.col(value)
+    rows = df.withColumn("_v", F.when(~F.isnan(v.cast("double")), v))
+    large = _large(rows, keys)
+    small = rows if large is None else rows.join(sized(large.select(*keys)), keys, "left_anti")
+    w = Window.partitionBy(*keys)
+    placed = small.withColumns({"_rn": F.row_number().over(w.orderBy(F.col("_v").asc_nulls_last())) - 1, "total_n": F.count("_v").over(w)})
+    named = [c.alias(n) for n, c in also.items()]
+    picked = placed.groupBy(*keys).agg(*named, F.max("total_n").alias("total_n"), *_picked(lambda i: F.col("_rn") == i, F.col("total_n") - 1, probs))
+    out = _interpolated(picked, [*keys, *also], probs)
+    if large is None:
+        return out
+    own = rows.join(sized(large.select(*keys)), keys, "left_semi").groupBy(*keys).agg(*named, F.count("*").alias("_rows")).drop("_rows")
+    bucketed, offsets = _group_buckets(rows.where("_v is not null").withColumn("_pos", F.col("_v").cast("double")), keys, large)
+    return out.unionByName(own.join(_quantiles_at(_opened(bucketed, offsets, keys, _wanted(probs)), keys, probs), keys, "left"))
+
+
 def quantiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -150,32 +230,24 @@ def quantiles(
     buckets: int = BUCKETS,
 ) -> DataFrame:
     """Exact linear-interpolated quantiles per group: one column per entry of ``probs``."""
-    keys = list(keys)
+    if keys:
+        return group_quantiles(_positioned(df, keys, value, None), keys, value, probs)
+    found = _at_positions(df, [], value, None, _wanted(probs), buckets)
+    return _quantiles_at(found, [], probs)
+
+
+def _wanted(probs: dict[str, float]) -> Column:
     last = F.col("total_n") - 1
-    want = F.array_distinct(
-        F.flatten(
-            F.array(
-                *[
-                    F.array(F.floor(F.lit(p) * last), F.ceil(F.lit(p) * last)).cast("array<bigint>")
-                    for p in probs.values()
-                ]
-            )
-        )
-    )
-    found = _at_positions(df, keys, value, None, want, buckets)
-    aggs = []
-    for name, p in probs.items():
-        pos = F.lit(p) * last
-        for side, i in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
-            at = (i >= F.col("before")) & (i < F.col("before") + F.col("n"))
-            aggs.append(F.max(F.when(at, F.col("_v"))).cast("double").alias(f"_{side}_{name}"))
-    picked = found.groupBy(*keys).agg(F.max("total_n").alias("total_n"), *aggs)
-    out = [*keys]
-    for name, p in probs.items():
-        pos = F.lit(p) * last
-        lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        out.append(F.when(lo == hi, lo).otherwise(lo + (hi - lo) * (pos - F.floor(pos))).alias(name))
-    return picked.select(*out)
+    sides = [F.array(F.floor(F.lit(p) * last), F.ceil(F.lit(p) * last)).cast("array<bigint>") for p in probs.values()]
+    return F.array_distinct(F.flatten(F.array(*sides)))
+
+
+def _quantiles_at(found: DataFrame, keys: Sequence[str], probs: dict[str, float]) -> DataFrame:
+    def at(i):
+        return (i >= F.col("before")) & (i < F.col("before") + F.col("n"))
+
+    picked = found.groupBy(*keys).agg(F.max("total_n").alias("total_n"), *_picked(at, F.col("total_n") - 1, probs))
+    return _interpolated(picked, list(keys), probs)
 
 
 def order_statistic(

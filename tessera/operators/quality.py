@@ -295,7 +295,7 @@ def geo_anomalies(df: DataFrame, lat="lat", lon="long", box=geo.BOX) -> DataFram
 def category_anomalies(df: DataFrame, columns=None) -> DataFrame:
     """Columns that are nearly all unique, and columns made mostly of values seen once."""
     columns = list(columns or profile.text_columns(df))
-    d = profile.value_counts(df, columns).groupBy("column").agg(
+    d = profile.keyed_counts(df, columns).groupBy("column").agg(
         F.sum("n").alias("present"), F.count("*").alias("distinct"), F.count_if(F.col("n") == 1).alias("singletons")
     )
     d = d.withColumns(

@@ -10,11 +10,13 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators import clean as cleaning
 from tessera.operators import drift, fairness, mitigation, quality
 from tessera.operators.joining import settle
 from tessera.plans import datasets
 from tessera.sources import state
 from tessera.sources.layers import LayerStore
+from tessera.sources.versions import VersionLog
 
 
 @dataclass
@@ -29,6 +31,9 @@ class DailyRun:
     mitigated: bool = False
     watermark: DataFrame | None = None
     lineage: DataFrame | None = None
+    #: Rows, newest time and columns of what came in, and rows by reason of what was dropped, as the writes counted them.
+    ingested: dict = field(default_factory=dict)
+    drops: dict[str, int] = field(default_factory=dict)
 
 
 def _gate(run: DailyRun, name: str, findings: DataFrame, strict: bool) -> None:
@@ -40,6 +45,17 @@ def _contract(plan: datasets.DatasetPlan, layer: str, df: DataFrame, otherwise)
     return own.findings(df) if own is not None else quality.contract_findings(df, otherwise)
 
 
+def _drops(counts: cleaning.DropCounts, plan: datasets.DatasetPlan, raw: DataFrame, as_of, rows: int) -> dict[str, int]:
+    """What the write has counted. If tasks of it ran twice, after an executor was lost, their rows count twice; then the first
+    filter has seen more rows than came in, and the rows are cleaned again to be counted."""
+    seen = counts.rows()
+    if seen and seen[0] > rows:
+        with cleaning.DropCounts() as counts:
+            again = datasets.clean(plan, raw, as_of)
+        again.write.format("noop").mode("overwrite").save()
+    return counts.counts()
+
+
 def stored_watermark(store: LayerStore, dataset: str, before: str | None = None):
     """The newest watermark that runs of earlier dates have stored, or None."""
     dates = [d for d in store.stored_dates(dataset, "watermarks") if before is None or d < before]
@@ -62,11 +78,15 @@ def run_daily(
     mark = stored_watermark(store, name, date) if since else None
     if mark is not None:
         raw = raw.where(F.col(since).cast("timestamp") >= F.lit(mark).cast("timestamp"))
-    store.write(raw, name, "raw", date)
+    times = {"watermark_end": F.max(F.col(since).try_cast("timestamp"))} if since else {}
+    run.ingested = {**store.write_counted(raw, name, "raw", date, **times), "columns": len(raw.columns)}
     raw = store.partition(name, "raw", date).drop("dt")
     _gate(run, "raw", _contract(plan, "raw", raw, plan.raw_contract).unionByName(quality.min_rows(raw, min_rows)), strict)
 
-    store.write(datasets.clean(plan, raw, as_of), name, "processed", date)
+    with cleaning.DropCounts() as counts:
+        processed = datasets.clean(plan, raw, as_of)
+    store.write(processed, name, "processed", date)
+    run.drops = _drops(counts, plan, raw, as_of, run.ingested["rows"])
     today = store.partition(name, "processed", date).drop("dt")
     _gate(run, "processed", _contract(plan, "processed", today, plan.processed_contract).unionByName(quality.min_rows(today, min_rows)), strict)
 
@@ -98,9 +118,13 @@ def run_daily(
         run.watermark = state.batch_watermark(today, name, plan.time, F.lit(date).cast("date"))
     manifest = state.lineage_rows(today.withColumn("_run", F.lit(date).cast("date")), name, "processed", "_run", F.lit("1"))
     run.lineage = manifest
+    ledger = store.spark.createDataFrame([*run.drops.items(), ("ingested", run.ingested["rows"])], "drop_reason string, rows bigint")
     told = [f.select(F.lit(stage).alias("stage"), *quality.FINDING) for stage, f in run.findings.items()]
-    kept = {"watermarks": run.watermark, "lineage": run.lineage, "drift": run.drift, "violations": run.violations, "findings": quality.union(told)}
+    kept = {"watermarks": run.watermark, "lineage": run.lineage, "drift": run.drift, "violations": run.violations, "findings": quality.union(told), "drops": ledger}
     for layer, df in kept.items():
         if df is not None:
             store.write(df, name, layer, date)
+    log = VersionLog(store)
+    for layer in ("raw", "processed", "features"):
+        log.record(name, layer)
     return run

@@ -77,8 +77,8 @@ def check_definitions(plan: DatasetPlan, built: DataFrame) -> DataFrame:
 
 def _time_filter(df: DataFrame, ts: str, as_of: Column | None) -> DataFrame:
     if as_of is None:
-        return df.where(F.col(ts).isNotNull())
-    return cleaning.kept(cleaning.tag_drops(df, cleaning.time_reasons(ts, as_of)))
+        return cleaning.drop_rows(df, {"invalid_date": F.col(ts).isNull()})
+    return cleaning.drop_rows(df, cleaning.time_reasons(ts, as_of))
 
 
 def _parts(df: DataFrame, ts: str) -> DataFrame:

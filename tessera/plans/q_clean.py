@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions import arrays, dates, geo, numbers, strings
-from tessera.operators import clean, features
+from tessera.operators import areas, clean, features
 from tessera.plans.registry import INC, REQ, incidents, point, point_sql, reg, requests, rounded
+from tessera.session import scratch_dir
 
 CLAT, CLON = point_sql("c_custkey")
 
@@ -111,8 +112,11 @@ TIMED = "e AS (SELECT event_id, CASE WHEN event_type='click' THEN NULL ELSE ts E
 
 def _dated(t):
     """Orders against a reference time inside the data, so that every reason occurs."""
-    as_of = F.lit("2000-06-01").cast("timestamp_ntz")
-    return clean.tag_drops(t.orders.select("o_orderkey", "o_orderdate"), clean.time_reasons("o_orderdate", as_of, 1, 3))
+    return clean.tag_drops(t.orders.select("o_orderkey", "o_orderdate"), _dated_reasons())
+
+
+def _dated_reasons():
+    return clean.time_reasons("o_orderdate", F.lit("2000-06-01").cast("timestamp_ntz"), 1, 3)
 
 
 DATED = """d AS (SELECT o_orderkey, o_orderdate, CASE WHEN o_orderdate > TIMESTAMP '2000-06-02' THEN 'future_date'
@@ -156,9 +160,30 @@ reg(
     """WITH j AS (SELECT doc_id, lang, source, n_chars, quality, toxic FROM documents JOIN labels USING (doc_id))
 SELECT * FROM j WHERE source IN (SELECT source FROM j GROUP BY source HAVING count(*) >= 10 AND count(DISTINCT toxic) = 2)""",
 )
+
+
+def _counted(t, rows, reasons):
+    """Write the rows that stay, and give the reasons of the others as that write has counted them."""
+    with clean.DropCounts() as counts:
+        stay = clean.drop_rows(rows, reasons)
+    stay.write.parquet(scratch_dir(t.spark, "kept"))
+    return counts.ledger(t.spark)
+
+
+reg(
+    "flt1_drop_counts",
+    lambda t: _counted(t, _located(t), clean.location_reasons()),
+    f"""WITH {LOC} SELECT CASE WHEN lat IS NULL OR long IS NULL THEN 'missing_coordinates' ELSE 'outside_box' END AS drop_reason, count(*) AS rows
+FROM c WHERE NOT ({OKLAT} AND {OKLON}) GROUP BY 1""",
+)
+reg(
+    "flt6_drop_counts",
+    lambda t: _counted(t, _timed(t), {"invalid_date": F.col("ts").isNull()}),
+    f"WITH {TIMED} SELECT 'invalid_date' AS drop_reason, count(*) AS rows FROM e WHERE ts IS NULL HAVING count(*) > 0",
+)
 reg(
     "flt12_drop_ledger",
-    lambda t: clean.ledger(_dated(t)),
+    lambda t: _counted(t, t.orders.select("o_orderkey", "o_orderdate"), _dated_reasons()),
     f"WITH {DATED} SELECT drop_reason, count(*) AS rows FROM d WHERE drop_reason IS NOT NULL GROUP BY 1",
 )
 
@@ -552,6 +577,25 @@ reg(
 )
 
 
+def _areas(t):
+    """Incidents in boxes around the places of customers, of 20 to 200 metres by account balance; the smallest key comes first."""
+    lat, lon = point("c_custkey")
+    half = F.lit(0.0001) + F.abs("c_acctbal") / 10000 * 0.002
+    edges = {"min_lat": lat - half, "max_lat": lat + half, "min_lon": lon - half, "max_lon": lon + half}
+    boxes = t.customer.select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("name"), F.col("c_custkey").alias("priority"), *[c.alias(n) for n, c in edges.items()])
+    return areas.tag_areas(incidents(t).select("incident_number", "lat", "long"), boxes, ["incident_number"])
+
+
+HALF = "(0.0001e0 + abs(c_acctbal) / 10000e0 * 0.002e0)"
+reg(
+    "geo5_areas_of_points",
+    _areas,
+    f"""WITH {INC}, b AS (SELECT c_custkey, {CLAT} - {HALF} AS y0, {CLAT} + {HALF} AS y1, {CLON} - {HALF} AS x0, {CLON} + {HALF} AS x1 FROM customer),
+f AS (SELECT incident_number, min(c_custkey) AS c FROM inc JOIN b ON lat BETWEEN y0 AND y1 AND long BETWEEN x0 AND x1 GROUP BY 1)
+SELECT incident_number, lat, long, CASE WHEN c IS NULL THEN 'Other' ELSE 'c' || c END AS area FROM inc LEFT JOIN f USING (incident_number)""",
+)
+
+
 def _bins(t):
     return incidents(t).select(
         "incident_number", geo.axis_bin("lat", 42.2, 42.4, 29).cast("int").alias("row"), geo.axis_bin("long", -71.2, -70.9, 29).cast("int").alias("col")

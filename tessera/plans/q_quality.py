@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import dates
 from tessera.operators import drift, profile, quality, stat_tests
+from tessera.operators.profile_state import RANK_ERROR, frequent
 from tessera.plans.q_tables import SCORE_SQL, score_table
 from tessera.plans.registry import INC, LAT_SQL, LON_SQL, incidents, reg, rounded
 from tessera.session import scratch_dir
@@ -142,6 +143,64 @@ reg(
     "SELECT * FROM (VALUES (1,'events','raw',6,NULL),(2,'events','raw',8,true)) v(version, dataset, layer, columns, latest)",
 )
 
+
+
+#: Contracts as their files state them: by dataset and layer, for tables that orders and customers stand for.
+SCHEMAS = {
+    ("requests", "raw"): {
+        "required": ["o_orderkey", "o_orderdate", "o_channel"],
+        "properties": {
+            "o_orderkey": {"type": "integer", "primary_key": True}, "o_orderdate": {"type": "string", "format": "date-time", "watermark_field": True},
+            "o_orderstatus": {"type": "string", "enum": ["F", "O"]}, "o_totalprice": {"type": "number", "minimum": 1000, "maximum": 400000},
+            "o_orderpriority": {"type": "string", "pattern": "^[1-4]-"}, "o_channel": {"type": "string"},
+        },
+    },
+    ("requests", "processed"): {"required": ["o_custkey"], "properties": {"o_custkey": {"type": ["integer", "null"], "null_ratio_threshold": 0.2}}, "additionalProperties": False},
+    ("people", "raw"): {"required": ["c_custkey"], "properties": {"c_custkey": {"type": "integer"}, "c_acctbal": {"type": ["number", "null"], "minimum": 0}}},
+    ("people", "features"): {"required": ["c_custkey"], "properties": {"c_custkey": {"type": "integer"}}},
+}
+
+
+def _contract_files(t):
+    """Contract files written, read and held against the tables of their layers."""
+    import json
+
+    from tessera.sources import contracts
+
+    folder = scratch_dir(t.spark, "schemas")
+    for (dataset, layer), schema in SCHEMAS.items():
+        p = t.spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{dataset}/{layer}_schema.json")
+        file = p.getFileSystem(t.spark._jsc.hadoopConfiguration()).create(p, True)
+        file.writeBytes(json.dumps(schema))
+        file.close()
+    o = t.orders
+    late = o.where(F.col("o_orderstatus") == "F").select(F.when(F.col("o_custkey") % 3 != 0, F.col("o_custkey")).alias("o_custkey"), "o_totalprice")
+    tables = {("requests", "raw"): o, ("requests", "processed"): late, ("people", "raw"): t.customer, ("places", "raw"): t.nation}
+    return rounded(contracts.layer_findings(contracts.load(t.spark, folder), tables))
+
+
+def _layer_sql(dataset, layer, sql):
+    return f"SELECT '{dataset}' AS dataset, '{layer}' AS layer, * FROM ({sql})"
+
+
+reg(
+    "qua1_contract_files",
+    _contract_files,
+    "WITH lt AS (SELECT CASE WHEN o_custkey % 3 <> 0 THEN o_custkey END AS o_custkey FROM orders WHERE o_orderstatus='F') "
+    + " UNION ALL ".join([
+        *[_layer_sql("requests", "raw", x) for x in (
+            "SELECT 'missing_column' AS rule, 'error' AS severity, 'o_channel' AS feature, 0 AS n, 0e0 AS ratio",
+            finding_sql("not_in_enum", "warning", "o_orderstatus", "o_orderstatus NOT IN ('F','O')", "orders"),
+            finding_sql("below_minimum", "warning", "o_totalprice", "o_totalprice < 1000", "orders"),
+            finding_sql("above_maximum", "warning", "o_totalprice", "o_totalprice > 400000", "orders"),
+            finding_sql("pattern_mismatch", "warning", "o_orderpriority", "NOT regexp_matches(o_orderpriority, '^[1-4]-')", "orders"))],
+        *[_layer_sql("requests", "processed", x) for x in (
+            "SELECT 'extra_column' AS rule, 'error' AS severity, 'o_totalprice' AS feature, 0 AS n, 0e0 AS ratio",
+            finding_sql("null_ratio", "warning", "o_custkey", "o_custkey IS NULL", "lt", "n > 0.2 * count(*)"))],
+        _layer_sql("people", "raw", finding_sql("below_minimum", "warning", "c_acctbal", "c_acctbal < 0", "customer")),
+        "SELECT 'people', 'features', 'missing_table', 'error', '__all__', 0, 0e0", "SELECT 'places', 'raw', 'no_contract', 'warning', '__all__', 0, 0e0"]),
+)
+
 # -- profiles ------------------------------------------------------------------------------------
 
 NUM = ["l_quantity", "l_extendedprice", "l_discount"]
@@ -173,7 +232,7 @@ reg(
 )
 reg(
     "pro1_top_values",
-    lambda t: profile.top_values(profile.value_counts(dirty(t), ["kind", "note", "user_id"]), 10),
+    lambda t: profile.top_values(dirty(t), 10, ["kind", "note", "user_id"]),
     f"""WITH {DIRTY}, v AS (SELECT 'kind' AS "column", kind AS value FROM dt UNION ALL SELECT 'note', note FROM dt UNION ALL SELECT 'user_id', user_id::varchar FROM dt),
 c AS (SELECT "column", value, count(*) AS n FROM v WHERE value IS NOT NULL GROUP BY 1, 2) SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY n DESC, value) AS rank FROM c QUALIFY rank <= 10""",
 )
@@ -216,6 +275,52 @@ reg(
     _stored_profile,
     f"WITH {HALVES}, c AS {_C} SELECT " + ", ".join(f'"{c}"' if c in ("column", "rows", "missing", "distinct") else f'round("{c}",4) AS "{c}"' for c in STORED) + " FROM c",
 )
+
+
+def _state_store(t):
+    """Profile states of orders by month of ordering."""
+    from tessera.operators.profile_state import ProfileStore
+    from tessera.sources.layers import LayerStore
+
+    states = ProfileStore(LayerStore(t.spark, scratch_dir(t.spark, "states")))
+    states.save(t.orders, "orders", F.trunc(F.col("o_orderdate").cast("date"), "MM"), ["o_totalprice", "o_orderstatus", "o_orderpriority"])
+    return states
+
+
+RANGE = ("1994-03-01", "1996-02-01")
+_SPAN = "o_orderdate >= TIMESTAMP '1994-03-01' AND o_orderdate < TIMESTAMP '1996-03-01'"
+
+
+def _merged_profile(t):
+    """Two years from the stored states; of the estimates, whether they are within the error that is promised."""
+    p = _state_store(t).over("orders", *RANGE)
+    exact = profile.profile(t.orders.where(_SPAN).select("o_totalprice", "o_orderstatus", "o_orderpriority")).select("column", F.col("distinct").alias("_d"))
+    v = t.orders.where(_SPAN).select(F.col("o_totalprice").alias("v"))
+    q = p.where("column = 'o_totalprice'").select("q1", "median", "q3")
+    sides = [(F.count_if(F.col("v") < F.col(c)) / F.count("*") <= share + RANK_ERROR) & (F.count_if(F.col("v") <= F.col(c)) / F.count("*") >= share - RANK_ERROR) for c, share in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))]
+    near = v.join(F.broadcast(q)).agg((sides[0] & sides[1] & sides[2]).alias("_ok"))  # one row of quartiles
+    out = p.join(exact, "column").withColumn("distinct_near", F.abs(F.col("distinct") - F.col("_d")) <= 0.08 * F.col("_d"))
+    ok = F.when(F.col("q1").isNotNull(), near.scalar()).alias("quartiles_near")
+    return rounded(out.select("column", "rows", "present", "missing", "missing_ratio", "mean", "std", "min", "max", "zeros", "distinct_near", ok), 4)
+
+
+reg(
+    "pro1_profile_of_states",
+    _merged_profile,
+    f"""WITH o AS (SELECT * FROM orders WHERE {_SPAN}) SELECT "column", rows, present, missing, missing_ratio, mean, std, round(min,4) AS min, round(max,4) AS max, zeros, true AS distinct_near, CASE WHEN mean IS NOT NULL THEN true END AS quartiles_near
+FROM ({profile_sql('o', ['o_totalprice'])} UNION ALL {text_profile_sql('o', ['o_orderstatus', 'o_orderpriority'])})""",
+)
+reg(
+    "pro3_profile_by_date",
+    lambda t: rounded(_state_store(t).load("orders", "1995-05-01").where("column = 'o_totalprice'").select("column", "rows", "mean", "std", "min", "max"), 4),
+    """SELECT 'o_totalprice' AS "column", count(*) AS rows, round(avg(o_totalprice),4) AS mean, round(stddev_samp(o_totalprice),4) AS std, round(min(o_totalprice),4) AS min, round(max(o_totalprice),4) AS max
+FROM orders WHERE date_trunc('month', o_orderdate) = DATE '1995-05-01'""",
+)
+reg(
+    "pro3_top_values",
+    lambda t: frequent(_state_store(t).between("orders", *RANGE), 10),
+    " UNION ALL ".join(f"SELECT '{c}' AS \"column\", {c} AS value, count(*) AS n FROM orders WHERE {_SPAN} GROUP BY 2" for c in ("o_orderstatus", "o_orderpriority")),
+)
 _NULL_COLS = ["event_id", "user_id", "kind", "note", "value", "lat", "long", "event_time"]
 reg(
     "pro4_null_overview",

@@ -46,6 +46,25 @@ reg(
 )
 
 
+def _loaded(t):
+    """Four stored snapshots of the features, of which the last two lie within the look-back."""
+    store = LayerStore(t.spark, scratch_dir(t.spark, "mod1"))
+    days = [constant(t.events, F.date_format(F.max("ts") - F.make_interval(days=F.lit(d)), "yyyy-MM-dd")) for d in (60, 30, 7, 0)]
+    dates_ = t.spark.range(1).select(*days).first()
+    for d, date in zip((60, 30, 7, 0), dates_):
+        ref = as_of(t) - F.expr(f"INTERVAL {d} DAYS")
+        store.write(features.bucket_sums(incidents(t), ref, CFG), "cells", "features", date)
+    return features.load_features(store, "cells", dates_[-1], 14, ["weighted_score_30d", "incident_count_30d"]).drop("date")
+
+
+reg(
+    "mod1_lookback",
+    _loaded,
+    f"""WITH {BUCKET_SQL}, s AS ({SNAP.format(d=7)} UNION ALL {SNAP.format(d=0)})
+SELECT h3_index, hour_bucket, weighted_score_30d, incident_count_30d FROM s QUALIFY row_number() OVER (PARTITION BY h3_index, hour_bucket ORDER BY computed_date DESC) = 1""",
+)
+
+
 def _base(t):
     return features.bucket_sums(incidents(t), as_of(t), CFG).select("h3_index", "hour_bucket", "weighted_score_30d")
 
@@ -211,6 +230,15 @@ reg(
     f"""WITH {MATRIX} SELECT "column", mean, std, round(min,4) AS min, q1 AS p25, median AS p50, q3 AS p75, round(max,4) AS max, 0e0 AS null_pct FROM ({profile_sql('mx', ['weighted_score_30d', 'danger_rate'])})""",
 )
 
+_MATRIX_TEXTS = ["h3_index", "district"]
+reg(
+    "mod13_categorical_baseline",
+    lambda t: rounded(profile.categorical_baseline(features.training_matrix(_base(t), _labels(t)), _MATRIX_TEXTS)),
+    f"""WITH {MATRIX}, c AS ({' UNION ALL '.join(f"SELECT '{c}' AS \"column\", {c} AS value, count(*) AS n FROM mx WHERE {c} IS NOT NULL GROUP BY 2" for c in _MATRIX_TEXTS)}),
+s AS (SELECT "column", sum(n) AS present, count(*) AS n_unique FROM c GROUP BY 1)
+SELECT "column", value, n, round(n/present, 6) AS share, n_unique FROM c JOIN s USING ("column") QUALIFY row_number() OVER (PARTITION BY "column" ORDER BY n DESC, value) <= 20""",
+)
+
 # -- routes --------------------------------------------------------------------------------------
 
 
@@ -308,14 +336,17 @@ UNION ALL SELECT row_number() OVER (ORDER BY doc_id)+(SELECT max(chunk_id) FROM
 
 def _chunk_table(t):
     """Chunks of all six datasets with the vector of their key, where there is one."""
-    vectors = t.embeddings.select(F.col("vec_id").alias("source_key"), F.size("embedding").cast("bigint").alias("dimensions"), F.col("embedding")[0].cast("double").alias("first_component"))
-    return rounded(described(t).withColumn("source_key", F.col("source_key").cast("bigint")).join(vectors, "source_key", "left"))
+    vectors = t.embeddings.select(F.col("vec_id").alias("source_key"), F.size("embedding").cast("bigint").alias("dimensions"), F.col("embedding").cast("array<double>").alias("embedding"))
+    table = described(t).withColumn("source_key", F.col("source_key").cast("bigint")).join(vectors, "source_key", "left")
+    # all components in millionths, as text: arrays of floats print differently elsewhere
+    whole = F.array_join(F.transform("embedding", lambda x: F.floor(x * 1000000).cast("bigint").cast("string")), ",")
+    return table.withColumn("embedding", whole)
 
 
 reg(
     "vec2_chunk_table",
     _chunk_table,
-    f"""WITH {INC}, {REQ}, d AS ({DESCRIBED_SQL}) SELECT d.*, len(embedding) AS dimensions, round(embedding[1]::double, 6) AS first_component FROM d LEFT JOIN embeddings ON vec_id = source_key""",
+    f"""WITH {INC}, {REQ}, d AS ({DESCRIBED_SQL}) SELECT d.*, len(embedding) AS dimensions, array_to_string(list_transform(embedding, lambda x: floor(x::double * 1000000)::bigint::varchar), ',') AS embedding FROM d LEFT JOIN embeddings ON vec_id = source_key""",
 )
 reg(
     "vec4_contexts",

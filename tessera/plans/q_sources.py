@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.operators import sampling
-from tessera.operators.joining import scalar
+from tessera.operators.joining import scalar, settle
 from tessera.plans.registry import INC, incidents, reg, staged
 from tessera.session import scratch_dir
-from tessera.sources import layers, state
+from tessera.sources import layers, state, versions
+from tessera.sources.scores import ScoreTable
 
 ORDER_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
 DT = "date_trunc('month', o_orderdate)::date"
@@ -185,12 +186,26 @@ def _stored(t):
     return state.upsert(*_versions(t), ["h3_index", "hour_bucket"])
 
 
+def _published(t):
+    """The stored table after both versions have been published to it."""
+    table = ScoreTable(t.spark, scratch_dir(t.spark, "scores"), ["h3_index", "hour_bucket"], 16)
+    for scores in _versions(t):
+        table.upsert(scores)
+    return table
+
+
+def _after_drop(t):
+    table = _published(t)
+    table.drop_stale("v2")
+    return table.read()
+
+
 reg(
     "snk3_score_upsert",
-    lambda t: _stored(t).withColumn("doc_id", state.score_key()),
+    lambda t: _published(t).read().withColumn("doc_id", state.score_key()),
     f"WITH {VERSIONS_SQL} SELECT *, h3_index || '_' || hour_bucket AS doc_id FROM st",
 )
-reg("snk4_drop_stale", lambda t: state.drop_stale(_stored(t), "v2"), f"WITH {VERSIONS_SQL} SELECT * FROM st WHERE model_version >= 'v2'")
+reg("snk4_drop_stale", _after_drop, f"WITH {VERSIONS_SQL} SELECT * FROM st WHERE model_version >= 'v2'")
 reg(
     "snk5_verify_publish",
     lambda t: state.verify_publish(_stored(t), "v2", scalar(_versions(t)[1], F.count("*"))),
@@ -254,9 +269,18 @@ reg(
     lambda t: state.batch_watermark(t.events, "events", "ts"),
     "SELECT 'events' AS dataset, max(ts) AS value, max(ts)::date AS run_date FROM events",
 )
+
+
+def _ingest_stats(t):
+    """What the write of a raw layer says of its rows."""
+    store = layers.LayerStore(t.spark, scratch_dir(t.spark, "inc6"))
+    seen = store.write_counted(t.events, "events", "raw", "2024-01-01", watermark_end=F.max("ts"))
+    return t.spark.createDataFrame([(seen["rows"], seen["watermark_end"], len(t.events.columns))], "rows bigint, watermark_end timestamp_ntz, columns int")
+
+
 reg(
     "inc6_ingest_stats",
-    lambda t: state.ingest_stats(t.events, "ts"),
+    _ingest_stats,
     "SELECT count(*) AS rows, max(ts) AS watermark_end, 6 AS columns FROM events",
 )
 
@@ -305,8 +329,43 @@ x AS (SELECT layer, max(version) FILTER (WHERE run_date=l.a) AS va, max(version)
  max(rows) FILTER (WHERE run_date=l.a) AS rows_from, max(rows) FILTER (WHERE run_date=l.b) AS rows_to FROM mf, l WHERE run_date IN (l.a, l.b) GROUP BY layer)
 SELECT layer, CASE WHEN va IS NULL THEN 'added' WHEN vb IS NULL THEN 'removed' WHEN va <> vb THEN 'changed' ELSE 'same' END AS status, rows_from, rows_to FROM x""",
 )
+
+
+def _file_digests(t):
+    """A text file of order keys for each month, and what the files' digests are."""
+    path = scratch_dir(t.spark, "lin5")
+    lines = t.orders.select(F.date_format("o_orderdate", "yyyy-MM").alias("month"), F.concat_ws(",", "o_orderkey", "o_orderstatus").alias("value"), "o_orderkey")
+    lines.repartition("month").sortWithinPartitions("month", "o_orderkey").drop("o_orderkey").write.partitionBy("month").text(path)
+    return versions.file_digests(t.spark, path, {"month": "string"}, "*.txt").select("month", "size", "digest")
+
+
+reg(
+    "lin5_file_digests",
+    _file_digests,
+    """WITH f AS (SELECT strftime(o_orderdate, '%Y-%m') AS month, string_agg(o_orderkey || ',' || o_orderstatus || chr(10), '' ORDER BY o_orderkey) AS content FROM orders GROUP BY 1)
+SELECT month, strlen(content)::bigint AS size, md5(content) AS digest FROM f""",
+)
+
+
+def _file_versions(t):
+    """Three recordings: all dates, the newest one overwritten, and once more without a change."""
+    store = layers.LayerStore(t.spark, scratch_dir(t.spark, "lin5"))
+    store.write(t.orders.withColumn("dt", F.trunc(F.col("o_orderdate").cast("date"), "MM")), "requests", "raw")
+    log = versions.VersionLog(store)
+    log.record("requests", "raw")
+    last = store.stored_dates("requests", "raw")[-1]
+    store.write(settle(store.partition("requests", "raw", last).withColumn("o_orderstatus", F.lower("o_orderstatus"))).drop("dt"), "requests", "raw", last)
+    log.record("requests", "raw")
+    log.record("requests", "raw")
+    rows = store.files("requests", "raw").groupBy("dt").agg(F.count("*").alias("stored"), F.sum("rows").alias("rows"))
+    seen = log.versions("requests", "raw").join(rows, "dt")
+    return seen.select("dt", "generation", "is_live", F.when(F.col("is_live"), F.col("files") == F.col("stored")).alias("complete"), "rows")
+
+
 reg(
-    "lin5_file_metadata",
-    lambda t: staged(t).files("requests", "raw").groupBy("dt").agg(F.sum("rows").alias("rows"), (F.min("size") > 0).alias("has_size")),
-    f"SELECT {DT} AS dt, count(*) AS rows, true AS has_size FROM orders GROUP BY 1",
+    "lin5_file_versions",
+    _file_versions,
+    f"""WITH d AS (SELECT {DT} AS dt, count(*) AS rows FROM orders GROUP BY 1), m AS (SELECT max(dt) AS dt FROM d)
+SELECT dt, 1::bigint AS generation, dt <> (SELECT dt FROM m) AS is_live, CASE WHEN dt <> (SELECT dt FROM m) THEN true END AS complete, rows FROM d
+UNION ALL SELECT dt, 2, true, true, rows FROM d WHERE dt = (SELECT dt FROM m)""",
 )

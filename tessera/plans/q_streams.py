@@ -11,7 +11,8 @@ from tessera.plans import datasets
 from tessera.plans.q_tables import SCORE_SQL, score_table
 from tessera.plans.registry import incidents, reg, rounded
 from tessera.sources import state
-from tessera.streaming import metrics
+from tessera.session import scratch_dir
+from tessera.streaming import alerts, metrics
 
 CODE_SQL = "CASE WHEN event_type='error' THEN 500 WHEN event_type='signup' AND value>20 THEN 404 ELSE 200 END"
 EV = f"ev AS (SELECT *, {CODE_SQL} AS status_code, {CODE_SQL}::varchar AS status FROM events)"
@@ -33,18 +34,37 @@ def plain(df):
     return df.withColumns({n: F.col(n).cast("timestamp_ntz") for n, k in df.dtypes if k == "timestamp"})
 
 
-def replay(stream, name, keys, **kw):
-    return rounded(plain(metrics.run_available(stream, name, keys, **kw)))
+#: Event time for which partials of a stream stay open; older rows are counted all the same.
+RETENTION = "2 days"
+
+
+def sliced(t, n=4):
+    """Events as a stream of several triggers: files of successive stretches of time, one a trigger."""
+    folder = scratch_dir(t.spark, "slices")
+    first, last = t.events.agg(F.unix_micros(F.min("ts").cast("timestamp")), F.unix_micros(F.max("ts").cast("timestamp"))).first()
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    for k in range(n):
+        low, high = (first + (last + 1 - first) * i // n for i in (k, k + 1))
+        t.events.where((at >= low) & (at < high)).write.mode("append").parquet(folder)
+    return shaped(metrics.file_stream(t.spark, folder, t.events.schema, "*.parquet", files_per_trigger=1))
+
+
+def replay(stream, spec, name):
+    return rounded(plain(metrics.replayed(stream, spec, name, RETENTION)))
+
+
+def batch(df, spec):
+    return rounded(plain(metrics.at_once(df, spec)))
 
 
 WIN = "time_bucket(INTERVAL {w}, ts) AS window_start"
 MINUTE = WIN.format(w="60 seconds")
 LAT = f"SELECT {MINUTE}, round(avg(value),6) AS mean_latency, max(value) AS max_latency FROM ev GROUP BY 1"
-reg("stm1_latency_windows", lambda t: replay(metrics.latency(event_stream(t)), "stm1", ["window_start"]), f"WITH {EV} {LAT}")
-reg("stm1_latency_windows_batch", lambda t: rounded(plain(metrics.latency(shaped(t.events)))), f"WITH {EV} {LAT}")
+reg("stm1_latency_windows", lambda t: replay(event_stream(t), metrics.latency(), "stm1"), f"WITH {EV} {LAT}")
+reg("stm1_latency_windows_batch", lambda t: batch(shaped(t.events), metrics.latency()), f"WITH {EV} {LAT}")
 SUMS = f"SELECT {MINUTE}, status, count(*) AS requests, count(*) FILTER (WHERE status_code>=400) AS errors, count(*) FILTER (WHERE status_code=404) AS not_found FROM ev GROUP BY 1, 2"
-reg("stm2_request_sums", lambda t: replay(metrics.request_sums(event_stream(t)), "stm2", ["window_start", "status"]), f"WITH {EV} {SUMS}")
-reg("stm2_request_sums_batch", lambda t: plain(metrics.request_sums(shaped(t.events))), f"WITH {EV} {SUMS}")
+reg("stm2_request_sums", lambda t: replay(event_stream(t), metrics.request_sums(), "stm2"), f"WITH {EV} {SUMS}")
+reg("stm2_request_sums_batch", lambda t: batch(shaped(t.events), metrics.request_sums()), f"WITH {EV} {SUMS}")
 
 
 def tiered(df):
@@ -52,39 +72,61 @@ def tiered(df):
 
 
 TIERS = f"""SELECT {WIN.format(w='300 seconds')}, CASE WHEN value*5>=66 THEN 'HIGH' WHEN value*5>=33 THEN 'MEDIUM' ELSE 'LOW' END AS tier, count(*) AS served, round(avg(value),6) AS mean_value FROM ev GROUP BY 1, 2"""
-reg("stm3_tier_counts", lambda t: replay(metrics.tier_counts(tiered(event_stream(t))), "stm3", ["window_start", "tier"]), f"WITH {EV} {TIERS}")
-reg("stm3_tier_counts_batch", lambda t: rounded(plain(metrics.tier_counts(tiered(shaped(t.events))))), f"WITH {EV} {TIERS}")
+reg("stm3_tier_counts", lambda t: replay(tiered(event_stream(t)), metrics.tier_counts(), "stm3"), f"WITH {EV} {TIERS}")
+reg("stm3_tier_counts_batch", lambda t: batch(tiered(shaped(t.events)), metrics.tier_counts()), f"WITH {EV} {TIERS}")
 SERIES = f"SELECT {WIN.format(w='1 day')}, event_type AS feature, round(avg(value),6) AS mean_drift, max(value) AS max_drift FROM ev GROUP BY 1, 2"
-reg("stm4_drift_series", lambda t: replay(metrics.drift_series(event_stream(t).withColumnRenamed("event_type", "feature")), "stm4", ["window_start", "feature"]), f"WITH {EV} {SERIES}")
-reg("stm4_drift_series_batch", lambda t: rounded(plain(metrics.drift_series(shaped(t.events).withColumnRenamed("event_type", "feature")))), f"WITH {EV} {SERIES}")
+reg("stm4_drift_series", lambda t: replay(event_stream(t).withColumnRenamed("event_type", "feature"), metrics.drift_series(), "stm4"), f"WITH {EV} {SERIES}")
+reg("stm4_drift_series_batch", lambda t: batch(shaped(t.events).withColumnRenamed("event_type", "feature"), metrics.drift_series()), f"WITH {EV} {SERIES}")
+
+
+#: Alerts wait this long for late rows before a window counts.
+GRACE = "10 minutes"
 
 
 def _breaches(t):
-    """Peak value above a limit for three hours in a row."""
-    peak = metrics.windowed(event_stream(t), "ts", "1 hour", [], [F.max("value").alias("peak")])
-    hours = metrics.run_available(peak, "stm5", ["window_start"])
-    return plain(metrics.breaches(hours, "peak", 20.0, run=3, seconds=3600))
+    """Peak value above a limit for three hours in a row, as alerts of a stream of several triggers."""
+    fired = alerts.sustained(sliced(t), "ts", "value", 20.0, run=3, seconds=3600, late=GRACE)
+    return plain(metrics.run_available(fired, "stm5", None, mode="append"))
 
 
+# a stream alerts once a window is closed: when the newest row is GRACE past its end
 reg(
     "stm5_sustained_breach",
     _breaches,
-    """WITH h AS (SELECT time_bucket(INTERVAL 1 hour, ts) AS window_start, max(value) AS peak FROM events GROUP BY 1 HAVING max(value) > 20)
+    """WITH h AS (SELECT time_bucket(INTERVAL 1 hour, ts) AS window_start, max(value) AS peak FROM events GROUP BY 1 HAVING max(value) > 20
+ AND window_start + INTERVAL 1 HOUR <= (SELECT date_trunc('milliseconds', max(ts)) FROM events) - INTERVAL 10 MINUTE)
 SELECT window_start, peak FROM (SELECT *, count(*) OVER (ORDER BY window_start RANGE BETWEEN INTERVAL 2 HOUR PRECEDING AND CURRENT ROW) AS n FROM h) WHERE n = 3""",
 )
 
 
+def _typed_breaches(t):
+    """The same for each type of event, two windows of ten minutes in a row."""
+    fired = alerts.sustained(sliced(t), "ts", "value", 15.0, run=2, seconds=600, late=GRACE, keys=["event_type"])
+    return plain(metrics.run_available(fired, "stm5_typed", None, mode="append"))
+
+
+reg(
+    "stm5_breach_by_type",
+    _typed_breaches,
+    """WITH h AS (SELECT event_type, time_bucket(INTERVAL 10 minute, ts) AS window_start, max(value) AS peak FROM events GROUP BY 1, 2 HAVING max(value) > 15
+ AND window_start + INTERVAL 10 MINUTE <= (SELECT date_trunc('milliseconds', max(ts)) FROM events) - INTERVAL 10 MINUTE)
+SELECT event_type, window_start, peak FROM (SELECT *, count(*) OVER (PARTITION BY event_type ORDER BY window_start RANGE BETWEEN INTERVAL 10 MINUTE PRECEDING AND CURRENT ROW) AS n FROM h) WHERE n = 2""",
+)
+
+
 def _rules(t):
-    """Threshold rules over windowed sums."""
-    w = metrics.windowed(shaped(t.events), "ts", "1 day", [], [F.count_if(F.col("status_code") >= 400).alias("errors"), F.avg("value").alias("mean_value")])
+    """Threshold rules over the windowed sums of a stream, which fire when a window is closed."""
+    sums = [F.count_if(F.col("status_code") >= 400).alias("errors"), F.avg("value").alias("mean_value")]
+    w = metrics.windowed(sliced(t), "ts", "1 day", [], sums, late=GRACE)
     fired = metrics.threshold_alerts(w, [("error_count", "errors", 60), ("mean_value", "mean_value", 11)])
-    return rounded(plain(fired))
+    return rounded(plain(metrics.run_available(fired, "stm5_rules", None, mode="append")))
 
 
 reg(
     "stm5_threshold_alerts",
     _rules,
-    f"""WITH {EV}, w AS (SELECT {WIN.format(w='1 day')}, count(*) FILTER (WHERE status_code>=400)::double AS errors, avg(value) AS m FROM ev GROUP BY 1)
+    f"""WITH {EV}, w AS (SELECT {WIN.format(w='1 day')}, count(*) FILTER (WHERE status_code>=400)::double AS errors, avg(value) AS m FROM ev GROUP BY 1
+ HAVING window_start + INTERVAL 1 DAY <= (SELECT date_trunc('milliseconds', max(ts)) FROM events) - INTERVAL 10 MINUTE)
 SELECT window_start, 'error_count' AS alert, errors AS observed, 60e0 AS "limit" FROM w WHERE errors>60 UNION ALL SELECT window_start, 'mean_value', round(m,6), 11e0 FROM w WHERE m>11""",
 )
 
@@ -96,7 +138,7 @@ def _alerts(t):
 
 reg(
     "stm6_alert_suppression",
-    lambda t: replay(metrics.suppress(_alerts(t), 30, 3), "stm6", None, mode="append"),
+    lambda t: plain(metrics.run_available(alerts.suppress(_alerts(t), 30, 3), "stm6", None, mode="append")),
     """WITH RECURSIVE al AS (SELECT 'warning:'||event_type||':events' AS alert_key, event_id AS alert_id, ts FROM events),
 f AS (SELECT alert_key, arg_min(alert_id, (ts, alert_id)) AS alert_id, min(ts) AS ts, 1 AS c FROM al GROUP BY 1
  UNION ALL SELECT alert_key, alert_id, ts, c FROM (SELECT f.alert_key, al.alert_id, al.ts, CASE WHEN al.ts > f.ts + INTERVAL 1 HOUR THEN 1 ELSE f.c+1 END AS c, row_number() OVER (PARTITION BY f.alert_key ORDER BY al.ts, al.alert_id) AS i
@@ -106,7 +148,7 @@ f AS (SELECT alert_key, arg_min(alert_id, (ts, alert_id)) AS alert_id, min(ts) A
 
 def _sessions(t):
     s = metrics.file_stream(t.spark, t.folder, t.conversations.schema, "conversations.parquet")
-    return metrics.session_rows(metrics.run_available(metrics.session_history(s, 2), "stm7", ["conv_id"]))
+    return metrics.session_rows(metrics.run_available(alerts.session_history(s, 2), "stm7", ["conv_id"]))
 
 
 reg(
@@ -135,8 +177,8 @@ reg(
 
 def _ingest(t):
     since = constant(t.events, F.max("ts")).cast("timestamp") - F.expr("INTERVAL 20 DAYS")
-    new = metrics.ingest_new(event_stream(t).drop("status", "status_code"), "ts", ["event_id"], since)
-    return plain(metrics.run_available(new, "stm10", None, mode="append"))
+    new = event_stream(t).drop("status", "status_code").where(F.col("ts") >= since)
+    return plain(metrics.replayed(new, metrics.new_rows(["event_id"], "ts"), "stm10", RETENTION))
 
 
 reg("stm10_incremental_ingest", _ingest, "SELECT * FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 20 DAY")

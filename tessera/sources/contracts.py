@@ -74,3 +74,20 @@ def load(spark: SparkSession, folder: str) -> dict[tuple[str, str], Contract]:
 def with_contracts(plan, found: Mapping[tuple[str, str], Contract]):
     """A dataset plan whose gates use the contracts found for its name; layers without one keep theirs."""
     return replace(plan, contracts={layer: found[plan.name, layer] for layer in LAYERS if (plan.name, layer) in found})
+
+
+def layer_findings(found: Mapping[tuple[str, str], Contract], tables: Mapping[tuple[str, str], DataFrame]) -> DataFrame:
+    """(dataset, layer, rule, severity, feature, n, ratio): what each stored table breaks of the contract for its dataset and
+    layer. A contract without a table is ``missing_table``, a table without a contract ``no_contract``."""
+    parts, rows = [], []
+    for (dataset, layer), df in tables.items():
+        if (dataset, layer) not in found:
+            rows.append((dataset, layer, "no_contract", "warning", "__all__", 0, 0.0))
+            continue
+        own = found[dataset, layer].findings(df)
+        parts.append(own.select(F.lit(dataset).alias("dataset"), F.lit(layer).alias("layer"), *quality.FINDING))
+    rows += [(d, x, "missing_table", "error", "__all__", 0, 0.0) for d, x in found if (d, x) not in tables]
+    if rows:
+        spark = next(iter(tables.values())).sparkSession if tables else SparkSession.getActiveSession()
+        parts.append(spark.createDataFrame(rows, "dataset string, layer string, rule string, severity string, feature string, n bigint, ratio double"))
+    return quality.union(parts)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import clean
@@ -46,6 +46,18 @@ class LayerStore:
         )
         self._point(dataset, layer, date or max(self.stored_dates(dataset, layer), default=None))
 
+    def write_counted(self, df: DataFrame, dataset: str, layer: str, date: str, **counts: Column) -> dict:
+        """Write one date and return aggregates of its rows, taken by the tasks that write them: no second read.
+
+        The rows are written as they come, without a shuffle, so that a task that is run again does not count twice.
+        """
+        seen = Observation()
+        rows = df.observe(seen, F.count("*").alias("rows"), *[c.alias(n) for n, c in counts.items()])
+        rows = rows.withColumn(DT, F.lit(date).cast("date"))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DT).parquet(self.path(dataset, layer))
+        self._point(dataset, layer, date)
+        return seen.get
+
     def _fs(self, path: str):
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return p, p.getFileSystem(self.spark._jsc.hadoopConfiguration())

@@ -6,15 +6,14 @@ code. ``run_available`` replays what is available and leaves a table.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tessera.session import scratch_dir
+from tessera.streaming.partials import FirstRows, Measure, PartialStore, WindowPartials, absorb_available
 
 
 def file_stream(spark: SparkSession, folder: str, schema, glob: str, files_per_trigger: int = 100) -> DataFrame:
@@ -28,33 +27,48 @@ def file_stream(spark: SparkSession, folder: str, schema, glob: str, files_per_t
 
 
 def windowed(df: DataFrame, ts: str, size: str, keys: Sequence[str], aggs: Sequence[Column], late: str | None = None) -> DataFrame:
-    """Tumbling-window aggregates. Without ``late`` a stream counts every row, in whatever order files arrive, and keeps all
-    windows as state; with it, windows older than that are closed and what still arrives for them is dropped."""
-    if df.isStreaming and late:
+    """Tumbling-window aggregates. On a stream ``late`` is needed: windows older than that are closed, and what still arrives for
+    them is dropped. Where nothing may be dropped, keep partials (``latency`` and the like, ``replayed``)."""
+    if df.isStreaming:
+        if not late:
+            raise ValueError("a windowed stream without a bound on lateness keeps all windows for ever")
         df = df.withWatermark(ts, late)
     out = df.groupBy(F.window(ts, size), *keys).agg(*aggs)
     return out.select(F.col("window.start").alias("window_start"), *[c for c in out.columns if c != "window"])
 
 
-def latency(df: DataFrame, ts="ts", value="value", late=None) -> DataFrame:
-    return windowed(df, ts, "60 seconds", [], [F.avg(value).alias("mean_latency"), F.max(value).alias("max_latency")], late)
+def latency(ts="ts", value="value") -> WindowPartials:
+    return WindowPartials(ts, "60 seconds", [], [Measure("mean_latency", "mean", value), Measure("max_latency", "max", value)])
 
 
-def request_sums(df: DataFrame, ts="ts", status="status", late=None) -> DataFrame:
-    code = F.col("status_code")
-    return windowed(
-        df, ts, "60 seconds", [status],
-        [F.count("*").alias("requests"), F.count_if(code >= 400).alias("errors"), F.count_if(code == 404).alias("not_found")],
-        late,
-    )
+def request_sums(ts="ts", status="status", code="status_code") -> WindowPartials:
+    sums = [Measure("requests", "count"), Measure("errors", "count_if", F.col(code) >= 400), Measure("not_found", "count_if", F.col(code) == 404)]
+    return WindowPartials(ts, "60 seconds", [status], sums)
 
 
-def tier_counts(df: DataFrame, ts="ts", tier="tier", value="value", late=None) -> DataFrame:
-    return windowed(df, ts, "300 seconds", [tier], [F.count("*").alias("served"), F.avg(value).alias("mean_value")], late)
+def tier_counts(ts="ts", tier="tier", value="value") -> WindowPartials:
+    return WindowPartials(ts, "300 seconds", [tier], [Measure("served", "count"), Measure("mean_value", "mean", value)])
 
 
-def drift_series(df: DataFrame, ts="ts", feature="feature", value="value", late=None) -> DataFrame:
-    return windowed(df, ts, "1 day", [feature], [F.avg(value).alias("mean_drift"), F.max(value).alias("max_drift")], late)
+def drift_series(ts="ts", feature="feature", value="value") -> WindowPartials:
+    return WindowPartials(ts, "1 day", [feature], [Measure("mean_drift", "mean", value), Measure("max_drift", "max", value)])
+
+
+def at_once(df: DataFrame, spec) -> DataFrame:
+    """What the partials of a stream come to, from a table."""
+    return spec.result(spec.of(df))
+
+
+def replayed(stream: DataFrame, spec, name: str, retention: str | None) -> DataFrame:
+    """Replay what a stream has through partials: all rows count, whatever the order of their files, and a batch reads no more
+    than the partials of the last ``retention`` of event time."""
+    spark = stream.sparkSession
+    store = PartialStore(spark, scratch_dir(spark, name), spec, retention)
+    found = absorb_available(stream, store).read()
+    if found is None:
+        empty = spark.createDataFrame([], stream.schema)
+        return at_once(empty, spec)
+    return found
 
 
 def run_available(
@@ -81,7 +95,10 @@ def run_available(
         .start()
     )
     query.awaitTermination()
-    result = spark.read.schema(T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])).parquet(out)
+    schema = T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])
+    p = spark._jvm.org.apache.hadoop.fs.Path(out)
+    there = p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)  # not if the stream had nothing at all
+    result = spark.read.schema(schema).parquet(out) if there else spark.createDataFrame([], schema)
     if keys is None:
         return result.drop("batch")
     rest = [c for c in stream.columns if c not in keys]
@@ -116,70 +133,9 @@ def threshold_alerts(row: DataFrame, rules: Sequence[tuple[str, str, float]]) ->
     return row.select(*keep, F.inline(items)).where("observed > limit")
 
 
-def _suppress(cooldown_s: float, per_hour: int) -> Callable:
-    hour = 3600.0
-
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState):
-        last, count = state.get if state.exists else (None, 0)
-        pdf = pd.concat(list(batches)).sort_values(["ts", "alert_id"])
-        sent = []
-        for alert_id, ts in zip(pdf["alert_id"], pdf["ts"]):
-            now = ts.timestamp()
-            if last is not None:
-                if now - last < cooldown_s or (now - last < hour and count >= per_hour):
-                    continue
-                count = 1 if now - last > hour else count + 1
-            else:
-                count = 1
-            last = now
-            sent.append((key[0], alert_id, ts))
-        if last is not None:
-            state.update((last, count))
-        if sent:
-            yield pd.DataFrame(sent, columns=["alert_key", "alert_id", "ts"])
-
-    return step
-
-
-def suppress(alerts: DataFrame, cooldown_minutes: float = 15, per_hour: int = 10) -> DataFrame:
-    """Alerts that get through a cooldown and an hourly cap per key. Input: alert_key, alert_id, ts
-    (timestamp). Keyed state holds two numbers; micro-batches bound the rows of a key in memory."""
-    return alerts.groupBy("alert_key").applyInPandasWithState(
-        _suppress(cooldown_minutes * 60, per_hour),
-        "alert_key string, alert_id bigint, ts timestamp",
-        "last double, count int",
-        "append",
-        GroupStateTimeout.NoTimeout,
-    )
-
-
 # -- sessions ----------------------------------------------------------------------------------
 
 
-def _history(pairs: int) -> Callable:
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState):
-        rows = list(zip(*state.get)) if state.exists else []
-        for pdf in batches:
-            rows += list(zip(pdf["turn"].tolist(), pdf["role"], pdf["text"]))
-            rows = sorted(rows, key=lambda r: r[0])[-2 * pairs :]
-        turns, roles, texts = (list(c) for c in zip(*rows))
-        state.update((turns, roles, texts))
-        yield pd.DataFrame({"conv_id": [key[0]], "turns": [turns], "roles": [roles], "texts": [texts]})
-
-    return step
-
-
-_SESSION = "turns array<bigint>, roles array<string>, texts array<string>"
-
-
-def session_history(turns: DataFrame, pairs: int) -> DataFrame:
-    """Last ``2 · pairs`` messages per session as one row, trimmed as they arrive so state stays
-    small however long a session grows."""
-    return turns.groupBy("conv_id").applyInPandasWithState(
-        _history(pairs), f"conv_id bigint, {_SESSION}", _SESSION, "update", GroupStateTimeout.NoTimeout
-    )
-
-
 def session_rows(sessions: DataFrame) -> DataFrame:
     return sessions.select("conv_id", F.inline(F.arrays_zip("turns", "roles", "texts"))).toDF("conv_id", "turn", "role", "text")
 
@@ -204,10 +160,6 @@ def score_metrics(found: DataFrame, keep: Sequence[str]) -> DataFrame:
     return found.select(*keep, name.alias("metric"), F.when(F.col("found"), F.col("risk_score")).otherwise(1.0).alias("point"), F.col("risk_tier").alias("tier"))
 
 
-def ingest_new(stream: DataFrame, ts: str, key: Sequence[str], since, late: str | None = None) -> DataFrame:
-    """All rows past the stored watermark, each key once. With ``late`` keys are forgotten after that time, and rows that
-    arrive later than that are dropped."""
-    rows = stream.where(F.col(ts) >= since)
-    if not rows.isStreaming or not late:
-        return rows.dropDuplicates(list(key))
-    return rows.withWatermark(ts, late).dropDuplicatesWithinWatermark(list(key))
+def new_rows(key: Sequence[str], ts: str) -> FirstRows:
+    """Each key's first row, as partials of a stream: rows past a stored watermark come through once."""
+    return FirstRows(key, ts)

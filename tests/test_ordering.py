@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tessera.operators import aggregates as agg
 from tessera.operators import ordering, sampling
 
 
@@ -142,3 +143,51 @@ def test_bucket_count_follows_the_rows(spark, monkeypatch):
     assert small <= 160 and large <= 160
     got = ordering.quantiles(spark.range(4001).selectExpr("id * 1000 % 4001 as v"), [], "v", {"m": 0.5}, 4).first().m
     assert got == 2000.0
+
+
+# -- quantiles of many groups -------------------------------------------------------------------------
+
+
+def grouped(spark, rows, schema="g string, x double"):
+    return spark.createDataFrame(rows, schema).repartition(4)
+
+
+@pytest.mark.parametrize("most", [40, 1_000_000])
+def test_quantiles_of_small_and_large_groups(spark, monkeypatch, most):
+    """A third of all rows in one group, groups whose values lie apart, ties, nulls, NaN and a null group."""
+    monkeypatch.setattr(ordering, "GROUP_ROWS", most)
+    rng = np.random.default_rng(4)
+    values = {"hot": rng.integers(0, 30, 1500) / 4, "far": 1e9 + rng.random(700), "one": np.array([5.0]), "same": np.full(300, 2.5), **{f"g{i}": rng.normal(i, 1, 20 + i) for i in range(40)}}
+    rows = [(g, float(x)) for g, own in values.items() for x in own]
+    rows += [("hot", None), ("hot", float("nan")), ("none", None), (None, 1.0), (None, 3.0)]
+    probs = {"p10": 0.1, "median": 0.5, "p99": 0.99}
+    got = {r.g: r for r in ordering.quantiles(grouped(spark, rows), ["g"], "x", probs).collect()}
+    assert set(got) == set(values)
+    for g, own in values.items():
+        assert np.allclose([got[g][n] for n in probs], np.quantile(own, list(probs.values())), rtol=1e-12)
+
+
+@pytest.mark.parametrize("most", [40, 1_000_000])
+def test_group_table_in_one_pass(spark, monkeypatch, most):
+    monkeypatch.setattr(ordering, "GROUP_ROWS", most)
+    rows = [("a", float(i % 7)) for i in range(301)] + [("b", None), ("c", 1.0), ("c", 2.0), (None, 4.0), ("a", None)]
+    got = {r.g: tuple(r)[1:] for r in agg.group_table(grouped(spark, rows), ["g"], "x").collect()}
+    a = [float(i % 7) for i in range(301)]
+    assert got == {"a": (302, sum(a), sum(a) / 301, 3.0), "b": (1, None, None, None), "c": (2, 3.0, 1.5, 1.5), None: (1, 4.0, 4.0, 4.0)}
+
+
+def test_offsets_follow_the_data(spark, monkeypatch):
+    """Large groups get one bucket for so many rows; nothing is kept for each group and each bucket of all."""
+    monkeypatch.setattr(ordering, "GROUP_ROWS", 50)
+    df = grouped(spark, [(f"g{i % 20}", float(i * (i % 20) ** 3)) for i in range(6000)]).withColumns({"_v": F.col("x"), "_pos": F.col("x")})
+    large = ordering._large(df, ["g"])
+    assert large.count() == 20
+    rows, offsets = ordering._group_buckets(df, ["g"], large)
+    assert offsets.count() <= 6000 / 50 + 20
+    assert rows.where("g <> 'g0'").groupBy("g", "_bucket").count().agg(F.max("count")).first()[0] <= 3 * 50  # g0 is one value
+
+
+def test_one_exchange_for_groups(spark):
+    df = grouped(spark, [("a", 1.0), ("b", 2.0)])
+    plan = agg.group_table(df, ["g"], "x")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(g") == 1

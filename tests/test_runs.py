@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from tessera.operators.quality import GateFailed
 from tessera.plans import daily, datasets, load_queries
 from tessera.sources.layers import LayerStore
-from tessera.streaming import metrics
+from tessera.sources.versions import VersionLog
+from tessera.streaming import alerts, metrics
+from tessera.streaming.partials import Measure, WindowPartials
 
 from .conftest import SF
 
@@ -43,9 +45,24 @@ def test_daily_run_over_two_days(spark, tmp_path):
     both = crime_rows(spark, "2024-01-10").unionByName(crime_rows(spark, "2024-01-14"))
     daily.run_daily(store, plan, both, "2024-01-14", since="OCCURRED_ON_DATE")
     assert store.partition("crime_navigate", "raw", "2024-01-14").count() < 60
-    # running a date again replaces it
+    assert run.ingested == {"rows": 30, "columns": 9} and run.drops == {}
+    kept = {r.drop_reason: r.rows for r in store.partition("crime_navigate", "drops", "2024-01-13").collect()}
+    assert kept == {"ingested": 30}
+    # running a date again replaces it, and the version log has both
     daily.run_daily(store, plan, crime_rows(spark, "2024-01-13", 20), "2024-01-13")
     assert store.partition("crime_navigate", "processed", "2024-01-13").count() == 20
+    log = VersionLog(store).versions("crime_navigate", "processed", "2024-01-13").orderBy("generation").collect()
+    assert [(r.generation, r.is_live) for r in log] == [(1, False), (2, True)]
+
+
+def test_daily_run_counts_what_it_drops(spark, tmp_path):
+    store = LayerStore(spark, str(tmp_path))
+    rows = crime_rows(spark, "2024-01-10")
+    late = rows.limit(4).withColumns({"INCIDENT_NUMBER": F.concat(F.lit("late"), "INCIDENT_NUMBER"), "OCCURRED_ON_DATE": F.lit("2031-01-01")})
+    never = rows.limit(3).withColumns({"INCIDENT_NUMBER": F.concat(F.lit("no"), "INCIDENT_NUMBER"), "OCCURRED_ON_DATE": F.lit("no date")})
+    run = daily.run_daily(store, datasets.CRIME_BY_CELL, rows.unionByName(late).unionByName(never), "2024-01-10", strict=False)
+    assert run.drops == {"future_date": 4, "invalid_date": 3} and run.ingested["rows"] == 37
+    assert {r.drop_reason: r.rows for r in store.partition("crime_navigate", "drops", "2024-01-10").collect()} == {**run.drops, "ingested": 37}
 
 
 def test_daily_run_stops_at_a_failed_gate(spark, tmp_path):
@@ -102,7 +119,7 @@ def test_alert_state_survives_batches(spark, tmp_path):
         chunk = pd.DataFrame(rows[part * 100 : (part + 1) * 100], columns=["alert_id", "ts"]).assign(alert_key="k")
         spark.createDataFrame(chunk).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     src = metrics.file_stream(spark, str(tmp_path / "in"), spark.read.parquet(str(tmp_path / "in")).schema, "*.parquet", files_per_trigger=1)
-    out = metrics.run_available(metrics.suppress(src.withColumn("ts", F.col("ts").cast("timestamp")), 15, 3), "alerts", None, mode="append")
+    out = metrics.run_available(alerts.suppress(src.withColumn("ts", F.col("ts").cast("timestamp")), 15, 3), "alerts", None, mode="append")
     assert {r.alert_id for r in out.collect()} == brute_suppress(rows, 15, 3)
 
 
@@ -112,9 +129,8 @@ def test_windowed_stream_over_batches_equals_batch(spark, tmp_path):
     for p in range(5):
         rows.where(F.col("part") == p).drop("part").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     src = metrics.file_stream(spark, str(tmp_path / "in"), ev.schema, "*.parquet", files_per_trigger=1)
-    stream = metrics.latency(src.withColumn("ts", F.col("ts").cast("timestamp")))
-    got = metrics.run_available(stream, "lat", ["window_start"])
-    want = metrics.latency(ev.withColumn("ts", F.col("ts").cast("timestamp")))
+    got = metrics.replayed(src.withColumn("ts", F.col("ts").cast("timestamp")), metrics.latency(), "lat", "1 hour")
+    want = metrics.at_once(ev.withColumn("ts", F.col("ts").cast("timestamp")), metrics.latency())
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
@@ -123,7 +139,7 @@ def test_session_state_is_trimmed_across_batches(spark, tmp_path):
         chunk = [(1, b * 4 + i, "user", f"t{b * 4 + i}") for i in range(4)]
         spark.createDataFrame(chunk, "conv_id long, turn long, role string, text string").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     src = metrics.file_stream(spark, str(tmp_path / "in"), spark.read.parquet(str(tmp_path / "in")).schema, "*.parquet", 1)
-    out = metrics.session_rows(metrics.run_available(metrics.session_history(src, 2), "sess", ["conv_id"]))
+    out = metrics.session_rows(metrics.run_available(alerts.session_history(src, 2), "sess", ["conv_id"]))
     assert sorted(r.turn for r in out.collect()) == [8, 9, 10, 11]
 
 
@@ -145,9 +161,9 @@ def test_streams_lose_nothing_whatever_the_order_of_files(spark, tmp_path):
         part.rename(tmp_path / "in" / f"part-{i}.parquet")
     whole = spark.read.parquet(str(tmp_path / "in" / "part-*.parquet"))
     src = metrics.file_stream(spark, str(tmp_path / "in"), whole.schema, "part-*.parquet", files_per_trigger=1)
-    counted = metrics.windowed(src, "ts", "60 seconds", [], [F.count("*").alias("n")])
-    assert metrics.run_available(counted, "order", ["window_start"]).agg(F.sum("n")).first()[0] == 40
-    got = metrics.run_available(metrics.ingest_new(src, "ts", ["id"], F.lit(t0)), "new", None, mode="append")
+    counted = WindowPartials("ts", "60 seconds", [], [Measure("n", "count")])
+    assert metrics.replayed(src, counted, "order", "1 hour").agg(F.sum("n")).first()[0] == 40
+    got = metrics.replayed(src.where(F.col("ts") >= F.lit(t0)), metrics.new_rows(["id"], "ts"), "new", "1 hour")
     assert sorted(r.id for r in got.collect()) == sorted(k + 10 * d for d in (30, 3, 17, 1) for k in range(5))
 
 
