@@ -53,7 +53,7 @@ def _loaded(t):
     dates_ = t.spark.range(1).select(*days).first()
     for d, date in zip((60, 30, 7, 0), dates_):
         ref = as_of(t) - F.expr(f"INTERVAL {d} DAYS")
-        store.write(features.bucket_sums(incidents(t), ref, CFG), "cells", "features", date)
+        store.write(features.bucket_sums(incidents(t).where(F.col("occurred_on_date") <= ref), ref, CFG), "cells", "features", date)
     return features.load_features(store, "cells", dates_[-1], 14, ["weighted_score_30d", "incident_count_30d"]).drop("date")
 
 
