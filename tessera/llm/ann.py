@@ -47,8 +47,8 @@ def fit(vectors: DataFrame, seed: int = 7) -> dict[int, Lists]:
     counts = {r[0]: r[1] for r in vectors.groupBy("dim").agg(F.count("*")).collect()}
     result = {}
     for dim, n in counts.items():
-        drawn = vectors.filter((F.col("dim") == dim) & (F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(1 << 30)) < min(1.0, SAMPLE / n) * (1 << 30)))
-        table = drawn.select("vec_id", "v").orderBy("vec_id").toArrow()
+        drawn = vectors.filter((F.col("dim") == dim) & (F.pmod(F.xxhash64("row", F.lit(3)), F.lit(1 << 30)) < min(1.0, SAMPLE / n) * (1 << 30)))
+        table = drawn.select("row", "v").orderBy("row").toArrow()
         rng = np.random.default_rng(seed)
         x = matrix(table["v"]) if len(table) else np.zeros((1, dim))
         lists = max(1, min(LISTS, n // LIST, len(x) // 8))
@@ -86,9 +86,9 @@ def scan(x: np.ndarray, q: np.ndarray, k: int, bound: float) -> tuple[np.ndarray
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int, probed: float = PROBED) -> DataFrame:
-    """(query_id, rank, vec_id, score) of the k nearest found for each query, by Euclidean distance, without its own id.
+    """(query_id, rank, vec_id, score) of the k nearest found for each query row, by Euclidean distance, without itself.
 
-    Both frames are (vec_id, v, dim). A query probes the share ``probed`` of its dimension's lists, and more where those hold
+    Both frames are (row, vec_id, v, dim) of one ``vectors.valid``; ids may repeat. A query probes the share ``probed`` of its dimension's lists, and more where those hold
     fewer than k candidates. Ties go to the smaller vec_id; without rows there is no result.
     """
     spark = vectors.sparkSession
@@ -96,25 +96,25 @@ def search(vectors: DataFrame, queries: DataFrame, k: int, probed: float = PROBE
     model = spark.sparkContext.broadcast(fit(vectors))
 
     def assign(parts):
-        schema = pa.schema([("vec_id", pa.int64()), ("dim", pa.int32()), ("list", pa.int32()), ("v", pa.list_(pa.float64())), ("turned", pa.list_(pa.float64()))])
+        schema = pa.schema([("row", pa.int64()), ("vec_id", pa.int64()), ("dim", pa.int32()), ("list", pa.int32()), ("v", pa.list_(pa.float64())), ("turned", pa.list_(pa.float64()))])
         for b in batches(parts):
-            dims = b.column(2).to_numpy()
+            dims = b.column(3).to_numpy()
             for dim in np.unique(dims).tolist():
                 own = b.filter(pa.array(dims == dim))
-                m, x = model.value[dim], matrix(pa.chunked_array([own.column(1)]))
+                m, x = model.value[dim], matrix(pa.chunked_array([own.column(2)]))
                 near = m.order(x)[:, 0]
-                yield out(schema, own.column(0), own.column(2), near.astype(np.int32), list(x), list(x @ m.rotation))
+                yield out(schema, own.column(0), own.column(1), own.column(3), near.astype(np.int32), list(x), list(x @ m.rotation))
 
-    assigned = settle(vectors.select("vec_id", "v", "dim").mapInArrow(assign, "vec_id bigint, dim int, list int, v array<double>, turned array<double>"), "lists")
+    assigned = settle(vectors.select("row", "vec_id", "v", "dim").mapInArrow(assign, "row bigint, vec_id bigint, dim int, list int, v array<double>, turned array<double>"), "lists")
     sizes: dict[int, np.ndarray] = {d: np.zeros(len(m.centroids), np.int64) for d, m in model.value.items()}
     for r in assigned.groupBy("dim", "list").agg(F.count("*").alias("n")).collect():  # at most LISTS of a dimension
         sizes[r["dim"]][r["list"]] = r["n"]
     held = spark.sparkContext.broadcast(sizes)
 
     def probes(parts):
-        schema = pa.schema([("vec_id", pa.int64()), ("dim", pa.int32()), ("list", pa.int32()), ("turn", pa.int32()), ("v", pa.list_(pa.float64())), ("turned", pa.list_(pa.float64()))])
+        schema = pa.schema([("row", pa.int64()), ("vec_id", pa.int64()), ("dim", pa.int32()), ("list", pa.int32()), ("turn", pa.int32()), ("v", pa.list_(pa.float64())), ("turned", pa.list_(pa.float64()))])
         for b in batches(parts):
-            for vec, v, dim in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
+            for row, vec, v, dim in zip(*(b.column(i).to_pylist() for i in range(4))):
                 if dim not in model.value:
                     continue
                 m, x = model.value[dim], np.array(v)
@@ -122,32 +122,33 @@ def search(vectors: DataFrame, queries: DataFrame, k: int, probed: float = PROBE
                 enough = int(np.searchsorted(np.cumsum(held.value[dim][order]), k + 1)) + 1
                 order = order[: max(enough, int(np.ceil(probed * len(order))))]
                 n = len(order)
-                yield out(schema, [vec] * n, [dim] * n, order, range(n), [v] * n, [x @ m.rotation] * n)
+                yield out(schema, [row] * n, [vec] * n, [dim] * n, order, range(n), [v] * n, [x @ m.rotation] * n)
 
-    fields = "vec_id bigint, dim int, list int, turn int, v array<double>, turned array<double>"
-    asked = settle(queries.select("vec_id", "v", "dim").mapInArrow(probes, fields), "probes")
-    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+    fields = "row bigint, vec_id bigint, dim int, list int, turn int, v array<double>, turned array<double>"
+    asked = settle(queries.select("row", "vec_id", "v", "dim").mapInArrow(probes, fields), "probes")
+    schema = pa.schema([("query", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not len(left) or not len(right):
             return schema.empty_table()
         x, turned, ids = matrix(left["v"]), matrix(left["turned"]), left["vec_id"].to_numpy()
+        numbers = left["row"].to_numpy()
         q, bounds = matrix(right["v"]), right["bound"].to_numpy(zero_copy_only=False)
         rows = []
-        for n, (own, query) in enumerate(zip(right["vec_id"].to_pylist(), matrix(right["turned"]))):
+        for n, (own, query_id, query) in enumerate(zip(right["row"].to_pylist(), right["vec_id"].to_pylist(), matrix(right["turned"]))):
             bound = bounds[n] ** 2 * (1 + 1e-9) if bounds[n] == bounds[n] else np.inf
             near, _ = scan(turned, query, k + 1, bound)  # one more: its own row may be there
-            near = near[ids[near] != own]
+            near = near[numbers[near] != own]
             exact = np.sqrt(((x[near] - q[n]) ** 2).sum(1))
             best = np.lexsort((ids[near], exact))[:k]
-            rows += [(own, int(ids[near[i]]), float(exact[i])) for i in best]
-        return pa.table(list(zip(*rows)) if rows else [[], [], []], schema=schema)
+            rows += [(own, query_id, int(ids[near[i]]), float(exact[i])) for i in best]
+        return pa.table(list(zip(*rows)) if rows else [[]] * 4, schema=schema)
 
-    result, key = "query_id bigint, vec_id bigint, score double", ["dim", "list"]
+    result, key = "query bigint, query_id bigint, vec_id bigint, score double", ["dim", "list"]
     shards = dealt(assigned, key, SHARD, "shard", 1)
     none = F.lit(None).cast("double").alias("bound")
     begun = settle(met(shards, dealt(asked.filter("turn = 0").select("*", none), key, QUERIES, "block", 2), key, run, result), "nearest-lists")
-    limits = ranked(begun, k, "score").filter(f"rank = {k}").select(F.col("query_id").alias("vec_id"), F.col("score").alias("bound"))
-    others = asked.filter("turn > 0").join(limits, "vec_id", "left")
+    limits = ranked(begun, k, "score").filter(f"rank = {k}").select(F.col("query").alias("row"), F.col("score").alias("bound"))
+    others = asked.filter("turn > 0").join(limits, "row", "left")
     more = met(shards, dealt(others, key, QUERIES, "block", 2), key, run, result)
-    return ranked(begun.unionByName(more), k, "score")
+    return ranked(begun.unionByName(more), k, "score").drop("query")

@@ -63,9 +63,10 @@ def products(x: np.ndarray, q: np.ndarray) -> list[int]:
     return [max(-LONG - 1, min(LONG, sum(int(a) * b for a, b in zip(row, whole)))) for row in x]
 
 
-def nearest(tree: Tree, x: np.ndarray, ids: np.ndarray, q: np.ndarray, bound: np.ndarray, own: int, k: int, least: int | None) -> list[tuple[int, int]]:
-    """(-score, id) of the k best of a tree, smallest ids first where scores tie; only scores of ``least`` and above."""
-    best: list[tuple[int, int]] = []
+def nearest(tree: Tree, x: np.ndarray, ids: np.ndarray, numbers: np.ndarray, q: np.ndarray, bound: np.ndarray, own: int, k: int, least: int | None) -> list[tuple[int, int, int]]:
+    """(-score, id, number) of the k best of a tree but the row of number ``own``, smallest ids first where scores tie; only
+    scores of ``least`` and above."""
+    best: list[tuple[int, int, int]] = []
     heap = [(-bound[0], 0)]
     while heap:
         top, node = heapq.heappop(heap)
@@ -78,36 +79,36 @@ def nearest(tree: Tree, x: np.ndarray, ids: np.ndarray, q: np.ndarray, bound: np
                 heapq.heappush(heap, (-bound[below], below))
             continue
         scores = products(x[rows], q)
-        new = [(-s, i) for s, i in zip(scores, ids[rows].tolist()) if i != own and (floor is None or s >= floor)]
+        new = [(-s, i, n) for s, i, n in zip(scores, ids[rows].tolist(), numbers[rows].tolist()) if n != own and (floor is None or s >= floor)]
         best = heapq.nsmallest(k, best + new)
     return best
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int, scale: float) -> DataFrame:
-    """(query_id, rank, vec_id, score) of the k largest inner products of each query with all vectors but that of its own id.
+    """(query_id, rank, vec_id, score) of the k largest inner products of each query row with all vectors but its own row.
 
-    Both frames are (vec_id, v, dim); components count as floor(scale * x). Only vectors of the query's own dimension are
+    Both frames are (row, vec_id, v, dim) of one ``vectors.valid``; ids may repeat. Components count as floor(scale * x). Only vectors of the query's own dimension are
     compared. Ties go to the smaller vec_id; queries with fewer candidates get all; without rows there is no result.
     """
     vectors, queries = settle(dealt(vectors, ["dim"], SHARD, "shard", 1), "shards"), settle(queries, "queries")
-    home = queries.join(vectors.select("vec_id", F.col("shard").alias("home")), "vec_id", "left").withColumn("home", F.coalesce("home", F.lit(0)))
-    result = "query_id bigint, vec_id bigint, score bigint"
-    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+    home = queries.join(vectors.select("row", F.col("shard").alias("home")), "row", "left").withColumn("home", F.coalesce("home", F.lit(0)))
+    result = "query bigint, query_id bigint, vec_id bigint, score bigint"
+    schema = pa.schema([(c, pa.int64()) for c in ("query", "query_id", "vec_id", "score")])
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not len(left) or not len(right):
             return schema.empty_table()
-        x, ids = np.floor(scale * matrix(left["v"])), left["vec_id"].to_numpy()
-        q, own = np.floor(scale * matrix(right["v"])), right["vec_id"].to_pylist()
+        x, ids, numbers = np.floor(scale * matrix(left["v"])), left["vec_id"].to_numpy(), left["row"].to_numpy()
+        q, own = np.floor(scale * matrix(right["v"])), list(zip(right["row"].to_pylist(), right["vec_id"].to_pylist()))
         least = right["least"].to_pylist() if "least" in right.column_names else [None] * len(own)
         tree = Tree(x)
         bounds = tree.bounds(q)
-        rows = [(a, i, -s) for n, a in enumerate(own) for s, i in nearest(tree, x, ids, q[n], bounds[n].tolist(), a, k, least[n])]
-        return pa.table(list(zip(*rows)) if rows else [[], [], []], schema=schema)
+        rows = [(*a, i, -s) for n, a in enumerate(own) for s, i, _ in nearest(tree, x, ids, numbers, q[n], bounds[n].tolist(), a[0], k, least[n])]
+        return pa.table(list(zip(*rows)) if rows else [[]] * 4, schema=schema)
 
-    first = home.withColumnRenamed("home", "shard").select("dim", "shard", "vec_id", "v")
-    begun = together(vectors.select("dim", "shard", "vec_id", "v"), first, ["dim", "shard"], run, result)
-    floors = begun.groupBy(F.col("query_id").alias("vec_id")).agg(F.count("*").alias("n"), F.min("score").alias("least")).filter(f"n = {k}").select("vec_id", "least")
-    asked = dealt(queries.join(floors, "vec_id", "left"), ["dim"], QUERIES, "block", 2)
+    first = home.withColumnRenamed("home", "shard").select("dim", "shard", "row", "vec_id", "v")
+    begun = together(vectors.select("dim", "shard", "row", "vec_id", "v"), first, ["dim", "shard"], run, result)
+    floors = begun.groupBy(F.col("query").alias("row")).agg(F.count("*").alias("n"), F.min("score").alias("least")).filter(f"n = {k}").select("row", "least")
+    asked = dealt(queries.join(floors, "row", "left"), ["dim"], QUERIES, "block", 2)
     found = met(vectors, asked, ["dim"], run, result)
-    return ranked(found, k, F.desc("score"))
+    return ranked(found, k, F.desc("score")).drop("query")

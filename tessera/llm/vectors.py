@@ -9,23 +9,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.llm.common import only, settle
+
 #: Most vectors of a shard and most queries of a block: bounds of one group.
 SHARD, QUERIES = 4096, 1024
 
 
 def valid(df: DataFrame, column: str = "embedding", zero: bool = True) -> DataFrame:
-    """(vec_id, v, dim): the vectors that can be searched, one for each id.
+    """(row, vec_id, v, dim): the vectors that can be searched, each under a number of its own.
 
     Left out are null ids, null and empty vectors, those with a null or non-finite component, and all-zero ones without
-    ``zero``. Of several vectors of an id the smallest by component order stays.
+    ``zero``. Rows that share an id all stay. They are written once, so that their numbers are the same for every reader.
     """
+    df = only(df, "vec_id", column)
     v = F.col(column).cast("array<double>")
     good = F.size(v) > 0
     good = good & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     if not zero:
         good = good & F.exists(v, lambda x: x != 0)
     rows = df.select(F.col("vec_id").cast("bigint").alias("vec_id"), v.alias("v")).filter(F.col("vec_id").isNotNull() & F.coalesce(good, F.lit(False)))
-    return rows.groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
+    return settle(rows.select(F.monotonically_increasing_id().alias("row"), "vec_id", "v", F.size("v").alias("dim")), "rows")
 
 
 def matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -37,7 +40,7 @@ def matrix(column: pa.ChunkedArray) -> np.ndarray:
 def dealt(df: DataFrame, key: list[str], most: int, name: str, salt: int) -> DataFrame:
     """Add a column that deals the rows of each key into as many shares as keep a share at ``most`` rows, about, and their number."""
     sizes = df.groupBy(*key).agg(F.expr(f"cast(ceil(count(*) / {most}) as int)").alias(f"{name}s"))
-    return df.join(sizes, key).withColumn(name, F.expr(f"cast(pmod(xxhash64(vec_id, {salt}), {name}s) as int)"))
+    return df.join(sizes, key).withColumn(name, F.expr(f"cast(pmod(xxhash64(row, {salt}), {name}s) as int)"))
 
 
 def met(vectors: DataFrame, queries: DataFrame, key: list[str], search: Callable, schema: str) -> DataFrame:
@@ -59,6 +62,6 @@ def together(left: DataFrame, right: DataFrame, key: list[str], search: Callable
 
 
 def ranked(found: DataFrame, k: int, *order) -> DataFrame:
-    """The first k rows of each query, numbered from 1; smaller vec_id first where they tie."""
-    w = Window.partitionBy("query_id").orderBy(*order, "vec_id")
-    return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    """The first k rows of each query row, numbered from 1; smaller vec_id first where they tie."""
+    w = Window.partitionBy("query").orderBy(*order, "vec_id")
+    return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query", "query_id", "rank", "vec_id", "score")

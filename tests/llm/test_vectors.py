@@ -12,7 +12,7 @@ def table(spark, n=700, dim=16, seed=1):
     x = np.random.default_rng(seed).standard_normal((n, dim))
     x[n // 2 : n // 2 + n // 3] = x[3]  # a third are one vector
     rows = [(i, v.tolist()) for i, v in enumerate(x)]
-    odd = [(n, None), (n + 1, []), (n + 2, [None] * dim), (n + 3, [NAN] * dim), (n + 4, [INF] * dim), (None, x[0].tolist()), (0, x[0].tolist()), (n + 5, [0.0] * dim), (n + 50, [1.0, 2.0])]
+    odd = [(n, None), (n + 1, []), (n + 2, [None] * dim), (n + 3, [NAN] * dim), (n + 4, [INF] * dim), (None, x[0].tolist()), (n + 5, [0.0] * dim), (n + 50, [1.0, 2.0])]
     return x, spark.createDataFrame([(*r, "x", 1) for r in rows + odd], "vec_id bigint, embedding array<double>, shard string, dim int")
 
 
@@ -65,3 +65,24 @@ def test_approximate_search_of_few(spark):
     got = [tuple(r) for r in ann.search(rows, rows.filter("vec_id = 0"), 10).orderBy("rank").collect()]
     assert [(q, k, v) for q, k, v, _ in got] == [(0, 1, 2), (0, 2, 1)]
     assert ann.search(rows.limit(0), rows.limit(0), 10).count() == 0
+
+
+def test_repeated_ids_are_rows_of_their_own(spark):
+    """Of rows with one id only the query's own row is no candidate; each of them is a query."""
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((120, 8))
+    ids = np.where(np.arange(120) % 3 == 0, 50, np.arange(120) + 1)  # a third share one id
+    df = spark.createDataFrame([(int(i), v.tolist(), "x") for i, v in zip(ids, x)], "vec_id bigint, embedding array<double>, VEC_ID string").repartition(3)
+    rows = vectors.valid(df)
+    assert rows.count() == 120
+    whole = np.floor(256 * x).astype(np.int64)
+    asked = np.flatnonzero(ids == 50)
+    got = [(r["rank"], r.vec_id, r.score) for r in exact_search.search(rows, rows.filter("vec_id = 50"), 5, 256.0).collect()]
+    near = [(r["rank"], r.vec_id, round(r.score, 9)) for r in ann.search(rows, rows.filter("vec_id = 50"), 10).collect()]
+    want, close = [], []
+    for q in asked:
+        others = np.arange(120) != q
+        scores, distance = whole[others] @ whole[q], np.sqrt(((x[others] - x[q]) ** 2).sum(1))
+        want += [(k + 1, int(ids[others][i]), int(scores[i])) for k, i in enumerate(np.lexsort((ids[others], -scores))[:5])]
+        close += [(k + 1, int(ids[others][i]), round(float(distance[i]), 9)) for k, i in enumerate(np.lexsort((ids[others], distance))[:10])]
+    assert sorted(got) == sorted(want) and sorted(near) == sorted(close)  # so few vectors are one list
