@@ -122,6 +122,16 @@ def city_score_features(df: DataFrame, metrics: Sequence[str], order: Sequence[s
     return mean.join(last, "date", "left")
 
 
+def city_score_rows(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """The same in long form, for any number of metrics: (date, metric_name, day_score, avg_day_score), one row for each metric
+    of a day with its last score and the day's mean."""
+    parts = df.groupBy("date", "metric_name").agg(
+        F.max_by("day_score", F.struct(*order)).alias("day_score"), F.sum("day_score").alias("_sum"), F.count("day_score").alias("_n")
+    )
+    days = parts.groupBy("date").agg(F.try_divide(F.sum("_sum"), F.sum("_n")).alias("avg_day_score"))
+    return parts.select("date", "metric_name", "day_score").join(days, "date")
+
+
 # -- cell × hour-bucket table ------------------------------------------------------------------
 
 

@@ -170,9 +170,15 @@ def _request_features(df: DataFrame, as_of) -> DataFrame:
     return features.grid_features(df, "open_date", {f"request_count_{d}d": d for d in (7, 30, 90)}, [overdue], ref, ("neighborhood", "neighborhood"))
 
 
+# The source's columns and what they are called here.
+REQUEST_COLUMNS = {
+    "case_enquiry_id": "case_id", "open_dt": "open_date", "closed_dt": "close_date", "subject": "case_topic",
+    "reason": "service_name", "department": "assigned_department", "case_status": "case_status",
+    "neighborhood": "neighborhood", "latitude": "lat", "longitude": "long", "on_time": "on_time", "type": "type",
+}
 SERVICE_REQUESTS = DatasetPlan(
     name="service_311",
-    mappings={"case_enquiry_id": "case_id", "open_dt": "open_date", "closed_dt": "close_date", "subject": "case_topic", "reason": "service_name", "latitude": "lat", "longitude": "long", "ontime": "on_time", "department": "assigned_department"},
+    mappings={**REQUEST_COLUMNS, "ontime": "on_time"},  # older extracts spell it in one word
     types={"case_id": "string", "open_date": "datetime", "close_date": "datetime", "lat": "float", "long": "float"},
     keys=["case_id"], order=["open_date"], time="open_date", transform=_requests,
     output=["case_id", "open_date", "close_date", "case_topic", "service_name", "type", "assigned_department", "case_status", "neighborhood", "on_time", "lat", "long", "year", "month", "hour", "day_of_week"],
@@ -215,11 +221,11 @@ def _scores(df: DataFrame, as_of) -> DataFrame:
 
 
 def _score_features(df: DataFrame, as_of) -> DataFrame:
-    """Columns per metric. The names are read first; like Spark's own pivot this refuses a column
-    with too many distinct values instead of cutting the result."""
+    """Columns per metric, whose names are read first. Beyond MAX_METRICS names, which is more columns than a table should have,
+    the long form: a row for each day and metric."""
     names = [r.metric_name for r in df.select("metric_name").distinct().limit(MAX_METRICS + 1).collect()]
     if len(names) > MAX_METRICS:
-        raise ValueError(f"more than {MAX_METRICS} metric names; use the long form")
+        return features.city_score_rows(df, ["timestamp"])
     names.sort()
     return cleaning.normalise_headers(features.city_score_features(df, names, ["timestamp"]), dash=True)
 

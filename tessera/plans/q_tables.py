@@ -115,6 +115,12 @@ def _scores(t):
 LAST = ", ".join(f"arg_max(value, (ts, event_id)) FILTER (WHERE event_type='{x}') AS {x}" for x in TYPES)
 CITY = f"SELECT ts::date AS date, round(avg(value),6) AS avg_day_score, {LAST} FROM events GROUP BY 1"
 reg("joi2_mean_with_pivot", lambda t: rounded(features.city_score_features(_scores(t), TYPES, ["ts", "event_id"])), CITY)
+reg(
+    "joi2_long_form",
+    lambda t: rounded(features.city_score_rows(_scores(t), ["ts", "event_id"])),
+    """WITH d AS (SELECT ts::date AS date, round(avg(value),6) AS avg_day_score FROM events GROUP BY 1)
+SELECT date, metric_name, day_score, avg_day_score FROM (SELECT ts::date AS date, event_type AS metric_name, round(arg_max(value, (ts, event_id)),6) AS day_score FROM events GROUP BY 1, 2) JOIN d USING (date)""",
+)
 reg(
     "joi3_district_lookup",
     lambda t: joining.left_fill(

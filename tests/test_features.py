@@ -113,3 +113,23 @@ def test_scores_scale_per_bucket(spark):
 def test_flagship_plan_has_three_exchanges(events):
     plan = features.cell_features(events, ref())._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 3 and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_city_scores_of_many_metrics_take_the_long_form(spark, monkeypatch):
+    from tessera.plans import datasets
+
+    rows = [("2024-01-01 01:00:00", m, s) for m, s in (("a", 1.0), ("b", 2.0), ("c", None))] + [("2024-01-01 02:00:00", "a", 3.0), ("2024-01-02 01:00:00", "b", 5.0)]
+    df = spark.createDataFrame(rows, "timestamp string, metric_name string, day_score double").withColumns({"timestamp": F.col("timestamp").cast("timestamp"), "date": F.to_date("timestamp")})
+    wide = {str(r.date): (r.avg_day_score, r.a, r.b, r.c) for r in datasets._score_features(df, None).collect()}
+    assert wide == {"2024-01-01": (2.0, 3.0, 2.0, None), "2024-01-02": (5.0, None, 5.0, None)}
+    monkeypatch.setattr(datasets, "MAX_METRICS", 2)
+    long = {(str(r.date), r.metric_name): (r.day_score, r.avg_day_score) for r in datasets._score_features(df, None).collect()}
+    assert long == {("2024-01-01", "a"): (3.0, 2.0), ("2024-01-01", "b"): (2.0, 2.0), ("2024-01-01", "c"): (None, 2.0), ("2024-01-02", "b"): (5.0, 5.0)}
+
+
+@pytest.mark.parametrize("name", ["on_time", "ontime"])
+def test_requests_keep_their_status(spark, name):
+    from tessera.plans import datasets
+
+    raw = spark.createDataFrame([("1", "2024-01-01", "OVERDUE")], f"case_enquiry_id string, open_dt string, {name} string")
+    assert datasets.cleaning.rename(raw, datasets.SERVICE_REQUESTS.mappings).columns == ["case_id", "open_date", "on_time"]

@@ -57,12 +57,12 @@ def test_daily_run_over_two_days(spark, tmp_path):
 
 def test_daily_run_counts_what_it_drops(spark, tmp_path):
     store = LayerStore(spark, str(tmp_path))
-    rows = crime_rows(spark, "2024-01-10")
+    rows = crime_rows(spark, "2024-01-10").withColumn("offense_category", F.lit("theft"))
     late = rows.limit(4).withColumns({"INCIDENT_NUMBER": F.concat(F.lit("late"), "INCIDENT_NUMBER"), "OCCURRED_ON_DATE": F.lit("2031-01-01")})
     never = rows.limit(3).withColumns({"INCIDENT_NUMBER": F.concat(F.lit("no"), "INCIDENT_NUMBER"), "OCCURRED_ON_DATE": F.lit("no date")})
-    run = daily.run_daily(store, datasets.CRIME_BY_CELL, rows.unionByName(late).unionByName(never), "2024-01-10", strict=False)
+    run = daily.run_daily(store, datasets.CRIME, rows.unionByName(late).unionByName(never), "2024-01-10", strict=False)
     assert run.drops == {"future_date": 4, "invalid_date": 3} and run.ingested["rows"] == 37
-    assert {r.drop_reason: r.rows for r in store.partition("crime_navigate", "drops", "2024-01-10").collect()} == {**run.drops, "ingested": 37}
+    assert {r.drop_reason: r.rows for r in store.partition("crime", "drops", "2024-01-10").collect()} == {**run.drops, "ingested": 37}
 
 
 def test_daily_run_stops_at_a_failed_gate(spark, tmp_path):
@@ -226,3 +226,26 @@ def test_queries_are_listed_without_a_session():
 
     said = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"], capture_output=True, text=True)
     assert said.returncode == 0, said.stderr
+
+
+def test_features_are_loaded_by_look_back(spark, tmp_path):
+    from tessera.operators.features import load_features
+
+    store = LayerStore(spark, str(tmp_path))
+    for day, rows in (("2024-01-01", [("a", 0, 1.0)]), ("2024-01-20", [("a", 0, 2.0), ("b", 1, 3.0)]), ("2024-01-25", [("b", 1, 4.0)])):
+        store.write(spark.createDataFrame(rows, "h3_index string, hour_bucket int, score double"), "d", "features", day)
+    got = {(r.h3_index, r.hour_bucket): (r.score, str(r.date)) for r in load_features(store, "d", "2024-01-26", 10, ["score"]).collect()}
+    assert got == {("a", 0): (2.0, "2024-01-20"), ("b", 1): (4.0, "2024-01-25")}
+    with pytest.raises(ValueError, match="absent"):
+        load_features(store, "d", "2024-01-26", 10, ["score", "absent"])
+    with pytest.raises(LookupError):
+        load_features(store, "d", "2023-12-31", 10, ["score"])
+
+
+def test_contract_findings_by_dataset_and_layer(spark):
+    from tessera.sources import contracts
+
+    own = contracts.parse({"required": ["id"], "properties": {"id": {"type": "integer"}}})
+    tables = {("d", "raw"): spark.createDataFrame([(None,), (1,)], "id int"), ("e", "raw"): spark.range(1)}
+    got = {(r.dataset, r.layer, r.rule): r.n for r in contracts.layer_findings({("d", "raw"): own, ("d", "processed"): own}, tables).collect()}
+    assert got == {("d", "raw", "null_in_required"): 1, ("d", "processed", "missing_table"): 0, ("e", "raw", "no_contract"): 0}
