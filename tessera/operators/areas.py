@@ -3,6 +3,7 @@
 Areas are boxes or outlines, in a table. Each lies on the level of a quadtree at which it is about as wide as a cell, so it
 covers at most nine cells however large or small it is. A point has one cell on each level that areas lie on. Both sides meet
 by (level, cell): no point is compared with areas that are nowhere near it, and a crowded cell is an ordinary skewed join key.
+Points at the same place are one row there, so that crowded places meet crowded areas once and not once a point.
 """
 
 from __future__ import annotations
@@ -79,11 +80,13 @@ def tag_areas(
     cells = settle(placed(areas).select("name", "priority", "min_lat", "max_lat", "min_lon", "max_lon", "outline", "_level", "_lon", "_lat"))
     levels = [r[0] for r in cells.select("_level").distinct().collect()]  # FINEST + 1 at most
     where = points.select(*key, F.col(lat).cast("double").alias("_y"), F.col(lon).cast("double").alias("_x")).where("_y is not null and _x is not null")
-    spots = where.withColumn("_level", F.explode(F.array(*[F.lit(x) for x in levels]).cast("array<int>")))
+    # each place is looked up once, however many points are there
+    spots = where.select("_y", "_x").distinct().withColumn("_level", F.explode(F.array(*[F.lit(x) for x in levels]).cast("array<int>")))
     level = F.col("_level")
     spots = spots.withColumns({"_lon": _cell(F.col("_x"), LEFT, level), "_lat": _cell(F.col("_y"), BOTTOM, level)})
     found = spots.join(sized(cells), ["_level", "_lon", "_lat"]).where(inside(F.col("_y"), F.col("_x")))
-    first = found.groupBy(*key).agg(F.min(F.struct("priority", "name"))["name"].alias(out))
+    places = found.groupBy("_y", "_x").agg(F.min(F.struct("priority", "name")).alias("_first"))
+    first = where.join(sized(places), ["_y", "_x"]).groupBy(*key).agg(F.min("_first")["name"].alias(out))
     name = F.when(F.col(lat).isNull() | F.col(lon).isNull(), F.lit(missing)).otherwise(F.coalesce(out, F.lit(outside)))
     first = first.withColumnsRenamed({k: f"_key{i}" for i, k in enumerate(key)})
     same = [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(key)]

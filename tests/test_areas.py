@@ -35,6 +35,24 @@ def test_many_boxes(spark):
     assert got[m] == got[m + 1] == "Unknown" and len(got) == m + 3
 
 
+def rows_joined(node):
+    """The most rows that leave a join of a plan that was run."""
+    name = node.nodeName()
+    kids = [node.executedPlan()] if name == "AdaptiveSparkPlan" else [node.plan()] if "QueryStage" in name else [node.children().apply(i) for i in range(node.children().size())]
+    own = node.metrics().get("numOutputRows").get().value() if "Join" in name else 0
+    return max([own, *map(rows_joined, kids)])
+
+
+def test_crowded_places_meet_crowded_areas_once(spark):
+    boxes = [(f"b{i}", i, 42.0, 42.0 + i / 1e6, -71.0, -71.0 + i / 1e6) for i in range(1, 401)]
+    points = [(i, 42.0 + (i % 2) * 0.0002, -71.0, "x") for i in range(500)] + [(0, 42.0, -71.0, "again"), (None, 42.0002, -71.0, "x")]
+    df = areas.tag_areas(spark.createDataFrame(points, POINT), spark.createDataFrame(boxes, BOX), ["id"])
+    got = {(r.id, r.name): r.area for r in df.collect()}
+    assert got[0, "x"] == got[0, "again"] == "b1" and got[None, "x"] == "b200" and len(got) == 502
+    assert all(got[i, "x"] == ("b200" if i % 2 else "b1") for i in range(500))
+    assert rows_joined(df._jdf.queryExecution().executedPlan()) <= 502  # not points times areas
+
+
 def test_outlines(spark):
     rng = np.random.default_rng(2)
 
