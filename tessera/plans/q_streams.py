@@ -26,7 +26,7 @@ def shaped(df):
 
 def event_stream(t):
     """Events as a file stream, with a status code."""
-    return shaped(metrics.file_stream(t.spark, t.folder, t.events.schema, "events.parquet"))
+    return shaped(metrics.table_stream(t.spark, t.folder, "events", t.events.schema))
 
 
 def plain(df):
@@ -147,7 +147,7 @@ f AS (SELECT alert_key, arg_min(alert_id, (ts, alert_id)) AS alert_id, min(ts) A
 
 
 def _sessions(t):
-    s = metrics.file_stream(t.spark, t.folder, t.conversations.schema, "conversations.parquet")
+    s = metrics.table_stream(t.spark, t.folder, "conversations", t.conversations.schema)
     return metrics.session_rows(metrics.run_available(alerts.session_history(s, 2), "stm7", ["conv_id"]))
 
 

@@ -26,6 +26,12 @@ def file_stream(spark: SparkSession, folder: str, schema, glob: str, files_per_t
     )
 
 
+def table_stream(spark: SparkSession, folder: str, name: str, schema) -> DataFrame:
+    """A table of a folder as a stream, whether ``name``.parquet is a file or a folder of files."""
+    # a pattern, because Spark's file stream takes a path without one for a folder
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 100).parquet(f"{folder}/{{{name}.parquet}}")
+
+
 def windowed(df: DataFrame, ts: str, size: str, keys: Sequence[str], aggs: Sequence[Column], late: str | None = None) -> DataFrame:
     """Tumbling-window aggregates. On a stream ``late`` is needed: windows older than that are closed, and what still arrives for
     them is dropped. Where nothing may be dropped, keep partials (``latency`` and the like, ``replayed``)."""
