@@ -39,14 +39,19 @@ RETENTION = "2 days"
 
 
 def sliced(t, n=4):
-    """Events as a stream of several triggers: files of successive stretches of time, one a trigger."""
+    """Events as a stream of several triggers, and what writes its files, one stretch of time after the other. A stretch may be
+    many files and is one trigger: were it several, the first would close windows that the others have rows of."""
     folder = scratch_dir(t.spark, "slices")
     first, last = t.events.agg(F.unix_micros(F.min("ts").cast("timestamp")), F.unix_micros(F.max("ts").cast("timestamp"))).first()
     at = F.unix_micros(F.col("ts").cast("timestamp"))
-    for k in range(n):
+
+    def part(k):
         low, high = (first + (last + 1 - first) * i // n for i in (k, k + 1))
-        t.events.where((at >= low) & (at < high)).write.mode("append").parquet(folder)
-    return shaped(metrics.file_stream(t.spark, folder, t.events.schema, "*.parquet", files_per_trigger=1))
+        return lambda: t.events.where((at >= low) & (at < high)).write.mode("append").parquet(folder)
+
+    t.events.limit(0).write.parquet(folder)
+    parts = [part(k) for k in range(n)] if first is not None else []
+    return shaped(metrics.file_stream(t.spark, folder, t.events.schema, "*.parquet", files_per_trigger=None)), parts
 
 
 def replay(stream, spec, name):
@@ -85,8 +90,9 @@ GRACE = "10 minutes"
 
 def _breaches(t):
     """Peak value above a limit for three hours in a row, as alerts of a stream of several triggers."""
-    fired = alerts.sustained(sliced(t), "ts", "value", 20.0, run=3, seconds=3600, late=GRACE)
-    return plain(metrics.run_available(fired, "stm5", None, mode="append"))
+    events, parts = sliced(t)
+    fired = alerts.sustained(events, "ts", "value", 20.0, run=3, seconds=3600, late=GRACE)
+    return plain(metrics.run_available(fired, "stm5", None, mode="append", parts=parts))
 
 
 # a stream alerts once a window is closed: when the newest row is GRACE past its end
@@ -101,8 +107,9 @@ SELECT window_start, peak FROM (SELECT *, count(*) OVER (ORDER BY window_start R
 
 def _typed_breaches(t):
     """The same for each type of event, two windows of ten minutes in a row."""
-    fired = alerts.sustained(sliced(t), "ts", "value", 15.0, run=2, seconds=600, late=GRACE, keys=["event_type"])
-    return plain(metrics.run_available(fired, "stm5_typed", None, mode="append"))
+    events, parts = sliced(t)
+    fired = alerts.sustained(events, "ts", "value", 15.0, run=2, seconds=600, late=GRACE, keys=["event_type"])
+    return plain(metrics.run_available(fired, "stm5_typed", None, mode="append", parts=parts))
 
 
 reg(
@@ -117,9 +124,10 @@ SELECT event_type, window_start, peak FROM (SELECT *, count(*) OVER (PARTITION B
 def _rules(t):
     """Threshold rules over the windowed sums of a stream, which fire when a window is closed."""
     sums = [F.count_if(F.col("status_code") >= 400).alias("errors"), F.avg("value").alias("mean_value")]
-    w = metrics.windowed(sliced(t), "ts", "1 day", [], sums, late=GRACE)
+    events, parts = sliced(t)
+    w = metrics.windowed(events, "ts", "1 day", [], sums, late=GRACE)
     fired = metrics.threshold_alerts(w, [("error_count", "errors", 60), ("mean_value", "mean_value", 11)])
-    return rounded(plain(metrics.run_available(fired, "stm5_rules", None, mode="append")))
+    return rounded(plain(metrics.run_available(fired, "stm5_rules", None, mode="append", parts=parts)))
 
 
 reg(

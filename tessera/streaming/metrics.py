@@ -6,7 +6,7 @@ code. ``run_available`` replays what is available and leaves a table.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,14 +16,12 @@ from tessera.session import scratch_dir
 from tessera.streaming.partials import FirstRows, Measure, PartialStore, WindowPartials, absorb_available
 
 
-def file_stream(spark: SparkSession, folder: str, schema, glob: str, files_per_trigger: int = 100) -> DataFrame:
-    """Parquet files of a folder as a stream, with bounded micro-batches."""
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", glob)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .parquet(folder)
-    )
+def file_stream(spark: SparkSession, folder: str, schema, glob: str, files_per_trigger: int | None = 100) -> DataFrame:
+    """Parquet files of a folder as a stream, with bounded micro-batches; None: a trigger takes all files that are there."""
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(folder)
 
 
 def table_stream(spark: SparkSession, folder: str, name: str, schema) -> DataFrame:
@@ -78,11 +76,13 @@ def replayed(stream: DataFrame, spec, name: str, retention: str | None) -> DataF
 
 
 def run_available(
-    stream: DataFrame, name: str, keys: Sequence[str] | None, mode: str = "update", extra: Callable | None = None
-) -> DataFrame:
+    stream: DataFrame, name: str, keys: Sequence[str] | None, mode: str = "update", extra: Callable | None = None,
+    parts: Iterable[Callable[[], object]] = (lambda: None,),
+) -> DataFrame:
     """Replay a stream to a table. In update mode every micro-batch appends its changed groups with
     the batch number and the reader keeps the newest row per key; nothing is overwritten, so a
-    retried batch is harmless."""
+    retried batch is harmless. ``parts`` write the stream's input: after each the stream goes on from
+    its checkpoint with what is there."""
     spark = stream.sparkSession
     base = scratch_dir(spark, name)
     out = f"{base}/out"
@@ -93,14 +93,16 @@ def run_available(
         # one folder per batch, overwritten on retry
         batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    query = (
-        stream.writeStream.foreachBatch(append)
-        .outputMode(mode)
-        .option("checkpointLocation", f"{base}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    for write in parts:
+        write()
+        query = (
+            stream.writeStream.foreachBatch(append)
+            .outputMode(mode)
+            .option("checkpointLocation", f"{base}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
     schema = T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])
     p = spark._jvm.org.apache.hadoop.fs.Path(out)
     there = p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)  # not if the stream had nothing at all

@@ -30,3 +30,16 @@ def test_sessions_of_a_table_in_one_or_many_files(spark, tmp_path, parts):
         rows.coalesce(1).write.parquet(str(tmp_path / "one"))
         next((tmp_path / "one").glob("*.parquet")).rename(path)
     against_sql(spark, tmp_path, "stm7_session_history", {"conversations": f"{path}/*.parquet" if parts else path})
+
+
+@pytest.mark.parametrize("name", ["stm5_sustained_breach", "stm5_breach_by_type", "stm5_threshold_alerts"])
+def test_alerts_of_events_in_many_files(spark, tmp_path, name):
+    """Every file holds rows of all times, as tables of several files do."""
+    path = tmp_path / "events.parquet"
+    spark.read.parquet("/root/testdata/sf0.01/events.parquet").repartition(6).write.parquet(str(path))
+    against_sql(spark, tmp_path, name, {"events": f"{path}/*.parquet"})
+
+
+def test_alerts_of_no_events(spark, tmp_path):
+    spark.read.parquet(f"{SF}/events.parquet").limit(0).write.parquet(str(tmp_path / "events.parquet"))
+    assert load_queries()[0]["stm5_breach_by_type"](spark, str(tmp_path)).count() == 0
