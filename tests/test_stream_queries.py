@@ -43,3 +43,19 @@ def test_alerts_of_events_in_many_files(spark, tmp_path, name):
 def test_alerts_of_no_events(spark, tmp_path):
     spark.read.parquet(f"{SF}/events.parquet").limit(0).write.parquet(str(tmp_path / "events.parquet"))
     assert load_queries()[0]["stm5_breach_by_type"](spark, str(tmp_path)).count() == 0
+
+
+def newest_events(spark, tmp_path):
+    """Three and a half hours above all limits up to the newest row, so that windows are open when the stream ends."""
+    rows = [(i, f"2024-01-01 {i // 60:02d}:{i % 60:02d}:30", i, "error", 30.0, "{}") for i in range(210)]
+    schema = spark.read.parquet(f"{SF}/events.parquet").schema
+    events = spark.createDataFrame(rows, "event_id long, ts string, user_id long, event_type string, value double, props string")
+    path = tmp_path / "events.parquet"
+    events.select(*[events[f.name].cast(f.dataType) for f in schema]).write.parquet(str(path))
+    return {"events": f"{path}/*.parquet"}
+
+
+def test_sustained_breaches_of_the_newest_hours(spark, tmp_path):
+    against_sql(spark, tmp_path, "stm5_sustained_breach", newest_events(spark, tmp_path))
+    got = load_queries()[0]["stm5_sustained_breach"](spark, str(tmp_path)).collect()
+    assert sorted(r.window_start.hour for r in got) == [2, 3]
