@@ -59,3 +59,7 @@ def test_sustained_breaches_of_the_newest_hours(spark, tmp_path):
     against_sql(spark, tmp_path, "stm5_sustained_breach", newest_events(spark, tmp_path))
     got = load_queries()[0]["stm5_sustained_breach"](spark, str(tmp_path)).collect()
     assert sorted(r.window_start.hour for r in got) == [2, 3]
+
+
+def test_threshold_alerts_of_the_newest_day(spark, tmp_path):
+    against_sql(spark, tmp_path, "stm5_threshold_alerts", newest_events(spark, tmp_path))
