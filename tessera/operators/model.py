@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tessera.functions import numbers
 from tessera.operators import rolling
 from tessera.operators.joining import scalar, settle
+from tessera.session import scratch_dir
 
 INPUTS = [
     "hour_bucket", "weighted_score_3d", "weighted_score_30d", "weighted_score_90d", "trend_3v10", "trend_10v30",
@@ -231,7 +232,11 @@ def train_run(
 def classifier(
     train: DataFrame, categorical: Sequence[str], numeric: Sequence[str], label: str, kind: str = "forest"
 ) -> PipelineModel:
-    """Classifier over label-encoded and numeric columns, for group audits."""
+    """Classifier over label-encoded and numeric columns, for group audits.
+
+    It is written and read again, which leaves its training summary behind: that holds the session, goes to the tasks with the
+    model, and can't any more once something was observed in the session.
+    """
     index = StringIndexer(
         inputCols=list(categorical), outputCols=[f"{c}_code" for c in categorical], stringOrderType="alphabetAsc", handleInvalid="keep"
     )
@@ -241,4 +246,6 @@ def classifier(
         if kind == "forest"
         else LogisticRegression(labelCol=label, maxIter=50)
     )
-    return Pipeline(stages=[index, assemble, learner]).fit(train)
+    path = scratch_dir(train.sparkSession, "classifier")
+    Pipeline(stages=[index, assemble, learner]).fit(train).save(path)
+    return PipelineModel.load(path)
