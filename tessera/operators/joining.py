@@ -48,6 +48,19 @@ def attach(
     return df.join(sized(stats, max_rows), list(on), how)
 
 
+#: Rows of a task where rows are put together by key for several steps in a row.
+ROWS_PER_TASK = 250_000
+
+
+def together(df: DataFrame, key: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Rows with the same key in one task, as many tasks as keep each at about ``rows_per_task`` rows however large the table.
+
+    Groupings and windows by the key, or by more columns than it, then need no exchange of their own and no partial sums
+    before it, and AQE does not put these tasks together again. For keys of few rows."""
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows_per_task))
+    return df.repartition(tasks, *key)
+
+
 def left_fill(
     df: DataFrame, other: DataFrame, on: Sequence[str], defaults: Mapping[str, object]
 ) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 
 from tessera.operators import features, model, profile, retrieval, routes
-from tessera.operators.joining import constant, scalar, settle
+from tessera.operators.joining import constant, scalar, settle, together
 from tessera.plans.q_clean import CENTRES, DESCRIBED_SQL, described
 from tessera.plans.q_quality import profile_sql
 from tessera.plans.q_tables import BUCKET_SQL, CFG, DANGER, SCORE_SQL, TIER, _cells, as_of, score_table
@@ -244,8 +244,9 @@ SELECT "column", value, n, round(n/present, 6) AS share, n_unique FROM c JOIN s
 
 def route_table(t):
     """Each order is a request, each of its lines a route from the supplier over a midpoint to the
-    part."""
-    r = t.lineitem.groupBy(F.col("l_orderkey").alias("request_id"), F.col("l_linenumber").cast("bigint").alias("route_id")).agg(
+    part. The lines of an order are in one task from here on, for routes, their scores and their ranks."""
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_extendedprice", "l_quantity")
+    r = together(lines, ["l_orderkey"]).groupBy(F.col("l_orderkey").alias("request_id"), F.col("l_linenumber").cast("bigint").alias("route_id")).agg(
         F.min("l_suppkey").alias("a"), F.min("l_partkey").alias("b"), F.round(F.sum("l_extendedprice"), 2).alias("distance_m"), F.sum("l_quantity").alias("duration_s")
     )
     (lat, lon), (lat2, lon2) = point("a"), point("b")
