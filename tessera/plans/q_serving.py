@@ -336,9 +336,11 @@ UNION ALL SELECT row_number() OVER (ORDER BY doc_id)+(SELECT max(chunk_id) FROM
 
 
 def _chunk_table(t):
-    """Chunks of all six datasets with the vector of their key, where there is one."""
+    """Chunks of all six datasets with the vector of their key, where there is one. Texts are sorted for the join: their number
+    in a task is bounded, because they take many times the memory of what is shuffled."""
     vectors = t.embeddings.select(F.col("vec_id").alias("source_key"), F.size("embedding").cast("bigint").alias("dimensions"), F.col("embedding").cast("array<double>").alias("embedding"))
-    table = described(t).withColumn("source_key", F.col("source_key").cast("bigint")).join(vectors, "source_key", "left")
+    chunks = together(described(t).withColumn("source_key", F.col("source_key").cast("bigint")), ["source_key"])
+    table = chunks.join(vectors, "source_key", "left")
     # all components in millionths, as text: arrays of floats print differently elsewhere
     whole = F.array_join(F.transform("embedding", lambda x: F.floor(x * 1000000).cast("bigint").cast("string")), ",")
     return table.withColumn("embedding", whole)

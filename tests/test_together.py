@@ -23,3 +23,9 @@ def test_routes_are_exchanged_once(spark):
     assert ranked.count() > 0
     executed = ranked._jdf.queryExecution().executedPlan().toString()
     assert executed.split("== Initial Plan ==")[0].count("Exchange hashpartitioning(") == 1
+
+
+def test_texts_of_the_chunk_table_come_in_bounded_tasks(spark):
+    df = q_serving._chunk_table(Tables(spark, SF))
+    assert "REPARTITION_BY_NUM" in df._jdf.queryExecution().executedPlan().toString()
+    assert df.count() == q_serving.described(Tables(spark, SF)).count()
